@@ -25,8 +25,17 @@ BASE_TS = "2024-01-01 00:00:00"
 SECOND_TS = "2024-01-02 00:00:00"
 
 
+_LOADED: dict[tuple[str, str], DataFrame] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan one read-only test table.  The DataFrame is kept per session so
+    repeated plans do not list the folder and read the footer again."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _LOADED:
+        _LOADED[key] = spark.read.parquet(path)
+    return _LOADED[key]
 
 
 def _s(c: str | Column) -> Column:
