@@ -79,3 +79,23 @@ def test_incremental_runs_equal_full_run(spark, tmp_dir):
     b = layered.read_layer(spark, f"{tmp_dir}/full", "foundation")["purchase_order"]
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0
+
+
+def test_parity_mode_overwrites_created_for_shipment(spark, tmp_dir):
+    from stratum.plans.specs import parity, spec
+    assert parity(spec("shipment")).preserve_on_update == ()
+    assert parity(spec("material")).preserve_on_update == spec("material").preserve_on_update
+    raw = fixtures.raw_all(spark, SF0001)
+    for ts in ("2024-06-30", "2024-07-01"):
+        layered.run_layered(spark, raw, tmp_dir, F.lit(ts).cast("timestamp"), parity_mode=True,
+                            datasets=("shipment",))
+    f = layered.read_layer(spark, tmp_dir, "foundation")["shipment"]
+    assert {r[0].day for r in f.select("record_created_timestamp").distinct().collect()} == {1}
+
+
+def test_empty_incremental_delivery_publishes_nothing(spark, tmp_dir):
+    raw = fixtures.raw_all(spark, SF0001)
+    ts = F.lit("2024-06-30").cast("timestamp")
+    v1 = layered.run_layered(spark, raw, tmp_dir, ts, datasets=("purchase_order",))
+    v2 = layered.run_layered(spark, raw, tmp_dir, ts, datasets=("purchase_order",))
+    assert v1["foundation"]["purchase_order"] == 1 and v2["foundation"]["purchase_order"] is None

@@ -82,3 +82,32 @@ def test_incremental_filter_pushed_to_scan(spark, tmp_dir):
                            .alias("ingestion_timestamp")).write.parquet(path)
     plan = incremental_filter(spark.read.parquet(path), T)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(ingestion_timestamp" in plan
+
+
+def _inv(spark, rows):
+    from stratum.contracts import contract as _c
+    return spark.createDataFrame(rows, _c("inventory", "foundation").schema())
+
+
+def _inv_row(day, storage, qty, ts):
+    return (dt.date(2024, 1, day), "M", "P", storage, qty, None, None, "EA", "SAP", "r", ts, ts)
+
+
+def test_partitioned_upsert_touches_only_source_partitions(spark, tmp_dir):
+    import decimal
+    import glob
+    from stratum.sources.tables import PartitionedTable
+    t = PartitionedTable(spark, tmp_dir, contract("inventory", "foundation"), "inventory_snapshot_date")
+    keys = ["source_system", "inventory_snapshot_date", "material_id", "plant_id", "storage_location"]
+    d = decimal.Decimal
+    t.upsert_partitions(_inv(spark, [_inv_row(1, "A", d(1), T), _inv_row(2, None, d(2), T)]), keys,
+                        ["record_created_timestamp"])
+    day1 = sorted(glob.glob(f"{t.path}/inventory_snapshot_date=2024-01-01/*.parquet"))
+    later = T + dt.timedelta(days=1)
+    t.upsert_partitions(_inv(spark, [_inv_row(2, None, d(5), later), _inv_row(3, "B", d(3), later)]), keys,
+                        ["record_created_timestamp"])
+    assert sorted(glob.glob(f"{t.path}/inventory_snapshot_date=2024-01-01/*.parquet")) == day1  # untouched
+    rows = {(r.inventory_snapshot_date.day, r.storage_location): r for r in t.read().collect()}
+    assert set(rows) == {(1, "A"), (2, None), (3, "B")}
+    assert rows[(2, None)].available_quantity == d(5)  # null-safe match updated in place
+    assert rows[(2, None)].record_created_timestamp == T and rows[(2, None)].record_updated_timestamp == later
