@@ -1,9 +1,10 @@
 """Column presence, alignment, projection and contract conformance.
 
 All checks on names and types happen at plan time on the driver (they read
-``df.schema`` only); the only data-touching check, the NOT NULL / failed-cast
-count, is one aggregate with partial (map-side) aggregation and a one-row
-result.
+``df.schema`` only).  NOT NULL is enforced inside the producing plan
+(``enforce_not_null``) so publishing needs no second pass; the reporting
+forms (``null_violations``, ``cast_failures``) are one aggregate each, with
+partial (map-side) aggregation and a one-row result.
 """
 
 from __future__ import annotations
@@ -118,6 +119,24 @@ def null_violations(df: DataFrame, contract: Contract) -> DataFrame:
     return counts.selectExpr(f"stack({len(required)}, {pairs}) AS (column_name, null_count)")
 
 
+NOT_NULL_MARKER = "NOT NULL violated"
+
+
+def enforce_not_null(df: DataFrame, contract: Contract) -> DataFrame:
+    """C6 inside the plan: a required column that is null raises when the row is
+    produced, so a write fails (and never commits) instead of needing a separate
+    counting job over the same data before it.  Schema problems are still
+    reported at plan time."""
+    problems = schema_diff(df, contract)
+    if problems:
+        raise ValueError(f"{contract.name} does not match its contract: {problems}")
+    req = set(contract.required)
+    return df.select(*[
+        F.when(F.col(c).isNull(), F.raise_error(F.lit(f"{NOT_NULL_MARKER}: {contract.name}.{c}")))
+         .otherwise(F.col(c)).alias(c) if c in req else F.col(c)
+        for c in df.columns])
+
+
 def assert_conforms(df: DataFrame, contract: Contract) -> None:
     """Raise ``ValueError`` when ``df`` breaks the contract (schema or NOT NULL).
 

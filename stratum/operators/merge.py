@@ -30,15 +30,23 @@ _IN_T, _IN_S = "_in_t", "_in_s"
 
 
 def merge_condition(
-    keys: Sequence[str], target: DataFrame, source: DataFrame, null_safe: bool = True
+    keys: Sequence[str], target: DataFrame, source: DataFrame, null_safe: bool = True,
+    nullable_keys: Sequence[str] | None = None,
 ) -> list[Column]:
-    """One equality per key (``<=>`` when ``null_safe``); empty keys are an error."""
+    """One equality per key (``<=>`` when ``null_safe``); empty keys are an error.
+
+    ``nullable_keys`` narrows ``<=>`` to the key columns that may hold nulls
+    (from the contract).  A plain ``=`` on the others is the same predicate
+    for non-null values and keeps the join keyed on the bare columns, so the
+    join can reuse a hash partitioning already produced on the business key
+    (the top-1 window's shuffle) instead of shuffling again on
+    ``coalesce(k, ''), isnull(k)``.
+    """
     keys = list(keys)
     if not keys:
         raise ValueError("At least one merge key is required.")
-    if null_safe:
-        return [target[k].eqNullSafe(source[k]) for k in keys]
-    return [target[k] == source[k] for k in keys]
+    safe = set(keys if nullable_keys is None else nullable_keys) if null_safe else set()
+    return [target[k].eqNullSafe(source[k]) if k in safe else target[k] == source[k] for k in keys]
 
 
 def _check_same_columns(target: DataFrame, source: DataFrame) -> None:
@@ -56,6 +64,7 @@ def upsert(
     keys: Sequence[str],
     exclude_update_columns: Iterable[str] = (),
     null_safe: bool = True,
+    nullable_keys: Sequence[str] | None = None,
 ) -> DataFrame:
     """The target after ``MERGE ... WHEN MATCHED UPDATE / WHEN NOT MATCHED INSERT``.
 
@@ -66,7 +75,9 @@ def upsert(
     * an empty source returns the target unchanged (B7 — no pre-check needed,
       the outer join of an empty side is the other side);
     * ``null_safe=False`` reproduces the reference's plain ``=``: a row whose
-      key has a null part never matches and is inserted again (D5).
+      key has a null part never matches and is inserted again (D5);
+    * ``nullable_keys`` (see ``merge_condition``) limits ``<=>`` to the key
+      columns that can be null.
 
     The output has the target's column order.
     """
@@ -77,7 +88,7 @@ def upsert(
     keep = set(exclude_update_columns)
     t = target.withColumn(_IN_T, F.lit(True)).alias("t")
     s = source.withColumn(_IN_S, F.lit(True)).alias("s")
-    cond = merge_condition(keys, t, s, null_safe)
+    cond = merge_condition(keys, t, s, null_safe, nullable_keys)
     joined = t.join(s, on=cond, how="full_outer")
     from_source = F.col(f"s.{_IN_S}").isNotNull()
     from_target = F.col(f"t.{_IN_T}").isNotNull()

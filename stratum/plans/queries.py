@@ -249,7 +249,7 @@ def q_upsert_two_batches(spark, sf_dir):
     target = _po_batch1(spark, sf_dir)
     raw2 = incremental_after(_raw(spark, sf_dir, "purchase_order"), target, "source_ingestion_timestamp")
     source = fnd.foundation(s, raw2, ts(RUN_TS))
-    return merge.upsert(target, source, s.keys, s.preserve_on_update)
+    return merge.upsert(target, source, s.keys, s.preserve_on_update, nullable_keys=s.nullable_keys())
 
 
 def q_upsert_preserve_created(spark, sf_dir):
@@ -259,7 +259,7 @@ def q_upsert_preserve_created(spark, sf_dir):
     raw = _raw(spark, sf_dir, "material")
     target = fnd.foundation(s, raw.filter(F.col("ingestion_batch_id") == "fixture-1"), ts(RUN_TS_1))
     source = fnd.foundation(s, raw, ts(RUN_TS))
-    return merge.upsert(target, source, s.keys, s.preserve_on_update)
+    return merge.upsert(target, source, s.keys, s.preserve_on_update, nullable_keys=s.nullable_keys())
 
 
 def _inventory_batches(spark, sf_dir):
@@ -273,7 +273,7 @@ def _inventory_batches(spark, sf_dir):
 def q_upsert_null_key_safe(spark, sf_dir):
     """D5 fix: overlapping inventory deliveries; null storage keys match null-safely."""
     s, t, src = _inventory_batches(spark, sf_dir)
-    return merge.upsert(t, src, s.keys, s.preserve_on_update, null_safe=True)
+    return merge.upsert(t, src, s.keys, s.preserve_on_update, null_safe=True, nullable_keys=s.nullable_keys())
 
 
 def q_upsert_null_key_plain(spark, sf_dir):

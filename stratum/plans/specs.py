@@ -51,6 +51,13 @@ class DatasetSpec:
     partition_by: tuple[str, ...] = ()
     tiebreak: tuple[str, ...] = field(default=())
 
+    def nullable_keys(self) -> tuple[str, ...]:
+        """Key columns that may be null in Foundation/Trusted (merge with ``<=>``)."""
+        from stratum.contracts import contract
+
+        c = contract(self.name, "foundation")
+        return tuple(k for k in self.keys if c.column(k).nullable)
+
     def dedupe_tiebreak(self) -> tuple[str, ...]:
         """Landing file, then every payload column that is not a key."""
         if self.tiebreak:
