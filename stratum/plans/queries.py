@@ -305,6 +305,34 @@ def q_contract_conformance(spark, sf_dir):
     return out
 
 
+# --- publishing runs (write versioned tables under the shared checkpoint root) ---------
+
+def q_published_trusted_shipment(spark, sf_dir):
+    """P14 with sinks: all six Foundation and Trusted tables published in dependency
+    order from empty tables; returns the published Trusted shipments."""
+    from stratum.plans import layered
+    from stratum.session import scratch_path
+
+    root = scratch_path(spark, "layered")
+    layered.run_layered(spark, fixtures.raw_all(spark, sf_dir), root, ts(RUN_TS))
+    return layered.read_layer(spark, root, "trusted")["shipment"]
+
+
+def q_incremental_publish_purchase_order(spark, sf_dir):
+    """Purchase orders delivered in two parts (first up to PO_CUTOFF, then all of
+    Raw); the second run reads only rows after the published high-water mark and
+    upserts them.  Equals one run over everything."""
+    from stratum.plans import layered
+    from stratum.session import scratch_path
+
+    root = scratch_path(spark, "incremental")
+    raw = fixtures.raw_all(spark, sf_dir)
+    first = dict(raw, purchase_order=raw["purchase_order"].filter(F.col("ingestion_timestamp") <= ts(PO_CUTOFF)))
+    for delivery in (first, raw):
+        layered.run_layered(spark, delivery, root, ts(RUN_TS), datasets=("purchase_order",))
+    return layered.read_layer(spark, root, "foundation")["purchase_order"]
+
+
 def _layer_query(layer, name):
     if layer == "foundation":
         return lambda spark, sf_dir: foundation_df(spark, sf_dir, name)
@@ -334,6 +362,8 @@ QUERIES = {
     "upsert_null_key_plain": q_upsert_null_key_plain,
     "insert_only": q_insert_only,
     "contract_conformance": q_contract_conformance,
+    "published_trusted_shipment": q_published_trusted_shipment,
+    "incremental_publish_purchase_order": q_incremental_publish_purchase_order,
     **{f"foundation_{d}": _layer_query("foundation", d) for d in DATASETS},
     **{f"trusted_{d}": _layer_query("trusted", d) for d in DATASETS},
 }

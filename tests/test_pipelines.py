@@ -98,4 +98,4 @@ def test_empty_incremental_delivery_publishes_nothing(spark, tmp_dir):
     ts = F.lit("2024-06-30").cast("timestamp")
     v1 = layered.run_layered(spark, raw, tmp_dir, ts, datasets=("purchase_order",))
     v2 = layered.run_layered(spark, raw, tmp_dir, ts, datasets=("purchase_order",))
-    assert v1["foundation"]["purchase_order"] == 1 and v2["foundation"]["purchase_order"] is None
+    assert v1["foundation"]["purchase_order"] == 0 and v2["foundation"]["purchase_order"] is None
