@@ -202,6 +202,17 @@ def run_raw_ingestion(spark: SparkSession, configs: Mapping[str, IngestionConfig
     return queries
 
 
+def await_any(spark: SparkSession, timeout_seconds: float | None = None) -> bool:
+    """J5, continuous mode: block until any running ingestion stream stops (or fails,
+    in which case its exception is raised here).  Streams that ended before
+    the call (e.g. earlier available-now runs) are forgotten first."""
+    spark.streams.resetTerminated()
+    if timeout_seconds is None:
+        spark.streams.awaitAnyTermination()
+        return True
+    return spark.streams.awaitAnyTermination(int(timeout_seconds))
+
+
 def read_raw(spark: SparkSession, root: str, dataset: str, target: Contract | None = None) -> DataFrame:
     """A3 for the Raw layer: the committed files of the stream sink."""
     data, _ = raw_paths(root, dataset)

@@ -5,7 +5,7 @@ import pytest
 
 from stratum.contracts import contract
 from stratum.operators.columns import cast_failures
-from stratum.streaming.ingest import (IngestionConfig, default_configs, ingest_raw, raw_paths, read_raw,
+from stratum.streaming.ingest import (IngestionConfig, await_any, default_configs, ingest_raw, raw_paths, read_raw,
                                       run_raw_ingestion, select_datasets)
 
 HEADER = "material_id,material_name,material_type,unit_of_measure,product_group"
@@ -136,6 +136,7 @@ def test_run_several_datasets_and_continuous(spark, tmp_dir):
         _write(f"{landing}/material", "b.csv", f"{HEADER}\nM2,n2,t,ea,g\n")
         qs[0].processAllAvailable()
         assert qs[0].isActive
+        assert await_any(spark, 1) is False  # still running
         assert read_raw(spark, f"{tmp_dir}/lake", "material").count() == 2
     finally:
         for q in qs:
