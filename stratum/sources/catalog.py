@@ -67,6 +67,13 @@ def missing_tables(spark: SparkSession, names: Iterable[str]) -> list[str]:
     return sorted(n for n in names if not spark.catalog.tableExists(n))
 
 
+def assert_tables_exist(spark: SparkSession, names: Iterable[str]) -> None:
+    """Raise one ``ValueError`` naming every missing table."""
+    missing = missing_tables(spark, names)
+    if missing:
+        raise ValueError(f"Missing tables: {missing}")
+
+
 def preview(spark: SparkSession, df: DataFrame, view: str, limit: int | None = None) -> DataFrame:
     """A4: register ``df`` as a temporary view and query it with SQL."""
     df.createOrReplaceTempView(view)

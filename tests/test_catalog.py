@@ -1,7 +1,8 @@
 import pytest
 
 from stratum.contracts import all_contracts, contract
-from stratum.sources.catalog import create_table_sql, create_tables, merge_into, missing_tables, preview
+from stratum.sources.catalog import (assert_tables_exist, create_table_sql, create_tables, merge_into,
+                                    missing_tables, preview)
 
 
 def test_create_table_sql_has_not_null_and_comments():
@@ -19,6 +20,9 @@ def test_quotes_are_doubled():
 def test_create_tables_and_preview(spark, tmp_dir):
     names = create_tables(spark, all_contracts(), namespace_of=lambda c: f"t_{c.layer}", location_root=tmp_dir)
     assert len(names) == 18 and missing_tables(spark, names + ["t_raw.nope"]) == ["t_raw.nope"]
+    assert_tables_exist(spark, names)
+    with pytest.raises(ValueError, match=r"t_raw.nope.*t_raw.zz"):
+        assert_tables_exist(spark, names + ["t_raw.zz", "t_raw.nope"])
     t = spark.table("t_foundation.inventory")
     assert t.columns == contract("inventory", "foundation").names
     # Spark keeps the columns but not NOT NULL on Parquet tables; publishing runs C6 instead
