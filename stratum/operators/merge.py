@@ -7,7 +7,10 @@ table version.
 
 Physical shape: one full outer equi-join on the business key (sort-merge or
 shuffled hash; both sides hash-partitioned on the key, so each side is
-shuffled once) followed by one projection of ``CASE WHEN`` per column.
+shuffled at most once) followed by one projection of ``CASE WHEN`` per
+column.  When no column is preserved from the target, the same state is
+``source ∪ (target anti-join source keys)``, which shuffles only the
+source's key columns.
 Business keys are unique per side, so no key is hot; null key parts are
 compared null-safely (``<=>``), which Catalyst still plans as an equi-join
 on ``coalesce(k, default), isnull(k)``.
@@ -86,6 +89,14 @@ def upsert(
     validate_columns(source, keys)
     _check_same_columns(target, source)
     keep = set(exclude_update_columns)
+    if not keep:
+        # Nothing kept from the target on a match: the merged state is every
+        # source row plus the target rows whose key the source does not have.
+        # Only the source's key columns go through the anti join's shuffle,
+        # instead of whole source rows through a full outer join.
+        t, sk = target.alias("t"), source.select(*keys).alias("s")
+        unmatched = t.join(sk, on=merge_condition(keys, t, sk, null_safe, nullable_keys), how="left_anti")
+        return source.select(*target.columns).unionByName(unmatched.select(*target.columns))
     t = target.withColumn(_IN_T, F.lit(True)).alias("t")
     s = source.withColumn(_IN_S, F.lit(True)).alias("s")
     cond = merge_condition(keys, t, s, null_safe, nullable_keys)
