@@ -111,3 +111,13 @@ def test_partitioned_upsert_touches_only_source_partitions(spark, tmp_dir):
     assert set(rows) == {(1, "A"), (2, None), (3, "B")}
     assert rows[(2, None)].available_quantity == d(5)  # null-safe match updated in place
     assert rows[(2, None)].record_created_timestamp == T and rows[(2, None)].record_updated_timestamp == later
+
+
+def test_insert_only_publish_appends_new_keys(spark, tmp_dir):
+    from stratum.operators.merge import new_rows
+    t = SnapshotTable(spark, tmp_dir, contract("material", "trusted"))
+    t.publish(_material(spark, [("M1", "old", None, None, None, "SAP", T, T)]))
+    src = _material(spark, [("M1", "changed", None, None, None, "SAP", T, T),
+                            ("M2", "new", None, None, None, "SAP", T, T)])
+    t.append(new_rows(t.read(), src, ["source_system", "material_id"]))
+    assert sorted((r.material_id, r.material_name) for r in t.read().collect()) == [("M1", "old"), ("M2", "new")]
