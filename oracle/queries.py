@@ -276,6 +276,8 @@ SELECT DISTINCT source_system, material_id FROM fnd_purchase_order"""
              f"FROM raw_{d}" for d in DATASETS for c in required[d]]
     q["contract_conformance"] = with_ctes(*[RAW[d] for d in DATASETS]) + "\n" + "\nUNION ALL\n".join(parts)
 
+    q["sql_preview"] = with_ctes(RAW["plant"]) + "\nSELECT * FROM raw_plant"
+
     q["ingest_available_now"] = """
 SELECT event_id, ts, user_id, event_type, value, props, 'sap' AS source_system FROM events"""
 

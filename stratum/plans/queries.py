@@ -305,6 +305,13 @@ def q_contract_conformance(spark, sf_dir):
     return out
 
 
+def q_sql_preview(spark, sf_dir):
+    """A4: Raw plant registered as a temporary view and read back with SQL."""
+    from stratum.sources.catalog import preview
+
+    return preview(spark, _raw(spark, sf_dir, "plant"), "raw_plant_preview")
+
+
 # --- publishing runs (write versioned tables under the shared checkpoint root) ---------
 
 def q_published_trusted_shipment(spark, sf_dir):
@@ -362,6 +369,7 @@ QUERIES = {
     "upsert_null_key_plain": q_upsert_null_key_plain,
     "insert_only": q_insert_only,
     "contract_conformance": q_contract_conformance,
+    "sql_preview": q_sql_preview,
     "published_trusted_shipment": q_published_trusted_shipment,
     "incremental_publish_purchase_order": q_incremental_publish_purchase_order,
     **{f"foundation_{d}": _layer_query("foundation", d) for d in DATASETS},
