@@ -51,11 +51,14 @@ def pin_utc(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a fresh
-    temporary folder is created and recorded in the session and the context.
+    Read from the session; only when it is unset in local mode (tests) a
+    fresh temporary folder is created and recorded in the session and the
+    context.  Unset on a cluster is an error: executors would not share it.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"Set {CHECKPOINT_CONF} to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="stratum-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
     if spark.sparkContext.getCheckpointDir() is None:

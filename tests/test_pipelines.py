@@ -59,8 +59,11 @@ def test_layered_publish_equals_in_memory_and_is_idempotent(spark, tmp_dir):
     for d, exp in expected.items():
         got = published[d].select(*exp.columns)
         assert exp.exceptAll(got).count() == 0 and got.exceptAll(exp).count() == 0, d
-    layered.run_layered(spark, raw, tmp_dir, F.lit("2024-07-01").cast("timestamp"))
+    layered.run_layered(spark, raw, tmp_dir, F.lit("2024-07-01").cast("timestamp"), keep_versions=1)
     again = layered.read_layer(spark, tmp_dir, "trusted")
+    from stratum.sources.tables import SnapshotTable
+    kept = layered.tables(spark, tmp_dir, "trusted")["material"]
+    assert isinstance(kept, SnapshotTable) and [n for n, _ in kept._versions()] == [kept.current_version()]
     for d, exp in expected.items():
         a = again[d].drop("record_updated_timestamp")
         assert a.exceptAll(exp.drop("record_updated_timestamp")).count() == 0, d  # created time preserved
