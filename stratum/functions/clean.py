@@ -72,11 +72,14 @@ def standardize(
     null_tokens: Iterable[str] = (),
     upper: Iterable[str] = (),
     tokens: Sequence[str] = DEFAULT_NULL_TOKENS,
+    extra: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Trim, then null tokens, then upper case, as one projection.
 
     The order matters (D8): ``" na "`` is not a token (case-sensitive), so it
-    survives and becomes ``NA``.
+    survives and becomes ``NA``.  ``extra`` adds columns computed from the
+    *input* values in the same projection (e.g. a record id taken before
+    cleaning).
     """
     trim, null_tokens, upper = set(trim), set(null_tokens), set(upper)
     touched = trim | null_tokens | upper
@@ -91,6 +94,7 @@ def standardize(
         if name in upper:
             e = F.upper(e)
         exprs[name] = e
+    exprs.update(extra or {})
     return df.withColumns(exprs) if exprs else df
 
 

@@ -33,10 +33,8 @@ def record_id_expr(rid: RecordId) -> Column:
 
 def standardized(spec: DatasetSpec, raw: DataFrame) -> DataFrame:
     """Record id (before cleaning unless D11 says after) + trim -> null tokens -> upper."""
-    df = raw
-    if not spec.record_id.after_dedupe:
-        df = df.withColumn(RECORD_ID, record_id_expr(spec.record_id))
-    return clean.standardize(df, trim=spec.trim, null_tokens=spec.null_tokens, upper=spec.upper)
+    extra = {} if spec.record_id.after_dedupe else {RECORD_ID: record_id_expr(spec.record_id)}
+    return clean.standardize(raw, trim=spec.trim, null_tokens=spec.null_tokens, upper=spec.upper, extra=extra)
 
 
 def key_filter(spec: DatasetSpec, df: DataFrame) -> DataFrame:
