@@ -121,3 +121,37 @@ def test_insert_only_publish_appends_new_keys(spark, tmp_dir):
                             ("M2", "new", None, None, None, "SAP", T, T)])
     t.append(new_rows(t.read(), src, ["source_system", "material_id"]))
     assert sorted((r.material_id, r.material_name) for r in t.read().collect()) == [("M1", "old"), ("M2", "new")]
+
+
+def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp_dir):
+    import glob
+    from stratum.operators.merge import upsert
+    from stratum.sources.tables import BUCKET_COLUMN, BucketedTable
+    keys = ("source_system", "material_id")
+    t = BucketedTable(spark, tmp_dir, contract("material", "trusted"), keys=keys, buckets=8)
+    first = _material(spark, [(f"M{i}", f"n{i}", None, None, None, "SAP", T, T) for i in range(40)])
+    t.upsert_partitions(first, keys)
+    assert t.read().columns == contract("material", "trusted").names  # bucket column is storage only
+    before = {p: sorted(glob.glob(f"{p}/*.parquet")) for p in glob.glob(f"{t.path}/{BUCKET_COLUMN}=*")}
+    assert len(before) == 8
+    later = T + dt.timedelta(days=1)
+    second = _material(spark, [("M3", "changed", None, None, None, "SAP", later, later),
+                               ("M99", "new", None, None, None, "SAP", later, later)])
+    hit = t.touched_buckets(second)
+    assert 1 <= len(hit) <= 2
+    t.upsert_partitions(second, keys)
+    for p, files in before.items():
+        if int(p.rsplit("=", 1)[1]) not in hit:
+            assert sorted(glob.glob(f"{p}/*.parquet")) == files  # untouched buckets are not rewritten
+    expected = upsert(first, second, list(keys))
+    assert sorted(t.read().collect()) == sorted(expected.collect())
+    assert t.read().count() == 41
+
+
+def test_bucketed_table_rejects_other_keys(spark, tmp_dir):
+    from stratum.sources.tables import BucketedTable
+    t = BucketedTable(spark, tmp_dir, contract("material", "trusted"), keys=("source_system", "material_id"))
+    with pytest.raises(ValueError):
+        t.upsert_partitions(_material(spark, []), ["material_id"])
+    with pytest.raises(ValueError):
+        BucketedTable(spark, tmp_dir, contract("material", "trusted"))
