@@ -67,3 +67,19 @@ def test_inventory_partitioned_two_deliveries(spark, tmp_dir):
            for r in table.read().collect()}
     assert got == {(1, None): 5.0, (2, "A"): 2.0}
     assert _same(table.read(), foundation(s, read_raw(spark, root, "inventory"), TS_()))
+
+
+def test_material_bucketed_two_deliveries(spark, tmp_dir):
+    from stratum.sources.tables import BucketedTable
+    landing, root = f"{tmp_dir}/landing/material", f"{tmp_dir}/lake"
+    head = "material_id,material_name,material_type,unit_of_measure,product_group\n"
+    s = spec("material")
+    table = BucketedTable(spark, root, contract("material", "foundation"), keys=tuple(s.keys), buckets=4)
+    ckpt = f"{root}/_fnd_ckpt/material"
+    data = _land_and_ingest(spark, landing, root, "material", "a.csv", head + " m1 ,one,t,ea,g\nm2,two,t,ea,g\n")
+    foundation_stream(spark, s, data, table, ckpt, TS_())
+    _land_and_ingest(spark, landing, root, "material", "b.csv", head + "m1,ONE-new,t,ea,g\nm3,three,t,ea,g\n")
+    foundation_stream(spark, s, data, table, ckpt, TS_())
+    rows = {r.material_id: r.material_name for r in table.read().collect()}
+    assert rows == {"M1": "ONE-new", "M2": "two", "M3": "three"}
+    assert _same(table.read(), foundation(s, read_raw(spark, root, "material"), TS_()))
