@@ -286,6 +286,7 @@ SELECT event_id, ts, user_id, event_type, value, props, 'sap' AS source_system F
         q[f"trusted_{d}"] = trusted_sql(d)
     # publishing from empty tables gives the same rows as the one-shot pipelines
     q["published_trusted_shipment"] = q["trusted_shipment"]
+    q["published_bucketed_trusted_shipment"] = q["trusted_shipment"]
     q["incremental_publish_purchase_order"] = q["foundation_purchase_order"]
     return q
 

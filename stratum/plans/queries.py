@@ -29,6 +29,7 @@ from stratum.sources import fixtures
 RUN_TS = "2024-06-30 00:00:00"
 RUN_TS_1 = "2024-06-01 00:00:00"
 PO_CUTOFF = "1998-01-01 00:00:00"
+BUCKETS = 16  # key-hash buckets of the bucketed publishing query
 INV_BATCH1_END = "2024-01-20 00:00:00"
 INV_BATCH2_START = "2024-01-15 00:00:00"
 
@@ -325,6 +326,23 @@ def q_published_trusted_shipment(spark, sf_dir):
     return layered.read_layer(spark, root, "trusted")["shipment"]
 
 
+def q_published_bucketed_trusted_shipment(spark, sf_dir):
+    """P14 with key-bucket-scoped sinks: every dataset delivered in two parts (Raw
+    rows up to PO_CUTOFF, then all of Raw by ingestion time) into ``BucketedTable``s
+    (tables without a date in the key) and the partitioned inventory table; the
+    second run rewrites only the buckets its keys touch.  Equals the one-shot
+    Trusted shipments."""
+    from stratum.plans import layered
+    from stratum.session import scratch_path
+
+    root = scratch_path(spark, "bucketed")
+    raw = fixtures.raw_all(spark, sf_dir)
+    first = {d: df.filter(F.col("ingestion_timestamp") <= ts(PO_CUTOFF)) for d, df in raw.items()}
+    for delivery in (first, raw):
+        layered.run_layered(spark, delivery, root, ts(RUN_TS), buckets=BUCKETS)
+    return layered.read_layer(spark, root, "trusted", buckets=BUCKETS)["shipment"]
+
+
 def q_incremental_publish_purchase_order(spark, sf_dir):
     """Purchase orders delivered in two parts (first up to PO_CUTOFF, then all of
     Raw); the second run reads only rows after the published high-water mark and
@@ -371,6 +389,7 @@ QUERIES = {
     "contract_conformance": q_contract_conformance,
     "sql_preview": q_sql_preview,
     "published_trusted_shipment": q_published_trusted_shipment,
+    "published_bucketed_trusted_shipment": q_published_bucketed_trusted_shipment,
     "incremental_publish_purchase_order": q_incremental_publish_purchase_order,
     **{f"foundation_{d}": _layer_query("foundation", d) for d in DATASETS},
     **{f"trusted_{d}": _layer_query("trusted", d) for d in DATASETS},

@@ -155,3 +155,20 @@ def test_bucketed_table_rejects_other_keys(spark, tmp_dir):
         t.upsert_partitions(_material(spark, []), ["material_id"])
     with pytest.raises(ValueError):
         BucketedTable(spark, tmp_dir, contract("material", "trusted"))
+
+
+def test_bucketed_publish_enforces_not_null(spark, tmp_dir):
+    from stratum.sources.tables import BucketedTable
+    keys = ("source_system", "material_id")
+    t = BucketedTable(spark, tmp_dir, contract("material", "trusted"), keys=keys, buckets=4)
+
+    def bad(mid):
+        return _material(spark, [(mid, "n", None, None, None, "SAP", T, T)]).withColumn(
+            "record_created_timestamp", F.lit(None).cast("timestamp"))
+
+    with pytest.raises(ValueError):
+        t.upsert_partitions(bad("M1"), keys)  # first publish: fails inside the write
+    t.upsert_partitions(_material(spark, [("M1", "n", None, None, None, "SAP", T, T)]), keys)
+    with pytest.raises(ValueError):
+        t.upsert_partitions(bad("M2"), keys)  # later publish: fails in the lineage cut, before any overwrite
+    assert [r.material_id for r in t.read().collect()] == ["M1"]
