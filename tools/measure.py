@@ -18,7 +18,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -29,7 +28,7 @@ def main(sf_dir: str) -> None:
 
     from stratum.plans import layered
     from stratum.plans.queries import QUERIES
-    from stratum.session import build_session
+    from stratum.session import build_session, scratch_path
     from stratum.sources import fixtures
     from stratum.streaming.ingest import ingest_available_now_query
 
@@ -69,7 +68,7 @@ def main(sf_dir: str) -> None:
     first = dict(raw, purchase_order=raw["purchase_order"].filter(F.col("ingestion_timestamp") <= F.lit(cut)))
     times = []
     for _ in range(3):
-        root = tempfile.mkdtemp(prefix="measure-upsert-")
+        root = scratch_path(spark, "measure-upsert")
         layered.run_layered(spark, first, root, ts, datasets=("purchase_order",))
         target = layered.read_layer(spark, root, "foundation")["purchase_order"].count()
         t0 = time.perf_counter()
@@ -82,7 +81,7 @@ def main(sf_dir: str) -> None:
 
     times = []
     for _ in range(3):
-        root = tempfile.mkdtemp(prefix="measure-layered-")
+        root = scratch_path(spark, "measure-layered")
         t0 = time.perf_counter()
         layered.run_layered(spark, raw, root, ts)
         times.append(time.perf_counter() - t0)
