@@ -28,60 +28,45 @@ _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 BYTE_FORM = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
-class WordTokenizer:
-    """``max_cache``: most chunks kept; the cache starts anew beyond it (ids do not depend on it)."""
+class WordTokenizer(dict):
+    """A cache chunk -> packed ids that fills itself.
 
-    def __init__(self, path: str, max_cache: int = 600_000):
+    ``max_cache``: most chunks kept; the cache starts anew beyond it (ids do not depend on it).
+    """
+
+    def __init__(self, path: str, max_cache: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merge = self.tokenizer.model.tokenize
         self.max_cache = max_cache
-        self.cache: dict[bytes, bytes] = {}
-
-    def _ids(self, chunks: list[str]) -> list[bytes]:
-        out = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [np.array(e.ids, dtype=ID_DTYPE).tobytes() for e in out]
-
-    def _letter_ids(self, words: list[bytes]) -> list[bytes]:
-        """Lower-case, composed words of letters alone: the model's merges on their byte-level form."""
-        merge = self.tokenizer.model.tokenize
-        return [array("H", [t.id for t in merge(w.decode("latin-1").translate(BYTE_FORM))]).tobytes() for w in words]
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        cache, marked, letters, other = self.cache, [], [], []
-        for c in chunks:
-            stem = c.rstrip(_MARKS)
-            if len(stem) < len(c) and stem[-1:].isalpha():
-                # the tokenizer cuts between a letter and the marks after it
-                marked.append((c, stem, c[len(stem):]))
-                continue
-            word = "" if c.isalpha() else c.decode("utf-8")
-            (other if word and not (word.isalpha() and word == word.lower() and is_normalized("NFC", word)) else letters).append(c)
-        parts = {p for _, stem, marks in marked for p in (stem, marks)}.difference(cache, chunks)
-        if parts:
-            self._learn(parts)
-        cache.update(zip(letters, self._letter_ids(letters), strict=True))
-        for i in range(0, len(other), 1000):
-            part = other[i : i + 1000]
-            cache.update(zip(part, self._ids([w.decode("utf-8") for w in part]), strict=True))
-        cache.update([(c, cache[stem] + cache[marks]) for c, stem, marks in marked])
 
-    def encode_many(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, two bytes each."""
-        # lower-casing could make a special string: such texts go to the tokenizer whole
-        words = [None if SPECIAL_START in t else t.encode("utf-8", "replace").lower().split() for t in texts]
-        cache = self.cache
-        known = set().union(*(w for w in words if w is not None))
-        new = known - cache.keys()
-        if len(cache) + len(new) > self.max_cache:
-            cache.clear()
-            new = known
-        self._learn(new)
-        get = cache.__getitem__
-        return [self._ids([t])[0] if w is None else b"".join(map(get, w)) for t, w in zip(texts, words, strict=True)]
+    def whole(self, text: str) -> bytes:
+        return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        stem = chunk.rstrip(_MARKS)
+        if len(stem) < len(chunk) and stem[-1:].isalpha():
+            # the tokenizer cuts between a letter and the marks after it
+            ids = self[stem] + self[chunk[len(stem):]]
+        elif chunk.isalpha() or (word := chunk.decode("utf-8")).isalpha() and word == word.lower() and is_normalized("NFC", word):
+            # lower-case, composed words of letters alone: the model's merges on their byte-level form
+            ids = array("H", [t.id for t in self.merge(chunk.decode("latin-1").translate(BYTE_FORM))]).tobytes()
+        else:
+            ids = self.whole(word)
+        if len(self) >= self.max_cache:
+            self.clear()
+        self[chunk] = ids
+        return ids
 
     def encode(self, text: str) -> bytes:
-        return self.encode_many([text])[0]
+        """The ids of ``text``, two bytes each."""
+        if SPECIAL_START in text:  # lower-casing could make a special string here
+            return self.whole(text)
+        return b"".join(map(self.__getitem__, text.encode("utf-8", "replace").lower().split()))
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        return [self.encode(t) for t in texts]
 
 
 @lru_cache(maxsize=2)
