@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import bin_packing, ngram_join, token_packing
+from stratum.llm import bin_packing, ngram_join, substring_dedup, token_packing
 from stratum.llm.stage import table
 
 
@@ -16,9 +16,13 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_collinear_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.fuzzy_passages(table(spark, sf_dir, "documents"))
+
+
 def op10_large_item_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bin_packing.best_fit_packing(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bfd_token_matrices, op6_ngram_jaccard_join, op10_large_item_packing)}
+QUERIES = {f.__name__: f for f in (op1_bfd_token_matrices, op6_ngram_jaccard_join, op8_collinear_passages, op10_large_item_packing)}
 SQL: dict[str, str] = {}
