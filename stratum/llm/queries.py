@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import bin_packing, ngram_join, substring_dedup, token_packing
+from stratum.llm import bin_packing, chat_format, decontaminate, license_scan, ngram_join, quality_rules, substring_dedup, token_packing
 from stratum.llm.stage import table
 
 
@@ -12,17 +12,34 @@ def op1_bfd_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_packing.packed_matrices(table(spark, sf_dir, "documents"))
 
 
+def op3_adaptive_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_verdicts(table(spark, sf_dir, "documents"))
+
+
+def op5_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_license_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_collinear_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.fuzzy_passages(table(spark, sf_dir, "documents"))
 
 
+def op9_event_sourced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat_format.with_probe(table(spark, sf_dir, "conversations"))
+    return chat_format.digests(chat_format.formatted(chat_format.conversation_events(rows)))
+
+
 def op10_large_item_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bin_packing.best_fit_packing(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bfd_token_matrices, op6_ngram_jaccard_join, op8_collinear_passages, op10_large_item_packing)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_bfd_token_matrices, op3_adaptive_quality_rules, op5_pigeonhole_decontamination, op6_ngram_jaccard_join, op7_license_set_join, op8_collinear_passages, op9_event_sourced_chat, op10_large_item_packing)}
+SQL: dict[str, str] = {"op9_event_sourced_chat": chat_format.ORACLE}
