@@ -17,7 +17,8 @@
 Result, one row for each row of the input: ``doc_id``; ``class_id``, the least
 doc_id of its near-duplicate group; ``text_class``, the least doc_id with the
 same n-gram set; ``n_links``, how many other rows have similarity of at least
-the threshold (copies count each).
+the threshold (copies count each); ``stays``, true for the group's row with the
+least id and for every row without a group; ``text_hash``.
 
 Rows: a null text or one without words is in no class and has no links
 (``class_id`` is its own id); a text of one to four words has one n-gram, all
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.llm.components import components
@@ -76,32 +77,37 @@ class MinHash:
         return (h ^ (h >> np.uint64(29))).view(np.int64)
 
 
-SIGNED = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64()))])
+SIGNED = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
 
 def signatures(docs: DataFrame, n: int, bands: int) -> DataFrame:
-    """``doc_id, digest, bands``; a text without words has a null digest."""
+    """``doc_id, text_hash, digest, bands``; a text without words has a null digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashing, recent = MinHash(bands), {}
 
         def rows():
             for batch in batches:
-                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                for doc, h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                     grams = shingle_set(text.as_py(), n)
                     if not len(grams):
-                        yield doc, None, None
+                        yield doc, h, None, None
                         continue
                     digest = xxhash.xxh3_128_digest(grams.tobytes())
                     if (keys := recent.get(digest)) is None:
                         if len(recent) > 2000:
                             recent.clear()
                         recent[digest] = keys = hashing.keys(grams)
-                    yield doc, digest, keys
+                    yield doc, h, digest, keys
 
         yield from batched(rows(), SIGNED)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, digest binary, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long"), text_hash(), F.col("text").cast("string")).mapInArrow(
+        run, "doc_id long, text_hash long, digest binary, bands array<long>")
+
+
+def text_hash():
+    return F.xxhash64(F.col("text").cast("string")).alias("text_hash")
 
 
 class _Union:
@@ -211,16 +217,32 @@ def near_duplicates(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, r
 
     links = found.groupBy("digest").agg(F.sum("links").alias("links"))
     groups = components(found.where("other is not null").select(F.col("digest").alias("a"), F.col("other").alias("b")), "groups")
-    # least id of a group, over the classes in it
-    linked = groups.join(classes.withColumnRenamed("digest", "node"), "node")
-    ids = linked.groupBy("root").agg(F.min("text_class").alias("class_id"))
-    of_group = groups.join(ids, "root").select(F.col("node").alias("digest"), "class_id")
-    facts = classes.where("copies > 1").select("digest").union(of_group.select("digest")).distinct().join(classes, "digest").join(
-        of_group, "digest", "left").join(links, "digest", "left")
-    out = signed.select("doc_id", "digest").join(facts, "digest", "left")
-    return out.select("doc_id", F.when(F.col("copies").isNotNull(), F.coalesce("class_id", "text_class")).otherwise(F.col("doc_id")).alias("class_id"),
-                      F.when(F.col("copies").isNotNull(), F.col("text_class")).otherwise(F.col("doc_id")).alias("text_class"),
-                      (F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    # of each group the row with the least id stays; equal ids go by the text's hash
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
+    firsts = signed.where("digest is not null").groupBy("digest").agg(first.alias("first"))
+    linked = groups.join(firsts.withColumnRenamed("digest", "node"), "node")
+    of_group = groups.join(linked.groupBy("root").agg(F.min("first").alias("group_first")), "root").select(F.col("node").alias("digest"), "group_first")
+    facts = classes.join(of_group, "digest", "left").where("copies > 1 or group_first is not null").join(firsts, "digest").join(links, "digest", "left")
+    out = signed.select("doc_id", "text_hash", "digest").join(
+        facts.select("digest", "copies", "text_class", "links", F.coalesce("group_first", "first").alias("best")), "digest", "left")
+    grouped_row = F.col("copies").isNotNull()
+    return out.select(
+        "doc_id", F.when(grouped_row, F.col("best.doc_id")).otherwise(F.col("doc_id")).alias("class_id"),
+        F.when(grouped_row, F.col("text_class")).otherwise(F.col("doc_id")).alias("text_class"),
+        (F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+        (~grouped_row | (F.col("best.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("best.text_hash") == F.col("text_hash")))).alias("stays"), "text_hash")
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """The documents with one row of each near-duplicate group, and all without one; columns stay."""
+    keep = near_duplicates(docs, **options).where("stays").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    rows = docs.withColumn("__hash", text_hash())
+    left = rows.join(keep.withColumnRenamed("__hash", "__keep"), F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__keep")), "left_semi")
+    words = F.col("text").cast("string").rlike("[^ \\t-\\r]")
+    # rows that repeat both id and text are copies of each other too
+    order = Window.partitionBy("doc_id", "__hash").orderBy("__hash")
+    numbered = left.withColumn("__n", F.row_number().over(order))
+    return numbered.where((F.col("__n") == 1) | ~F.coalesce(words, F.lit(False))).select(*docs.columns)
 
 
 def _with_grams(one: DataFrame, texts: DataFrame, n: int) -> DataFrame:

@@ -3,8 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from stratum.llm import bin_packing, chat_format, decontaminate, license_scan, ngram_join, quality_rules, substring_dedup, token_packing
+from pyspark.sql import functions as F
+
+from stratum.llm import (
+    bin_packing,
+    chat_format,
+    decontaminate,
+    language_id,
+    license_scan,
+    ngram_join,
+    quality_classifier,
+    quality_rules,
+    substring_dedup,
+    token_packing,
+)
 from stratum.llm.stage import table
 
 
@@ -12,16 +24,26 @@ def op1_bfd_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_packing.packed_matrices(table(spark, sf_dir, "documents"))
 
 
+def op2_empirical_bayes_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host: the document's source.  Path: its part of the source in one language."""
+    path = F.concat_ws("/", "source", "lang")
+    return quality_classifier.quality_posteriors(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("source"), path)
+
+
 def op3_adaptive_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op4_family_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.languages(table(spark, sf_dir, "documents"))
+
+
 def op5_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op7_license_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,5 +63,8 @@ def op10_large_item_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bin_packing.best_fit_packing(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bfd_token_matrices, op3_adaptive_quality_rules, op5_pigeonhole_decontamination, op6_ngram_jaccard_join, op7_license_set_join, op8_collinear_passages, op9_event_sourced_chat, op10_large_item_packing)}
+QUERIES = {f.__name__: f for f in (
+    op1_bfd_token_matrices, op2_empirical_bayes_quality, op3_adaptive_quality_rules, op4_family_language_id,
+    op5_pigeonhole_decontamination, op6_ngram_jaccard_join, op7_license_set_join, op8_collinear_passages,
+    op9_event_sourced_chat, op10_large_item_packing)}
 SQL: dict[str, str] = {"op9_event_sourced_chat": chat_format.ORACLE}

@@ -19,7 +19,8 @@
 ``ref_doc_id``, ``start``, ``end``, ``ref_start``, ``ref_end`` (words from 0,
 end exclusive), ``matched`` (words), ``region_start``, ``region_end``.
 ``without_passages`` returns the documents with the regions cut out of their
-text; the first document that has a passage keeps it.
+text (``n_chars``, if there, follows it); the first document that has a passage
+keeps it, and one of which no word is left goes.
 
 Rows: a null text or one of fewer than ``min_words`` words has no passages; a
 row with a null ``doc_id`` is neither compared nor changed; rows that repeat
@@ -322,4 +323,7 @@ def _cut_all(docs: DataFrame, parts: DataFrame) -> DataFrame:
     new = p.mapInArrow(run, "__id long, __text string, __cut string").withColumn("__h", F.xxhash64("__text")).drop("__text")
     joined = docs.join(new, (docs["doc_id"].cast("long") == new["__id"]) & (F.xxhash64(docs["text"].cast("string")) == new["__h"]), "left")
     text = F.when(F.col("__id").isNotNull(), F.col("__cut")).otherwise(docs["text"].cast("string")).cast(spark_type["text"])
-    return joined.select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns])
+    # a count of characters follows the text; a document of which nothing is left goes
+    short = {"text": text, "n_chars": F.when(F.col("__id").isNotNull(), F.length("__cut").cast(spark_type.get("n_chars", "long"))).otherwise(docs["n_chars"])} if "n_chars" in docs.columns else {"text": text}
+    some = F.col("__id").isNull() | F.col("__cut").rlike("[^ \\t-\\r]")
+    return joined.where(some).select(*[short[c].alias(c) if c in short else docs[c] for c in docs.columns])
