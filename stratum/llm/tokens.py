@@ -34,7 +34,7 @@ class WordTokenizer(dict):
     ``max_cache``: most chunks kept; the cache starts anew beyond it (ids do not depend on it).
     """
 
-    def __init__(self, path: str, max_cache: int = 1_000_000):
+    def __init__(self, path: str, max_cache: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

@@ -12,7 +12,7 @@ import xxhash
 class _Hashes(dict):
     """Word -> its hash, kept for repeated words; bounded by starting anew (hashes do not depend on it)."""
 
-    limit = 1_000_000
+    limit = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:
