@@ -47,7 +47,7 @@ def merge_condition(
     """
     keys = list(keys)
     if not keys:
-        raise ValueError("At least one merge key is required.")
+        raise ValueError("A merge needs one key column or more.")
     safe = set(keys if nullable_keys is None else nullable_keys) if null_safe else set()
     return [target[k].eqNullSafe(source[k]) if k in safe else target[k] == source[k] for k in keys]
 

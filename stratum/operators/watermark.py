@@ -26,8 +26,9 @@ def high_water_mark(df: DataFrame, column: str):
 def incremental_filter(raw: DataFrame, mark, column: str = "ingestion_timestamp") -> DataFrame:
     """rows strictly after the mark; everything when the mark is null.
 
-    Applied to the raw column before any cleaning, so Parquet pushes the
-    comparison down to row-group statistics (``PushedFilters: GreaterThan``).
+    Applied to the raw column before any cleaning, so Parquet can compare it
+    with row-group statistics; these exist if the files hold timestamps as
+    microseconds (``session.DEFAULTS``), not as INT96.
     """
     validate_columns(raw, [column])
     if mark is None:
@@ -39,11 +40,12 @@ def incremental_after(raw: DataFrame, target: DataFrame, mark_column: str,
                       column: str = "ingestion_timestamp") -> DataFrame:
     """F6 without a driver round trip: filter against the target's mark as a scalar subquery.
 
-    ``max`` over an empty target is null and ``x > null`` is never true, so
-    the null case is handled with ``coalesce`` to keep "null mark = full read".
-    Spark evaluates the uncorrelated scalar subquery once before the scan.
+    ``max`` over an empty target is null; ``coalesce`` to the first year keeps
+    "null mark = full read" (of rows that have a timestamp, as every ingested
+    row does) in one comparison that Parquet accepts.  Spark evaluates the
+    uncorrelated scalar subquery once before the scan.
     """
     validate_columns(raw, [column])
     validate_columns(target, [mark_column])
     mark = target.agg(F.max(mark_column).alias("m")).scalar()
-    return raw.filter(mark.isNull() | (F.col(column) > mark))
+    return raw.filter(F.col(column) > F.coalesce(mark, F.lit("0001-01-01 00:00:00").cast("timestamp")))

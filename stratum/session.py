@@ -19,6 +19,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # INT96 timestamps have no statistics that a filter could use
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -43,7 +45,8 @@ def build_session(master: str | None = None, app: str = "stratum", shuffle_parti
 
 
 def pin_utc(spark: SparkSession) -> None:
-    """Contracts hold TIMESTAMP; the inputs hold timestamp_ntz.  Cast in UTC."""
+    """Contracts hold TIMESTAMP; the inputs hold timestamp_ntz.  Cast in UTC; write microseconds."""
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
@@ -55,7 +58,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     fresh temporary folder is created and recorded in the session and the
     context.  Unset on a cluster is an error: executors would not share it.
     """
-    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+    root = (spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+            or spark.sparkContext.getCheckpointDir())
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"Set {CHECKPOINT_CONF} to a folder shared by all executors")

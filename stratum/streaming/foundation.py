@@ -10,9 +10,9 @@ This equals the full recomputation because ``ingestion_timestamp`` is the
 processing time of the Raw micro-batch that wrote a row: every row of a
 later delivery is newer than every row already published, so the newest
 version of a key in the new rows always wins, exactly as it would in a
-window over all of Raw.  A retried micro-batch recomputes the same upsert
-and publishes the same content again, so re-processing after a failure is
-harmless.
+window over all of Raw.  A retried micro-batch first completes what the dead
+run had staged (``sources.tables``), then computes the same upsert again.
+A micro-batch of which no row is accepted publishes nothing.
 """
 
 from __future__ import annotations
@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stratum.contracts import contract
-from stratum.operators.merge import upsert
+from stratum.operators.merge import assert_unique_keys, upsert
 from stratum.plans import foundation as fnd
 from stratum.plans.specs import DatasetSpec
-from stratum.session import pin_utc
+from stratum.session import pin_utc, scratch_path
 from stratum.sources.tables import PartitionedTable, SnapshotTable
 
 
@@ -55,8 +55,13 @@ def foundation_stream(
         if isinstance(table, PartitionedTable):
             table.upsert_partitions(source, s.keys, s.preserve_on_update, null_safe, s.nullable_keys())
         else:
-            table.publish(upsert(table.read(), source, s.keys, s.preserve_on_update, null_safe,
-                                 s.nullable_keys()))
+            # evaluated once: the written rows decide whether there is anything, are checked, and merged
+            path = scratch_path(spark, "deliveries")
+            source.write.parquet(path)
+            rows = spark.read.schema(source.schema).parquet(path)
+            if not rows.isEmpty():
+                assert_unique_keys(rows, s.keys)
+                table.publish(upsert(table.read(), rows, s.keys, s.preserve_on_update, null_safe, s.nullable_keys()))
 
     writer = raw.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint_path)
     if not continuous:

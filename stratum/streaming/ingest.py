@@ -21,6 +21,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,9 +52,9 @@ class IngestionConfig:
 
     def validated(self) -> "IngestionConfig":
         if self.source_type != "file":
-            raise ValueError(f"Unsupported source type: {self.source_type}")
+            raise ValueError(f"{self.name}: source type {self.source_type!r} is not one of {list(SUPPORTED_SOURCE_TYPES)}")
         if self.format.lower() not in SUPPORTED_FORMATS:
-            raise ValueError(f"Unsupported file format: {self.format}. Expected one of: {list(SUPPORTED_FORMATS)}")
+            raise ValueError(f"{self.name}: format {self.format!r} is not one of {list(SUPPORTED_FORMATS)}")
         if self.load_mode not in SUPPORTED_LOAD_MODES:
             raise ValueError(f"Unsupported load mode: {self.load_mode}. Only 'append' is implemented")
         if not self.source_system:
@@ -77,18 +78,34 @@ def source_schema(spark: SparkSession, cfg: IngestionConfig, target: Contract |
         reader = spark.read.option("header", cfg.header).option("sep", cfg.delimiter)
         for k, v in cfg.options.items():
             reader = reader.option(k, v)
-        return reader.csv(cfg.path).schema
+        payload = _payload(target) if target is not None else None
+        try:
+            schema = reader.csv(cfg.path).schema
+        except AnalysisException as e:
+            if payload is None or e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            return payload  # an empty landing folder: nothing to read yet
+        if cfg.header:
+            return schema
+        if payload is None or len(payload) != len(schema):
+            raise ValueError(f"{cfg.name}: {len(schema)} columns without a header cannot be bound to the contract's payload columns")
+        return payload  # without a header the order is the contract's
     if fmt == "json":
         if target is None:
             raise ValueError("JSON sources need the target contract to name their columns")
-        meta = {"source_system", "source_file", "ingestion_batch_id", "ingestion_timestamp"}
-        return T.StructType([T.StructField(c, T.StringType()) for c in target.names if c not in meta])
+        return _payload(target)
     reader = spark.read
     for k, v in cfg.options.items():
         reader = reader.option(k, v)
     return reader.parquet(cfg.path).schema
 
 
+def _payload(target: Contract) -> T.StructType:
+    """The contract's columns that a landing file holds, as strings."""
+    meta = {"source_system", "source_file", "ingestion_batch_id", "ingestion_timestamp"}
+    return T.StructType([T.StructField(c, T.StringType()) for c in target.names if c not in meta])
+
+
 def read_file_stream(spark: SparkSession, cfg: IngestionConfig, schema: T.StructType | None = None,
                      target: Contract | None = None) -> DataFrame:
     """A1: new files under ``cfg.path``, each processed once per checkpoint."""

@@ -172,3 +172,78 @@ def test_bucketed_publish_enforces_not_null(spark, tmp_dir):
     with pytest.raises(ValueError):
         t.upsert_partitions(bad("M2"), keys)  # later publish: fails in the lineage cut, before any overwrite
     assert [r.material_id for r in t.read().collect()] == ["M1"]
+
+
+def _material_rows(spark, n, run):
+    from stratum.contracts import contract
+    c = contract("material", "trusted")
+    exprs = []
+    for f in c.schema().fields:
+        if f.name == "source_system":
+            exprs.append("'sap' AS source_system")
+        elif f.name == "material_id":
+            exprs.append("concat('M', id) AS material_id")
+        else:
+            exprs.append(f"CAST({'current_timestamp()' if f.dataType.simpleString() == 'timestamp' else repr(run) if f.dataType.simpleString() == 'string' else 'NULL' if f.nullable else '1'} AS {f.dataType.simpleString()}) AS `{f.name}`")
+    return c, spark.range(n).selectExpr(*exprs)
+
+
+def test_other_bucket_count_or_sink_is_refused(spark, tmp_dir):
+    from stratum.sources.tables import BucketedTable, SnapshotTable
+    keys = ("source_system", "material_id")
+    c, rows = _material_rows(spark, 60, "1")
+    BucketedTable(spark, tmp_dir, c, keys=keys, buckets=4).upsert_partitions(rows, keys)
+    other = BucketedTable(spark, tmp_dir, c, keys=keys, buckets=32)
+    with pytest.raises(ValueError, match="buckets 4"):
+        other.upsert_partitions(rows, keys)
+    with pytest.raises(ValueError, match="buckets 4"):
+        other.read()
+    with pytest.raises(ValueError, match="buckets 4"):
+        SnapshotTable(spark, tmp_dir, c).read()
+    assert BucketedTable(spark, tmp_dir, c, keys=keys, buckets=4).read().count() == 60
+
+
+def test_run_killed_during_the_overwrite_loses_nothing(spark, tmp_dir):
+    import shutil
+
+    from stratum.sources.tables import BUCKET_COLUMN, STAGE, BucketedTable
+    keys = ("source_system", "material_id")
+    c, rows = _material_rows(spark, 40, "1")
+    t = BucketedTable(spark, tmp_dir, c, keys=keys, buckets=4)
+    t.upsert_partitions(rows, keys)
+    apply = t._apply
+    t._apply = lambda: None  # the driver dies after the stage is complete ...
+    t.upsert_partitions(_material_rows(spark, 50, "2")[1], keys)
+    shutil.rmtree(f"{t.path}/{BUCKET_COLUMN}=1")  # ... and one partition was already deleted
+    assert os.path.exists(f"{t.path}/{STAGE}/_SUCCESS")
+    t._apply = apply
+    assert BucketedTable(spark, tmp_dir, c, keys=keys, buckets=4).read().count() == 50
+    assert not os.path.exists(f"{t.path}/{STAGE}")
+
+
+def test_duplicate_keys_of_a_delivery_are_refused(spark, tmp_dir):
+    from stratum.sources.tables import BucketedTable
+    keys = ("source_system", "material_id")
+    c, rows = _material_rows(spark, 5, "1")
+    with pytest.raises(ValueError, match="duplicate keys"):
+        BucketedTable(spark, tmp_dir, c, keys=keys, buckets=4).upsert_partitions(rows.unionByName(rows), keys)
+
+
+def test_high_water_filter_prunes_files(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from stratum.operators.watermark import incremental_after
+    for i in range(10):
+        (spark.range(100).withColumn("ts", (F.lit(f"2024-01-{i + 1:02d}").cast("timestamp"))).coalesce(1)
+         .write.option("compression", "none").mode("append").parquet(tmp_dir + "/raw"))
+    raw = spark.read.parquet(tmp_dir + "/raw")
+    target = spark.createDataFrame([(None,)], "m timestamp")
+    assert incremental_after(raw, target, "m", "ts").count() == 1000
+    mark = spark.sql("SELECT TIMESTAMP '2024-01-08' AS m")
+    new = incremental_after(raw, mark, "m", "ts")
+    assert new.count() == 200
+    new.collect()
+    leaves = new._jdf.queryExecution().executedPlan().executedPlan().collectLeaves()
+    found = [leaves.apply(i).metrics() for i in range(leaves.size())]
+    read = [m.apply("numOutputRows").value() for m in found if m.contains("numOutputRows")]
+    assert read and max(read) < 1000, read  # statistics keep the older files' rows out of the scan
