@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratum.llm.stage import staged
 from stratum.llm.words import batched
 
 PER_LANGUAGE = 500
@@ -95,6 +96,7 @@ def trained(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str
     usable = docs.where("doc_id is not null and lang is not null and text is not null").where(~held_out())
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     pick = usable.select(F.col("lang").alias("lang"), "doc_id").withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
+    pick = staged(pick.select("lang", "doc_id"), "sample")  # few rows of a known size: texts need not be shuffled to meet them
     langs = sorted(r[0] for r in pick.select("lang").distinct().collect())
     if len(langs) < 2:
         return langs, {}
