@@ -92,10 +92,11 @@ def fences(counted: DataFrame) -> DataFrame:
     """``lang, source`` and each ratio's ``_low`` and ``_high`` limit, from documents with ``COUNTS``."""
     long = counted.where("n_words > 0").select("lang", "source", F.explode(F.array(*[
         F.struct(F.lit(n).alias("ratio"), _bucket(ratio(n)).alias("bucket")) for n in RATIOS])).alias("x")).select("lang", "source", "x.*")
-    sketch = staged(long.groupBy("lang", "source", "ratio", "bucket").agg(F.count("*").alias("n")), "sketches")
-    groups = sketch.select("lang", "source").distinct()
+    # ``every`` is the one key of the sketch of all rows
+    sketch = staged(long.groupBy("lang", "source", "ratio", "bucket").agg(F.count("*").alias("n"), F.lit(0).alias("every")), "sketches")
+    groups = sketch.select("lang", "source", "every").distinct()
     levels = []
-    for keys in (("lang", "source"), ("lang",), ()):
+    for keys in (("lang", "source"), ("lang",), ("every",)):
         merged = sketch.groupBy(*keys, "ratio", "bucket").agg(F.sum("n").alias("n"))
         w = Window.partitionBy(*keys, "ratio")
         ranked = merged.withColumn("all", F.sum("n").over(w)).withColumn("upto", F.sum("n").over(w.orderBy("bucket")))
@@ -110,7 +111,7 @@ def fences(counted: DataFrame) -> DataFrame:
     names = [f"{n}_{end}" for n in RATIOS for end in ("high", "low")]
     exact, by_lang, overall = (d.select(*[F.col(c).alias(f"{c}_{i}") for c in d.columns]) for i, d in enumerate(levels))
     out = groups.join(exact, F.col("lang").eqNullSafe(F.col("lang_0")) & F.col("source").eqNullSafe(F.col("source_0")))
-    out = out.join(by_lang, F.col("lang").eqNullSafe(F.col("lang_1"))).join(overall, F.lit(True))  # overall is one row
+    out = out.join(by_lang, F.col("lang").eqNullSafe(F.col("lang_1"))).join(overall, F.col("every") == F.col("every_2"))
     return out.select("lang", "source", *[
         F.when(F.col("rows_0") >= MIN_ROWS, F.col(f"{c}_0")).when(F.col("rows_1") >= MIN_ROWS, F.col(f"{c}_1")).otherwise(F.col(f"{c}_2")).alias(c) for c in names])
 
