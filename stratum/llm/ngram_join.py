@@ -223,8 +223,9 @@ def near_duplicates(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, r
     linked = groups.join(firsts.withColumnRenamed("digest", "node"), "node")
     of_group = groups.join(linked.groupBy("root").agg(F.min("first").alias("group_first")), "root").select(F.col("node").alias("digest"), "group_first")
     facts = classes.join(of_group, "digest", "left").where("copies > 1 or group_first is not null").join(firsts, "digest").join(links, "digest", "left")
-    out = signed.select("doc_id", "text_hash", "digest").join(
-        facts.select("digest", "copies", "text_class", "links", F.coalesce("group_first", "first").alias("best")), "digest", "left")
+    # written, so that the join below is of two plain shuffles and a hot class can be split
+    facts = staged(facts.select("digest", "copies", "text_class", "links", F.coalesce("group_first", "first").alias("best")), "facts")
+    out = signed.select("doc_id", "text_hash", "digest").join(facts, "digest", "left")
     grouped_row = F.col("copies").isNotNull()
     return out.select(
         "doc_id", F.when(grouped_row, F.col("best.doc_id")).otherwise(F.col("doc_id")).alias("class_id"),
