@@ -221,6 +221,8 @@ def _found(docs: DataFrame, k: int, window: int, min_words: int, only_spans: boo
     every = seeds(docs, k, window, min_words)
     first = every.groupBy("seed").agg(F.min(F.struct("doc_id", "pos")).alias("f"), F.max("doc_id").alias("top")).where("f.doc_id < top").select(
         "seed", F.col("f.doc_id").alias("ref"), F.col("f.pos").alias("at"))
+    # written, so that the join is of two plain shuffles and the seeds of a common passage can be split
+    first = staged(first, "first")
     anchors = every.join(first, "seed").where("doc_id > ref")
     linked = staged(chained(anchors, k, partitions), "chains")
 
