@@ -27,6 +27,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratum.functions.predicates import not_null
 from stratum.operators.columns import validate_columns
 
 _IN_T, _IN_S = "_in_t", "_in_s"
@@ -145,11 +146,15 @@ def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
-def assert_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
+def assert_unique_keys(source: DataFrame, keys: Sequence[str], null_safe: bool = True) -> None:
     """Fail before a merge whose source has two rows for one key.
 
     One aggregation job; ``limit(1)`` lets Spark stop at the first duplicate.
+    Where the merge compares with plain ``=``, keys with a null part match nothing
+    and are not looked at.
     """
+    if not null_safe:
+        source = source.filter(not_null(list(keys)))
     dup = duplicate_keys(source, keys).limit(1).collect()
     if dup:
         raise ValueError(f"Merge source has duplicate keys, e.g. {dup[0].asDict()}")

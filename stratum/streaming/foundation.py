@@ -24,10 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stratum.contracts import contract
-from stratum.operators.merge import assert_unique_keys, upsert
 from stratum.plans import foundation as fnd
 from stratum.plans.specs import DatasetSpec
-from stratum.session import pin_utc, scratch_path
+from stratum.session import pin_utc
 from stratum.sources.tables import PartitionedTable, SnapshotTable
 
 
@@ -52,16 +51,7 @@ def foundation_stream(
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
         source = fnd.foundation(batch_spec, batch, F.current_timestamp() if run_ts is None else run_ts)
-        if isinstance(table, PartitionedTable):
-            table.upsert_partitions(source, s.keys, s.preserve_on_update, null_safe, s.nullable_keys())
-        else:
-            # evaluated once: the written rows decide whether there is anything, are checked, and merged
-            path = scratch_path(spark, "deliveries")
-            source.write.parquet(path)
-            rows = spark.read.schema(source.schema).parquet(path)
-            if not rows.isEmpty():
-                assert_unique_keys(rows, s.keys)
-                table.publish(upsert(table.read(), rows, s.keys, s.preserve_on_update, null_safe, s.nullable_keys()))
+        table.upsert(source, s.keys, s.preserve_on_update, null_safe, s.nullable_keys())
 
     writer = raw.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint_path)
     if not continuous:
