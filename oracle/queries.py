@@ -112,6 +112,34 @@ def _inventory_batches() -> list[str]:
             fnd_inventory("inv_b2", "inv_s", RUN_TS)]
 
 
+def _renamed(cte: str, fnd: str, trs: str) -> str:
+    """A Trusted CTE over other Foundation and Trusted names."""
+    return cte.replace("trs_", "\0").replace("fnd_", fnd).replace("\0", trs)
+
+
+FIRST_DELIVERY = {"material": "ingestion_batch_id = 'fixture-1'", "plant": "TRUE", "supplier": "TRUE",
+                  "purchase_order": f"ingestion_timestamp <= {PO_CUTOFF}", "shipment": f"ingestion_timestamp <= {PO_CUTOFF}"}
+KEYS = {"material": MAT_KEYS, "plant": ("source_system", "plant_id"), "supplier": ("source_system", "supplier_id"),
+        "purchase_order": PO_KEYS, "shipment": ("source_system", "shipment_id")}
+
+
+def _two_deliveries() -> str:
+    """Trusted shipments after two publishing runs: Foundation merges each delivery, Trusted takes all
+    of Foundation each time and keeps what it published before."""
+    ctes = []
+    for d, first in FIRST_DELIVERY.items():
+        cols, keys = COLUMNS[f"fnd.{d}"].split(), KEYS[d]
+        ctes += [RAW[d], f"raw1_{d} AS (SELECT * FROM raw_{d} WHERE {first})", f"raw2_{d} AS (SELECT * FROM raw_{d} WHERE NOT ({first}))",
+                 FND[d](f"raw1_{d}", f"f1_{d}", RUN_TS_1), FND[d](f"raw2_{d}", f"d2_{d}", RUN_TS),
+                 f"f2_{d} AS ({_upsert(keys, cols, f'f1_{d}', f'd2_{d}', keep=('record_created_timestamp',))})"]
+    for d in FIRST_DELIVERY:
+        match = " AND ".join(f"o.{k} = n.{k}" for k in KEYS[d])
+        new = _renamed(TRS[d], "f2_", "t2_").replace(f"t2_{d} AS", f"n2_{d} AS", 1)
+        ctes += [_renamed(TRS[d], "f1_", "t1_"), new,
+                 f"t2_{d} AS (SELECT * FROM n2_{d} UNION ALL BY NAME SELECT * FROM t1_{d} o WHERE NOT EXISTS (SELECT 1 FROM n2_{d} n WHERE {match}))"]
+    return with_ctes(*ctes) + "\n" + select(COLUMNS["trs.shipment"], "t2_shipment")
+
+
 def _refs():
     return {"purchase_order": [("material", "material_id"), ("supplier", "supplier_id"), ("plant", "plant_id")],
             "shipment": [("material", "material_id"), ("supplier", "supplier_id"), ("plant", "plant_id")],
@@ -226,13 +254,18 @@ SELECT DISTINCT source_system, material_id FROM fnd_purchase_order"""
     for d, refs in _refs().items():
         for ref, idc in refs:
             parts.append(f"SELECT '{d}' AS dataset, '{ref}' AS reference, count(*) AS orphan_rows "
-                         f"FROM trs_{d} f ANTI JOIN trs_{ref} r ON f.source_system = r.source_system "
+                         f"FROM trs_{d} f ANTI JOIN now_trs_{ref} r ON f.source_system = r.source_system "
                          f"AND f.{idc} = r.{idc}")
     parts.append("SELECT 'shipment' AS dataset, 'purchase_order' AS reference, count(*) AS orphan_rows "
-                 "FROM trs_shipment f ANTI JOIN trs_purchase_order r ON f.source_system = r.source_system "
+                 "FROM trs_shipment f ANTI JOIN now_trs_purchase_order r ON f.source_system = r.source_system "
                  "AND f.purchase_order_id = r.purchase_order_id AND f.purchase_order_line = r.purchase_order_line "
                  "WHERE f.purchase_order_id IS NOT NULL")
-    q["published_audit"] = with_ctes(*raw_fnd(DATASETS), *[TRS[d] for d in DATASETS]) + "\n" + \
+    later = [f"now_raw_{d} AS (SELECT * REPLACE (CASE WHEN coalesce(trim({d}_id, ' ') LIKE '%7', FALSE) THEN NULL ELSE {d}_name END "
+             f"AS {d}_name) FROM raw_{d})" for d in ("material", "plant", "supplier")]
+    later += [FND[d](f"now_raw_{d}", f"now_fnd_{d}", RUN_TS) for d in ("material", "plant", "supplier")]
+    later += [_renamed(TRS[d], "now_fnd_", "now_trs_") for d in ("material", "plant", "supplier")]
+    later.append(_renamed(TRS["purchase_order"], "fnd_", "now_trs_"))
+    q["published_audit"] = with_ctes(*raw_fnd(DATASETS), *[TRS[d] for d in DATASETS], *later) + "\n" + \
         "\nUNION ALL\n".join(parts)
 
     po_cols = COLUMNS["fnd.purchase_order"].split()
@@ -279,15 +312,17 @@ SELECT DISTINCT source_system, material_id FROM fnd_purchase_order"""
     q["sql_preview"] = with_ctes(RAW["plant"]) + "\nSELECT * FROM raw_plant"
 
     q["ingest_available_now"] = """
-SELECT event_id, ts, user_id, event_type, value, props, 'sap' AS source_system FROM events"""
+SELECT event_id, ts, user_id, event_type, value, props, 'sap' AS source_system, 'events.parquet' AS source_file,
+       'run-1' AS ingestion_batch_id, TRUE AS has_ingestion_timestamp
+FROM events"""
 
     for d in DATASETS:
         q[f"foundation_{d}"] = foundation_sql(d)
         q[f"trusted_{d}"] = trusted_sql(d)
     # publishing from empty tables gives the same rows as the one-shot pipelines
     q["published_trusted_shipment"] = q["trusted_shipment"]
-    q["published_bucketed_trusted_shipment"] = q["trusted_shipment"]
-    q["incremental_publish_purchase_order"] = q["foundation_purchase_order"]
+    q["published_bucketed_trusted_shipment"] = q["landing_to_trusted"] = _two_deliveries()
+    q["incremental_publish_purchase_order"] = q["upsert_two_batches"]
     return q
 
 

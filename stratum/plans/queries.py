@@ -9,11 +9,13 @@ second delivery, as a daily job would see it.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratum.contracts import contract, DATASETS
+from stratum.contracts import contract, DATASETS, payload_columns
 from stratum.functions import clean
 from stratum.functions.predicates import requirement
 from stratum.operators import columns as cols
@@ -29,6 +31,7 @@ from stratum.sources import fixtures
 RUN_TS = "2024-06-30 00:00:00"
 RUN_TS_1 = "2024-06-01 00:00:00"
 PO_CUTOFF = "1998-01-01 00:00:00"
+CSV_NULL = "\\N"  # null in the landing files
 BUCKETS = 16  # key-hash buckets of the bucketed publishing query
 INV_BATCH1_END = "2024-01-20 00:00:00"
 INV_BATCH2_START = "2024-01-15 00:00:00"
@@ -212,34 +215,33 @@ def q_reference_rejects(spark, sf_dir):
     t = {d: trs.trusted(spec(d), foundation_df(spark, sf_dir, d)) for d in ("material", "supplier", "plant")}
     parts = []
     for d in ("purchase_order", "shipment", "inventory"):
-        f = foundation_df(spark, sf_dir, d)
-        for r in spec(d).references:
-            if r.optional:
-                continue
-            parts.append(refcheck.reject_mandatory(f, t[r.dataset], r.keys)
-                         .agg(F.count(F.lit(1)).alias("rejected_rows"))
-                         .select(F.lit(d).alias("dataset"), F.lit(r.dataset).alias("reference"), "rejected_rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        checks = [(r.dataset, t[r.dataset], r.keys, ()) for r in spec(d).references if not r.optional]
+        parts.append(refcheck.orphan_counts(foundation_df(spark, sf_dir, d), checks, "rejected_rows")
+                     .select(F.lit(d).alias("dataset"), "reference", "rejected_rows"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _masters_after(spark, sf_dir):
+    """Trusted masters of a later Raw delivery in which every id that ends in 7 has lost its name."""
+    out = {}
+    for d in ("material", "plant", "supplier"):
+        raw = _raw(spark, sf_dir, d)
+        lost = F.trim(f"{d}_id").endswith("7")
+        raw = raw.withColumn(f"{d}_name", F.when(~F.coalesce(lost, F.lit(False)), F.col(f"{d}_name")))
+        out[d] = trs.trusted(spec(d), fnd.foundation(spec(d), raw, ts(RUN_TS)))
     return out
 
 
 def q_published_audit(spark, sf_dir):
-    """Published Trusted fact rows whose reference is missing from the published
-    Trusted tables now, counted per (dataset, reference)."""
-    t = trusted_all(spark, sf_dir)
+    """Published Trusted fact rows whose reference is no longer valid after a later
+    delivery of the masters, counted per (dataset, reference)."""
+    t, now = trusted_all(spark, sf_dir), _masters_after(spark, sf_dir)
+    now["purchase_order"] = trs.trusted(spec("purchase_order"), foundation_df(spark, sf_dir, "purchase_order"), now)
     parts = []
     for d in ("purchase_order", "shipment", "inventory"):
-        for r in spec(d).references:
-            fact = t[d].filter(F.col(r.optional[0]).isNotNull()) if r.optional else t[d]
-            parts.append(refcheck.reject_mandatory(fact, t[r.dataset], r.keys)
-                         .agg(F.count(F.lit(1)).alias("orphan_rows"))
-                         .select(F.lit(d).alias("dataset"), F.lit(r.dataset).alias("reference"), "orphan_rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        checks = [(r.dataset, now[r.dataset], r.keys, r.optional) for r in spec(d).references]
+        parts.append(refcheck.orphan_counts(t[d], checks).select(F.lit(d).alias("dataset"), "reference", "orphan_rows"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 # --- merges ----------------------------------------------------------------------------
@@ -326,36 +328,79 @@ def q_published_trusted_shipment(spark, sf_dir):
     return layered.read_layer(spark, root, "trusted")["shipment"]
 
 
+def _first_delivery(name: str):
+    """What the first of two deliveries holds: all plants and suppliers, first material
+    versions, facts up to a cut-off.  The second one holds the rest."""
+    return {"material": F.col("ingestion_batch_id") == "fixture-1",
+            "purchase_order": F.col("ingestion_timestamp") <= ts(PO_CUTOFF),
+            "shipment": F.col("ingestion_timestamp") <= ts(PO_CUTOFF),
+            "inventory": F.col("ingestion_timestamp") < ts(INV_BATCH1_END)}.get(name, F.lit(True))
+
+
+def two_deliveries(spark, sf_dir) -> list[tuple[str, dict[str, DataFrame]]]:
+    """(run time, Raw rows) of each delivery."""
+    raw = fixtures.raw_all(spark, sf_dir)
+    return [(RUN_TS_1, {d: df.filter(_first_delivery(d)) for d, df in raw.items()}),
+            (RUN_TS, {d: df.filter(~_first_delivery(d)) for d, df in raw.items()})]
+
+
 def q_published_bucketed_trusted_shipment(spark, sf_dir):
-    """P14 with key-bucket-scoped sinks: every dataset delivered in two parts (Raw
-    rows up to PO_CUTOFF, then all of Raw by ingestion time) into ``BucketedTable``s
-    (tables without a date in the key) and the partitioned inventory table; the
-    second run rewrites only the buckets its keys touch.  Equals the one-shot
-    Trusted shipments."""
+    """P14 with key-bucket-scoped sinks, two deliveries at two run times: the second one
+    has late and changed rows only, touches no supplier or plant bucket and no early
+    inventory date, keeps the creation times of known keys and updates the others."""
     from stratum.plans import layered
     from stratum.session import scratch_path
 
     root = scratch_path(spark, "bucketed")
-    raw = fixtures.raw_all(spark, sf_dir)
-    first = {d: df.filter(F.col("ingestion_timestamp") <= ts(PO_CUTOFF)) for d, df in raw.items()}
-    for delivery in (first, raw):
-        layered.run_layered(spark, delivery, root, ts(RUN_TS), buckets=BUCKETS)
+    for run, delivery in two_deliveries(spark, sf_dir):
+        layered.run_layered(spark, delivery, root, ts(run), buckets=BUCKETS)
     return layered.read_layer(spark, root, "trusted", buckets=BUCKETS)["shipment"]
 
 
 def q_incremental_publish_purchase_order(spark, sf_dir):
     """Purchase orders delivered in two parts (first up to PO_CUTOFF, then all of
-    Raw); the second run reads only rows after the published high-water mark and
-    upserts them.  Equals one run over everything."""
+    Raw) at two run times; the second run reads only rows after the published
+    high-water mark and upserts them, keeping the creation times."""
     from stratum.plans import layered
     from stratum.session import scratch_path
 
-    root = scratch_path(spark, "incremental")
-    raw = fixtures.raw_all(spark, sf_dir)
-    first = dict(raw, purchase_order=raw["purchase_order"].filter(F.col("ingestion_timestamp") <= ts(PO_CUTOFF)))
-    for delivery in (first, raw):
-        layered.run_layered(spark, delivery, root, ts(RUN_TS), datasets=("purchase_order",))
-    return layered.read_layer(spark, root, "foundation")["purchase_order"]
+    raw = _raw(spark, sf_dir, "purchase_order")
+    table = layered.tables(spark, scratch_path(spark, "incremental"), "foundation")["purchase_order"]
+    for run, delivery in ((RUN_TS_1, raw.filter(_first_delivery("purchase_order"))), (RUN_TS, raw)):
+        layered.foundation_step(spark, SPECS["purchase_order"], delivery, table, ts(run))
+    return table.read()
+
+
+def land_csv(raw: DataFrame, s, folder: str) -> None:
+    """The payload of ``raw`` as CSV files with a header: every row with an invalid key, and of
+    each valid key its latest version (a landing file has no ingestion time to tell versions by)."""
+    names = payload_columns(s.name)
+    copies = fnd.standardized(s, raw.withColumns({f"_landed_{c}": F.col(c).cast("string") for c in names}))
+    valid = F.coalesce(requirement(s.present, s.not_null), F.lit(False))
+    latest = latest_per_key(copies.filter(valid), s.keys, s.order_column, s.dedupe_tiebreak())
+    rows = latest.select(copies.columns).unionByName(copies.filter(~valid))
+    (rows.select(*[F.col(f"_landed_{c}").alias(c) for c in names]).write.mode("append").option("header", True)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("nullValue", CSV_NULL).csv(folder))
+
+
+def q_landing_to_trusted(spark, sf_dir):
+    """CSV files land in two drops; each time the chosen datasets are
+    ingested by available-now streams (a last run finds no new file), Foundation is published
+    from the new Raw files and Trusted from Foundation.  Returns Trusted shipments."""
+    from stratum.plans import layered
+    from stratum.session import scratch_path
+    from stratum.streaming.ingest import default_configs, run_raw_ingestion
+
+    root, chosen = scratch_path(spark, "landing"), ("material", "plant", "supplier", "purchase_order", "shipment")
+    configs = {d: replace(c, options={"nullValue": CSV_NULL})  # so that empty texts stay apart from nulls
+               for d, c in default_configs(f"{root}/landing", source_system=fixtures.SOURCE_SYSTEM).items()}
+    for run, delivery in two_deliveries(spark, sf_dir):
+        for d in chosen:
+            land_csv(delivery[d], SPECS[d], f"{root}/landing/{d}")
+        run_raw_ingestion(spark, configs, ",".join(chosen), root)
+        layered.run_layered_incremental(spark, root, ts(run), datasets=chosen)
+    run_raw_ingestion(spark, configs, ",".join(chosen), root)
+    return layered.read_layer(spark, root, "trusted")["shipment"]
 
 
 def _layer_query(layer, name):
@@ -391,6 +436,7 @@ QUERIES = {
     "published_trusted_shipment": q_published_trusted_shipment,
     "published_bucketed_trusted_shipment": q_published_bucketed_trusted_shipment,
     "incremental_publish_purchase_order": q_incremental_publish_purchase_order,
+    "landing_to_trusted": q_landing_to_trusted,
     **{f"foundation_{d}": _layer_query("foundation", d) for d in DATASETS},
     **{f"trusted_{d}": _layer_query("trusted", d) for d in DATASETS},
 }

@@ -244,11 +244,15 @@ EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
 
 def ingest_available_now_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream the ``events`` test table in available-now mode into a fresh Raw
-    folder (under the shared checkpoint root), then read what was committed."""
+    folder (under the shared checkpoint root), run again (no new file, so no
+    new row), then read what was committed, with the ingestion metadata."""
     cfg = IngestionConfig("events", sf_dir.rstrip("/") + "/", format="parquet", source_system="sap",
                           options={"pathGlobFilter": "events.parquet"})
     root = scratch_path(spark, "ingest")
     data, ckpt = raw_paths(root, "events")
     target = landed_target(source_schema(spark, cfg))
-    ingest_raw(spark, cfg, data, ckpt, target=target)
-    return spark.read.schema(target).parquet(data).select(*EVENT_COLUMNS, "source_system")
+    for run in ("run-1", "run-2"):
+        ingest_raw(spark, cfg, data, ckpt, target=target, batch_id=run)
+    return spark.read.schema(target).parquet(data).select(
+        *EVENT_COLUMNS, "source_system", F.substring_index("source_file", "/", -1).alias("source_file"),
+        "ingestion_batch_id", F.col("ingestion_timestamp").isNotNull().alias("has_ingestion_timestamp"))

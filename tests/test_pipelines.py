@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from __spark_entry__ import entry, oracle_sql, queries
 from conftest import SF0001
 from stratum.plans import layered
-from stratum.plans.queries import QUERIES, trusted_all
 from oracle.queries import SQL
-from stratum.plans.queries import QUERIES
+from stratum.plans.queries import QUERIES, trusted_all
+from stratum.plans.specs import spec
+from stratum.plans.trusted import trusted
 from stratum.sources import fixtures
 from tools.check_oracle import digest, duck
 
@@ -38,7 +39,7 @@ def test_entry(spark):
 
 def test_no_python_in_any_plan(spark):
     writes = ("ingest_available_now", "published_trusted_shipment", "published_bucketed_trusted_shipment",
-              "incremental_publish_purchase_order")
+              "incremental_publish_purchase_order", "landing_to_trusted")
     for name in NAMES:
         if name in writes:  # these run jobs to build their result; same operators as the others
             continue
@@ -62,6 +63,15 @@ def test_layered_publish_equals_in_memory_and_is_idempotent(spark, tmp_dir):
     for d, exp in expected.items():
         got = published[d].select(*exp.columns)
         assert exp.exceptAll(got).count() == 0 and got.exceptAll(exp).count() == 0, d
+    # the source of a Trusted shipment publish reads Foundation shipments once, with few exchanges
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        source = trusted(spec("shipment"), layered.tables(spark, tmp_dir, "foundation")["shipment"].read(), published)
+        plan = source._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.count("foundation/shipment") == 1 and plan.count("Exchange hashpartitioning") <= 8
     layered.run_layered(spark, raw, tmp_dir, F.lit("2024-07-01").cast("timestamp"), keep_versions=1)
     again = layered.read_layer(spark, tmp_dir, "trusted")
     from stratum.sources.tables import SnapshotTable
@@ -107,7 +117,7 @@ def test_incremental_runs_equal_full_run(spark, tmp_dir):
 
 
 def test_parity_mode_overwrites_created_for_shipment(spark, tmp_dir):
-    from stratum.plans.specs import parity, spec
+    from stratum.plans.specs import parity
     assert parity(spec("shipment")).preserve_on_update == ()
     assert parity(spec("material")).preserve_on_update == spec("material").preserve_on_update
     raw = fixtures.raw_all(spark, SF0001)

@@ -61,3 +61,20 @@ def test_hot_null_reference_does_not_enter_join(spark):
     ref = spark.createDataFrame([("SAP", "1", "1")], "ss string, po string, line string")
     out = check_optional(facts, ref, ["ss", "po", "line"], ["po", "line"])
     assert out.count() == 20_000 + 1
+
+
+def test_null_references_spread_over_partitions(spark):
+    facts = spark.range(0, 4000, 1, 4).select(F.col("id").alias("v"), F.lit("SAP").alias("ss"),
+                                              F.lit(None).cast("string").alias("po"), F.lit(None).cast("string").alias("line"))
+    ref = spark.createDataFrame([("SAP", "1", "1")], "ss string, po string, line string")
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in off}
+    try:
+        for k, v in off.items():
+            spark.conf.set(k, v)
+        out = check_optional(facts, ref, ["ss", "po", "line"], ["po", "line"])
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 4000 and len(sizes) > 1 and max(sizes) < 2000
