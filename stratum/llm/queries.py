@@ -12,6 +12,7 @@ from stratum.llm import (
     language_id,
     license_scan,
     ngram_join,
+    oracle,
     quality_classifier,
     quality_rules,
     substring_dedup,
@@ -67,4 +68,6 @@ QUERIES = {f.__name__: f for f in (
     op1_bfd_token_matrices, op2_empirical_bayes_quality, op3_adaptive_quality_rules, op4_family_language_id,
     op5_pigeonhole_decontamination, op6_ngram_jaccard_join, op7_license_set_join, op8_collinear_passages,
     op9_event_sourced_chat, op10_large_item_packing)}
-SQL: dict[str, str] = {"op9_event_sourced_chat": chat_format.ORACLE}
+SQL: dict[str, str] = {
+    "op3_adaptive_quality_rules": oracle.quality_rules(), "op6_ngram_jaccard_join": oracle.ngram_join(),
+    "op7_license_set_join": oracle.license_scan(), "op9_event_sourced_chat": chat_format.ORACLE}

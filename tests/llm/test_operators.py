@@ -12,10 +12,12 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from stratum.llm import (
-    bin_packing, chat_format, decontaminate, language_id, license_scan, ngram_join, quality_classifier, quality_rules,
-    slots, substring_dedup, token_packing, tokens, words,
+    bin_packing, chat_format, decontaminate, language_id, license_scan, ngram_join, oracle, quality_classifier,
+    quality_rules, queries, slots, substring_dedup, token_packing, tokens, words,
 )
 
+from tools.check_oracle import digest, duck
+
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, item_id long, label string"
 
 
@@ -304,3 +306,21 @@ def test_quality_classifier(spark, odd, none):
 def test_groups_across_batches():
     batches = [pa.RecordBatch.from_pydict({"k": [1, 1], "v": [1, 2]}), pa.RecordBatch.from_pydict({"k": [1, 2], "v": [3, 4]})]
     assert list(words.grouped(batches, 1)) == [((1,), [(1,), (2,), (3,)]), ((2,), [(4,)])]
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_queries_match_their_sql(spark, name):
+    here = "/root/testdata/sf0.001"
+    assert digest(queries.QUERIES[name](spark, here).toPandas()) == digest(duck(here).execute(queries.SQL[name]).df())
+
+
+@pytest.mark.parametrize("sql", ["quality_rules", "ngram_join", "license_scan"])
+def test_sql_on_odd_rows(odd, sql):
+    import duckdb
+
+    operator = {"quality_rules": quality_rules.quality_verdicts, "license_scan": license_scan.scan,
+                "ngram_join": lambda d: ngram_join.near_duplicates(d).drop("text_hash")}[sql]
+    rows = odd.where("doc_id is not null").dropDuplicates(["doc_id"]) if sql == "ngram_join" else odd  # its SQL reads ids as keys
+    con = duckdb.connect()
+    con.register("documents", rows.toArrow())
+    assert digest(operator(rows).toPandas()) == digest(con.execute(getattr(oracle, sql)()).df())
