@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.sql import (FND, INV_BATCH1_END, INV_BATCH2_START, PO_CUTOFF, RAW, RUN_TS, RUN_TS_1, TRS,
+from oracle.sql import (FND, INV_BATCH1_END, INV_BATCH2_START, PO_CUTOFF, PO_CUTOFF_0, RAW, RUN_TS, RUN_TS_0, RUN_TS_1, TRS,
                         fnd_inventory, fnd_material, fnd_po, nt, pres, raw_fnd, std_po, tr, trusted_ctes, up,
                         with_ctes)
 
@@ -117,27 +117,44 @@ def _renamed(cte: str, fnd: str, trs: str) -> str:
     return cte.replace("trs_", "\0").replace("fnd_", fnd).replace("\0", trs)
 
 
-FIRST_DELIVERY = {"material": "ingestion_batch_id = 'fixture-1'", "plant": "TRUE", "supplier": "TRUE",
-                  "purchase_order": f"ingestion_timestamp <= {PO_CUTOFF}", "shipment": f"ingestion_timestamp <= {PO_CUTOFF}"}
+_FIRST_FACTS = f"ingestion_timestamp <= {PO_CUTOFF}"
+TWO_DELIVERIES = {d: [first, f"NOT ({first})"] for d, first in {
+    "material": "ingestion_batch_id = 'fixture-1'", "plant": "TRUE", "supplier": "TRUE",
+    "purchase_order": _FIRST_FACTS, "shipment": _FIRST_FACTS}.items()}
+_FACTS = [f"ingestion_timestamp <= {PO_CUTOFF_0}", f"ingestion_timestamp > {PO_CUTOFF_0} AND ingestion_timestamp <= {PO_CUTOFF}",
+          f"coalesce(ingestion_timestamp > {PO_CUTOFF}, TRUE)"]
+_LATE = "coalesce(trim({}) LIKE '%{}', FALSE)"
+THREE_DELIVERIES = {
+    "material": [f"ingestion_batch_id = 'fixture-1' AND NOT {_LATE.format('material_id', 7)}", "ingestion_batch_id <> 'fixture-1'",
+                 f"ingestion_batch_id = 'fixture-1' AND {_LATE.format('material_id', 7)}"],
+    "plant": ["TRUE", "FALSE", "FALSE"],
+    "supplier": [f"NOT {_LATE.format('supplier_id', 3)}", _LATE.format("supplier_id", 3), "FALSE"],
+    "purchase_order": _FACTS, "shipment": _FACTS}
 KEYS = {"material": MAT_KEYS, "plant": ("source_system", "plant_id"), "supplier": ("source_system", "supplier_id"),
         "purchase_order": PO_KEYS, "shipment": ("source_system", "shipment_id")}
 
 
-def _two_deliveries() -> str:
-    """Trusted shipments after two publishing runs: Foundation merges each delivery, Trusted takes all
-    of Foundation each time and keeps what it published before."""
+def _deliveries(rows: dict[str, list[str]], runs: list[str]) -> str:
+    """Trusted shipments after a publishing run for each delivery: Foundation merges the delivery,
+    Trusted takes all of Foundation each time and keeps what it published before."""
     ctes = []
-    for d, first in FIRST_DELIVERY.items():
+    for d, conditions in rows.items():
         cols, keys = COLUMNS[f"fnd.{d}"].split(), KEYS[d]
-        ctes += [RAW[d], f"raw1_{d} AS (SELECT * FROM raw_{d} WHERE {first})", f"raw2_{d} AS (SELECT * FROM raw_{d} WHERE NOT ({first}))",
-                 FND[d](f"raw1_{d}", f"f1_{d}", RUN_TS_1), FND[d](f"raw2_{d}", f"d2_{d}", RUN_TS),
-                 f"f2_{d} AS ({_upsert(keys, cols, f'f1_{d}', f'd2_{d}', keep=('record_created_timestamp',))})"]
-    for d in FIRST_DELIVERY:
-        match = " AND ".join(f"o.{k} = n.{k}" for k in KEYS[d])
-        new = _renamed(TRS[d], "f2_", "t2_").replace(f"t2_{d} AS", f"n2_{d} AS", 1)
-        ctes += [_renamed(TRS[d], "f1_", "t1_"), new,
-                 f"t2_{d} AS (SELECT * FROM n2_{d} UNION ALL BY NAME SELECT * FROM t1_{d} o WHERE NOT EXISTS (SELECT 1 FROM n2_{d} n WHERE {match}))"]
-    return with_ctes(*ctes) + "\n" + select(COLUMNS["trs.shipment"], "t2_shipment")
+        ctes.append(RAW[d])
+        for i, (condition, run) in enumerate(zip(conditions, runs, strict=True), 1):
+            ctes += [f"raw{i}_{d} AS (SELECT * FROM raw_{d} WHERE {condition})", FND[d](f"raw{i}_{d}", f"d{i}_{d}" if i > 1 else f"f1_{d}", run)]
+            if i > 1:
+                ctes.append(f"f{i}_{d} AS ({_upsert(keys, cols, f'f{i - 1}_{d}', f'd{i}_{d}', keep=('record_created_timestamp',))})")
+    for i in range(1, len(runs) + 1):
+        for d in rows:
+            now = _renamed(TRS[d], f"f{i}_", f"t{i}_")
+            if i > 1:
+                match = " AND ".join(f"o.{k} = n.{k}" for k in KEYS[d])
+                ctes.append(now.replace(f"t{i}_{d} AS", f"n{i}_{d} AS", 1))
+                now = (f"t{i}_{d} AS (SELECT * FROM n{i}_{d} UNION ALL BY NAME SELECT * FROM t{i - 1}_{d} o "
+                       f"WHERE NOT EXISTS (SELECT 1 FROM n{i}_{d} n WHERE {match}))")
+            ctes.append(now)
+    return with_ctes(*ctes) + "\n" + select(COLUMNS["trs.shipment"], f"t{len(runs)}_shipment")
 
 
 def _refs():
@@ -227,6 +244,11 @@ SELECT shipment_id, CAST(NULL AS VARCHAR) AS purchase_order_id, CAST(NULL AS VAR
        CAST(ingestion_timestamp AS TIMESTAMP) AS ingestion_timestamp
 FROM landing"""
 
+    q["ingestion_failed_casts"] = """
+SELECT column_name, n AS failed_casts, n AS null_values
+FROM (SELECT 'shipment_date' AS column_name, count(*) FILTER (WHERE l_orderkey % 11 = 0) AS n FROM lineitem
+      UNION ALL SELECT 'shipped_quantity', count(*) FILTER (WHERE l_orderkey % 13 = 0) FROM lineitem)"""
+
     q["distinct_keys"] = with_ctes(*raw_fnd(["purchase_order"])) + """
 SELECT DISTINCT source_system, material_id FROM fnd_purchase_order"""
 
@@ -321,7 +343,8 @@ FROM events"""
         q[f"trusted_{d}"] = trusted_sql(d)
     # publishing from empty tables gives the same rows as the one-shot pipelines
     q["published_trusted_shipment"] = q["trusted_shipment"]
-    q["published_bucketed_trusted_shipment"] = q["landing_to_trusted"] = _two_deliveries()
+    q["published_bucketed_trusted_shipment"] = q["landing_to_trusted"] = _deliveries(TWO_DELIVERIES, [RUN_TS_1, RUN_TS])
+    q["incremental_trusted_shipment"] = _deliveries(THREE_DELIVERIES, [RUN_TS_0, RUN_TS_1, RUN_TS])
     q["incremental_publish_purchase_order"] = q["upsert_two_batches"]
     return q
 

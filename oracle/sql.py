@@ -14,7 +14,9 @@ from __future__ import annotations
 
 RUN_TS = "TIMESTAMP '2024-06-30 00:00:00'"
 RUN_TS_1 = "TIMESTAMP '2024-06-01 00:00:00'"
+RUN_TS_0 = "TIMESTAMP '2024-05-01 00:00:00'"
 PO_CUTOFF = "TIMESTAMP '1998-01-01 00:00:00'"
+PO_CUTOFF_0 = "TIMESTAMP '1996-01-01 00:00:00'"
 INV_BATCH1_END = "TIMESTAMP '2024-01-20 00:00:00'"
 INV_BATCH2_START = "TIMESTAMP '2024-01-15 00:00:00'"
 

@@ -73,6 +73,7 @@ class Contract:
 
 
 # --- payload columns per dataset -------------------------------------------------
+# Names, types, order and required columns must match the original tables.
 # (name, type, required-from-foundation-on)
 _PAYLOAD: dict[str, list[tuple[str, T.DataType, bool]]] = {
     "material": [

@@ -50,18 +50,24 @@ def align_to_contract(df: DataFrame, contract: Contract | T.StructType, strict:
     return df.select(*exprs)
 
 
-def cast_failures(df: DataFrame, contract: Contract | T.StructType) -> DataFrame:
-    """Count, per contract column, values that are non-null in ``df`` but fail the cast.
-
-    One global aggregate; the result has one row and one column per checked
-    column (columns already of the right type or absent are skipped).
-    """
+def cast_failure_counts(df: DataFrame, contract: Contract | T.StructType) -> list[SparkColumn]:
+    """The aggregates of ``cast_failures``; a stream observes them while it writes."""
     schema = contract.schema() if isinstance(contract, Contract) else contract
     aggs = []
     for f in schema.fields:
         if f.name in df.columns and df.schema[f.name].dataType != f.dataType:
             c = F.col(f"`{f.name}`")
             aggs.append(F.count_if(c.isNotNull() & c.try_cast(f.dataType).isNull()).alias(f.name))
+    return aggs
+
+
+def cast_failures(df: DataFrame, contract: Contract | T.StructType) -> DataFrame:
+    """Count, per contract column, values that are non-null in ``df`` but fail the cast.
+
+    One global aggregate; the result has one row and one column per checked
+    column (columns already of the right type or absent are skipped).
+    """
+    aggs = cast_failure_counts(df, contract)
     if not aggs:
         return df.sparkSession.range(1).select(F.lit(0).alias("_none"))
     return df.agg(*aggs)

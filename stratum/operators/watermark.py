@@ -37,15 +37,23 @@ def incremental_filter(raw: DataFrame, mark, column: str = "ingestion_timestamp"
 
 
 def incremental_after(raw: DataFrame, target: DataFrame, mark_column: str,
-                      column: str = "ingestion_timestamp") -> DataFrame:
+                      column: str = "ingestion_timestamp", date_column: str | None = None) -> DataFrame:
     """F6 without a driver round trip: filter against the target's mark as a scalar subquery.
 
     ``max`` over an empty target is null; ``coalesce`` to the first year keeps
     "null mark = full read" (of rows that have a timestamp, as every ingested
     row does) in one comparison that Parquet accepts.  Spark evaluates the
     uncorrelated scalar subquery once before the scan.
+
+    ``date_column`` names a partition column of ``raw`` that holds the date of
+    ``column``: folders of days before the mark's are then not listed for the
+    scan at all (rows of the mark's own day are compared one by one).
     """
     validate_columns(raw, [column])
     validate_columns(target, [mark_column])
     mark = target.agg(F.max(mark_column).alias("m")).scalar()
-    return raw.filter(F.col(column) > F.coalesce(mark, F.lit("0001-01-01 00:00:00").cast("timestamp")))
+    after = F.coalesce(mark, F.lit("0001-01-01 00:00:00").cast("timestamp"))
+    if date_column is not None:
+        validate_columns(raw, [date_column])
+        raw = raw.filter(F.col(date_column) >= F.to_date(after))
+    return raw.filter(F.col(column) > after)

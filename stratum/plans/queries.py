@@ -30,7 +30,9 @@ from stratum.sources import fixtures
 
 RUN_TS = "2024-06-30 00:00:00"
 RUN_TS_1 = "2024-06-01 00:00:00"
+RUN_TS_0 = "2024-05-01 00:00:00"
 PO_CUTOFF = "1998-01-01 00:00:00"
+PO_CUTOFF_0 = "1996-01-01 00:00:00"
 CSV_NULL = "\\N"  # null in the landing files
 BUCKETS = 16  # key-hash buckets of the bucketed publishing query
 INV_BATCH1_END = "2024-01-20 00:00:00"
@@ -178,9 +180,14 @@ def q_align_to_contract(spark, sf_dir):
     """A landing frame with reordered, string-typed, malformed, extra and missing
     columns aligned by name to the Raw shipment contract (try_cast: bad -> null)."""
     pin_utc(spark)
+    return cols.align_to_contract(_landed_shipments(spark, sf_dir), contract("shipment", "raw"))
+
+
+def _landed_shipments(spark, sf_dir):
+    """Shipments as they land: text, in another column order, some values malformed."""
     li = fixtures.load(spark, sf_dir, "lineitem")
     ok = F.col("l_orderkey")
-    landing = li.select(
+    return li.select(
         F.when(ok % 13 == 0, F.lit("abc")).otherwise(F.col("l_quantity").cast("string")).alias("shipped_quantity"),
         F.concat(F.lit("shp-"), ok.cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("shipment_id"),
         F.when(ok % 11 == 0, F.lit("2024-13-01")).otherwise(F.col("l_shipdate").cast("date").cast("string"))
@@ -190,7 +197,23 @@ def q_align_to_contract(spark, sf_dir):
         F.lit("sap").alias("source_system"),
         F.col("l_shipdate").alias("ingestion_timestamp"),
     )
-    return cols.align_to_contract(landing, contract("shipment", "raw"))
+
+
+def q_ingestion_failed_casts(spark, sf_dir):
+    """Malformed landing values by column: how many the ingestion stream reports as
+    not castable, and how many nulls Raw then holds."""
+    from stratum.session import scratch_path
+    from stratum.streaming.ingest import IngestionConfig, failed_casts, ingest_raw, raw_paths, read_raw
+
+    pin_utc(spark)
+    root = scratch_path(spark, "casts")
+    _landed_shipments(spark, sf_dir).write.option("header", True).csv(f"{root}/landing")
+    cfg = IngestionConfig("shipment", f"{root}/landing", source_system=fixtures.SOURCE_SYSTEM)
+    counts = failed_casts(ingest_raw(spark, cfg, *raw_paths(root, "shipment")))
+    nulls = read_raw(spark, root, "shipment").agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in sorted(counts)])
+    return nulls.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(n).cast("long").alias("failed_casts"), F.col(c).alias("null_values"))
+        for c, n in sorted(counts.items())])).alias("r")).select("r.*")
 
 
 # --- joins ----------------------------------------------------------------------------
@@ -357,6 +380,34 @@ def q_published_bucketed_trusted_shipment(spark, sf_dir):
     return layered.read_layer(spark, root, "trusted", buckets=BUCKETS)["shipment"]
 
 
+def _late(column: str, digit: str):
+    return F.coalesce(F.trim(column).endswith(digit), F.lit(False))
+
+
+def three_deliveries(spark, sf_dir) -> list[tuple[str, dict[str, DataFrame]]]:
+    """(run time, Raw rows) of each delivery.  Facts come by time; suppliers whose id ends in 3
+    arrive with the second delivery and materials whose id ends in 7 with the third one, so facts
+    that were rejected before become valid without having changed."""
+    raw = fixtures.raw_all(spark, sf_dir)
+    at = {"material": F.when(F.col("ingestion_batch_id") != "fixture-1", 2).when(_late("material_id", "7"), 3).otherwise(1),
+          "plant": F.lit(1), "supplier": F.when(_late("supplier_id", "3"), 2).otherwise(1)}
+    by_time = F.when(F.col("ingestion_timestamp") <= ts(PO_CUTOFF_0), 1).when(F.col("ingestion_timestamp") <= ts(PO_CUTOFF), 2).otherwise(3)
+    names = [d for d in DATASETS if d != "inventory"]
+    return [(run, {d: raw[d].filter(at.get(d, by_time) == n) for d in names}) for n, run in enumerate((RUN_TS_0, RUN_TS_1, RUN_TS), 1)]
+
+
+def q_incremental_trusted_shipment(spark, sf_dir):
+    """P10-P12, P14 over three deliveries, Trusted from the due Foundation rows only; the
+    result is that of runs that take all of Foundation each time."""
+    from stratum.plans import layered
+    from stratum.session import scratch_path
+
+    root = scratch_path(spark, "due")
+    for run, rows in three_deliveries(spark, sf_dir):
+        layered.run_layered(spark, rows, root, ts(run), datasets=tuple(rows), changed_only=True)
+    return layered.read_layer(spark, root, "trusted")["shipment"]
+
+
 def q_incremental_publish_purchase_order(spark, sf_dir):
     """Purchase orders delivered in two parts (first up to PO_CUTOFF, then all of
     Raw) at two run times; the second run reads only rows after the published
@@ -421,6 +472,7 @@ QUERIES = {
     "high_water_mark": q_high_water_mark,
     "incremental_filter": q_incremental_filter,
     "align_to_contract": q_align_to_contract,
+    "ingestion_failed_casts": q_ingestion_failed_casts,
     "distinct_keys": q_distinct_keys,
     "ref_check_mandatory": q_ref_check_mandatory,
     "ref_check_optional": q_ref_check_optional,
@@ -437,6 +489,7 @@ QUERIES = {
     "published_bucketed_trusted_shipment": q_published_bucketed_trusted_shipment,
     "incremental_publish_purchase_order": q_incremental_publish_purchase_order,
     "landing_to_trusted": q_landing_to_trusted,
+    "incremental_trusted_shipment": q_incremental_trusted_shipment,
     **{f"foundation_{d}": _layer_query("foundation", d) for d in DATASETS},
     **{f"trusted_{d}": _layer_query("trusted", d) for d in DATASETS},
 }

@@ -2,7 +2,8 @@
 
 The twelve per-dataset jobs of the original pipeline differ only in these
 values; ``stratum.plans.foundation`` and ``stratum.plans.trusted`` interpret
-them with the same operators.
+them with the same operators.  The key, trim, null-token, upper-case and
+filter lists are fixed values: results must equal those of the original jobs.
 """
 
 from __future__ import annotations

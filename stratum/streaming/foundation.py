@@ -28,6 +28,7 @@ from stratum.plans import foundation as fnd
 from stratum.plans.specs import DatasetSpec
 from stratum.session import pin_utc
 from stratum.sources.tables import PartitionedTable, SnapshotTable
+from stratum.streaming.ingest import raw_schema
 
 
 def foundation_stream(
@@ -47,7 +48,7 @@ def foundation_stream(
     """
     pin_utc(spark)
     batch_spec = replace(s, incremental=False)
-    raw = spark.readStream.schema(contract(s.name, "raw").schema()).parquet(raw_path)
+    raw = spark.readStream.schema(raw_schema(contract(s.name, "raw"))).parquet(raw_path)
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
         source = fnd.foundation(batch_spec, batch, F.current_timestamp() if run_ts is None else run_ts)

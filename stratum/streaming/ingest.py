@@ -2,9 +2,11 @@
 
 Landing folder -> file stream (each file once, tracked in the checkpoint's
 source log) -> ingestion metadata -> by-name alignment to the Raw contract ->
-append-only Parquet sink (the sink's ``_spark_metadata`` log makes the
-output exactly-once per micro-batch; a restarted query after a lost
-executor or driver resumes from the checkpoint without duplicates).
+append-only Parquet sink, one folder per ingestion date (the sink's
+``_spark_metadata`` log makes the output exactly-once per micro-batch; a
+restarted query after a lost executor or driver resumes from the checkpoint
+without duplicates).  A micro-batch has one ingestion time, so it writes to
+one folder, and the high-water filter skips the folders of earlier days.
 
 The stream needs a schema up front.  For CSV it is taken from the header
 (all strings) at every start, with ``enforceSchema=false`` so a file whose
@@ -12,6 +14,10 @@ header differs from the first file's fails the batch instead of being bound
 by position (D19); the contract alignment then casts by name.  JSON binds by
 name natively and reads every payload column as a string.  Parquet carries
 its own schema.
+
+A value that cannot be cast becomes null in Raw (D20).  How many did is
+counted by column while the stream writes; ``failed_casts`` gives the counts
+of a query.
 """
 
 from __future__ import annotations
@@ -22,19 +28,23 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stratum.contracts import Contract, contract
-from stratum.operators.columns import align_to_contract
+from stratum.operators.columns import align_to_contract, cast_failure_counts
 from stratum.session import pin_utc, scratch_path
 
 SUPPORTED_FORMATS = ("csv", "json", "parquet")
 SUPPORTED_SOURCE_TYPES = ("file",)
 SUPPORTED_LOAD_MODES = ("append",)
 
+#: Partition column of the Raw folders: the date (UTC) of ``ingestion_timestamp``.
+DATE_COLUMN = "ingestion_date"
+_CAST_METRICS = "failed_casts"
+
 
 @dataclass(frozen=True)
 class IngestionConfig:
@@ -122,14 +132,14 @@ def read_file_stream(spark: SparkSession, cfg: IngestionConfig, schema: T.Struct
 
 # --- C1 ----------------------------------------------------------------------------
 
-def add_ingestion_metadata(df: DataFrame, source_system: str, batch_id: str) -> DataFrame:
+def add_ingestion_metadata(df: DataFrame, source_system: str, batch_id: str, run_ts: Column | None = None) -> DataFrame:
     """Landing file path, configured source system (replacing a payload column of
-    that name), run batch id, and the micro-batch time."""
+    that name), run batch id, and the micro-batch time (``run_ts`` to give another)."""
     return df.withColumns({
         "source_file": F.col("_metadata.file_path"),
         "source_system": F.lit(source_system),
         "ingestion_batch_id": F.lit(batch_id),
-        "ingestion_timestamp": F.current_timestamp(),
+        "ingestion_timestamp": F.current_timestamp() if run_ts is None else run_ts,
     })
 
 
@@ -156,24 +166,29 @@ def ingest_raw(
     processing_time: str | None = None,
     strict: bool = False,
     batch_id: str | None = None,
+    run_ts: Column | None = None,
 ) -> StreamingQuery:
     """B2: source -> metadata -> align -> append sink; returns the query.
 
     ``continuous=False`` (J1) processes what is there with
     ``trigger(availableNow=True)`` and blocks until done; ``continuous=True``
     (J2) keeps the query running (default micro-batch trigger or
-    ``processing_time``) and returns at once.
+    ``processing_time``) and returns at once.  ``run_ts`` replaces the
+    micro-batch time (reproducible runs).
     """
     cfg = cfg.validated()
     pin_utc(spark)
+    _refuse_undated(spark, target_path)
     if target is None:
         target = contract(cfg.name, "raw")
     tcontract = target if isinstance(target, Contract) else None
     df = read_file_stream(spark, cfg, target=tcontract)
     schema = target.schema() if isinstance(target, Contract) else target
-    df = add_ingestion_metadata(df, cfg.source_system, batch_id or new_batch_id())
-    df = align_to_contract(df, schema, strict=strict)
-    writer = (df.writeStream.format("parquet").outputMode("append")
+    df = add_ingestion_metadata(df, cfg.source_system, batch_id or new_batch_id(), run_ts)
+    if counts := cast_failure_counts(df, schema):
+        df = df.observe(_CAST_METRICS, *counts)
+    df = align_to_contract(df, schema, strict=strict).withColumn(DATE_COLUMN, F.to_date("ingestion_timestamp"))
+    writer = (df.writeStream.format("parquet").outputMode("append").partitionBy(DATE_COLUMN)
               .option("checkpointLocation", checkpoint_path).queryName(f"raw_{cfg.name}_{uuid.uuid4().hex[:6]}"))
     if not continuous:
         writer = writer.trigger(availableNow=True)
@@ -185,6 +200,30 @@ def ingest_raw(
     return query
 
 
+def _refuse_undated(spark: SparkSession, path: str) -> None:
+    """A Raw folder with files outside of the date folders was written by another layout: mixed, it could not be read."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p) and any(st.isFile() and st.getPath().getName().endswith(".parquet") for st in fs.listStatus(p)):
+        raise ValueError(f"{path} holds files that are not in folders by {DATE_COLUMN}")
+
+
+def failed_casts(query: StreamingQuery) -> dict[str, int]:
+    """How many values of each column became null because they could not be cast.
+
+    Sums the micro-batches that Spark still reports on
+    (``spark.sql.streaming.numRecentProgressUpdates``, 100 by default).  Only
+    columns that need a cast are listed; empty if no micro-batch ran.
+    """
+    total: dict[str, int] = {}
+    for progress in query.recentProgress:
+        found = progress.observedMetrics.get(_CAST_METRICS)
+        for name, n in (found.asDict() if found is not None else {}).items():
+            total[name] = total.get(name, 0) + n
+    return total
+
+
 # --- P13 / J5 ------------------------------------------------------------------------
 
 def select_datasets(selection: str, available: Sequence[str]) -> list[str]:
@@ -207,7 +246,8 @@ def raw_paths(root: str, dataset: str) -> tuple[str, str]:
 
 
 def run_raw_ingestion(spark: SparkSession, configs: Mapping[str, IngestionConfig], selection: str, root: str,
-                      continuous: bool = False, processing_time: str | None = None) -> list[StreamingQuery]:
+                      continuous: bool = False, processing_time: str | None = None,
+                      run_ts: Column | None = None) -> list[StreamingQuery]:
     """One stream per selected dataset; one after the other in available-now mode,
     all running together in continuous mode (the caller may ``awaitAnyTermination``)."""
     batch_id = new_batch_id()
@@ -215,7 +255,7 @@ def run_raw_ingestion(spark: SparkSession, configs: Mapping[str, IngestionConfig
     for name in select_datasets(selection, list(configs)):
         data, ckpt = raw_paths(root, name)
         queries.append(ingest_raw(spark, configs[name], data, ckpt, continuous=continuous,
-                                  processing_time=processing_time, batch_id=batch_id))
+                                  processing_time=processing_time, batch_id=batch_id, run_ts=run_ts))
     return queries
 
 
@@ -230,11 +270,20 @@ def await_any(spark: SparkSession, timeout_seconds: float | None = None) -> bool
     return spark.streams.awaitAnyTermination(int(timeout_seconds))
 
 
-def read_raw(spark: SparkSession, root: str, dataset: str, target: Contract | None = None) -> DataFrame:
-    """A3 for the Raw layer: the committed files of the stream sink."""
+def read_raw(spark: SparkSession, root: str, dataset: str, target: Contract | None = None, dated: bool = False) -> DataFrame:
+    """A3 for the Raw layer: the committed files of the stream sink, with the contract's columns.
+
+    ``dated`` adds the folders' ``DATE_COLUMN``; the incremental Foundation job prunes by it.
+    """
     data, _ = raw_paths(root, dataset)
-    schema = (target or contract(dataset, "raw")).schema()
-    return spark.read.schema(schema).parquet(data)
+    target = target or contract(dataset, "raw")
+    df = spark.read.schema(raw_schema(target)).parquet(data)
+    return df if dated else df.select(*target.names)
+
+
+def raw_schema(target: Contract) -> T.StructType:
+    """The stored columns of a Raw table."""
+    return T.StructType([*target.schema().fields, T.StructField(DATE_COLUMN, T.DateType())])
 
 
 # --- registered query ----------------------------------------------------------------

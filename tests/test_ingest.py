@@ -5,7 +5,7 @@ import pytest
 
 from stratum.contracts import contract
 from stratum.operators.columns import cast_failures
-from stratum.streaming.ingest import (IngestionConfig, await_any, default_configs, ingest_raw, raw_paths, read_raw,
+from stratum.streaming.ingest import (IngestionConfig, await_any, default_configs, failed_casts, ingest_raw, raw_paths, read_raw,
                                       run_raw_ingestion, select_datasets)
 
 HEADER = "material_id,material_name,material_type,unit_of_measure,product_group"
@@ -164,3 +164,51 @@ def test_late_correction_wins_by_ingestion_time(spark, tmp_dir):
     assert raw.count() == 2
     out = foundation(spec("material"), raw, F.current_timestamp()).collect()
     assert [(r.material_id, r.material_name) for r in out] == [("M1", "new")]
+
+
+def test_failed_casts_of_a_stream_are_reported(spark, tmp_dir):
+    landing, root = f"{tmp_dir}/landing/inventory", f"{tmp_dir}/lake"
+    _write(landing, "a.csv", "inventory_snapshot_date,material_id,available_quantity\n2024-13-01,M1,abc\n2024-01-01,M2,def\n,M3,\n")
+    cfg = IngestionConfig("inventory", landing, source_system="sap")
+    data, ckpt = raw_paths(root, "inventory")
+    assert failed_casts(ingest_raw(spark, cfg, data, ckpt)) == {"inventory_snapshot_date": 1, "available_quantity": 2}
+    assert failed_casts(ingest_raw(spark, cfg, data, ckpt)) == {}  # no new file, no micro-batch
+    assert read_raw(spark, root, "inventory").count() == 3
+
+
+def test_high_water_filter_prunes_folders_of_raw(spark, tmp_dir):
+    """On files of the repository's own Raw sink, on the path of the layered run."""
+    from pyspark.sql import functions as F
+    from stratum.plans import layered
+    from test_skew import _nodes
+    landing, root = f"{tmp_dir}/landing/purchase_order", f"{tmp_dir}/lake"
+    cfg = IngestionConfig("purchase_order", landing, source_system="sap")
+    data, ckpt = raw_paths(root, "purchase_order")
+    for day in range(1, 7):
+        lines = [f"PO{day}-{i},1,M{i},S1,P1" for i in range(10)]
+        _write(landing, f"{day}.csv", "\n".join(["purchase_order_id,purchase_order_line,material_id,supplier_id,plant_id", *lines]))
+        ingest_raw(spark, cfg, data, ckpt, run_ts=F.lit(f"2024-01-0{day} 23:30:00").cast("timestamp"))
+    raw = read_raw(spark, root, "purchase_order", dated=True)
+    assert raw.count() == 60 and sorted(os.listdir(data))[:2] == ["_spark_metadata", "ingestion_date=2024-01-01"]
+    s, table = layered.spec("purchase_order"), layered.tables(spark, f"{tmp_dir}/out", "foundation")["purchase_order"]
+    first = raw.filter("ingestion_timestamp < timestamp'2024-01-05'")
+    layered.foundation_step(spark, s, first, table, F.current_timestamp())
+    assert table.read().count() == 40  # an empty target reads all of it
+    new = layered.incremental_after(raw, table.read(), layered.MARK_COLUMN, s.order_column, layered.DATE_COLUMN)
+    assert {r.purchase_order_id[:3] for r in new.collect()} == {"PO5", "PO6"}
+    plan = new._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else plan
+    scan = next(n for n in _nodes(plan) if n.getClass().getSimpleName() == "FileSourceScanExec")
+    read = {m: scan.metrics().apply(m).value() for m in ("numPartitions", "numFiles", "numOutputRows")}
+    assert read["numPartitions"] == read["numFiles"] == 3 and read["numOutputRows"] <= 30, read  # the mark's own day and the two after it
+    layered.foundation_step(spark, s, raw, table, F.current_timestamp())
+    assert table.read().count() == 60
+
+
+def test_raw_of_another_layout_is_refused(spark, tmp_dir):
+    landing, root = f"{tmp_dir}/landing/material", f"{tmp_dir}/lake"
+    _write(landing, "a.csv", f"{HEADER}\nM1,n1,t,ea,g\n")
+    data, ckpt = raw_paths(root, "material")
+    spark.range(1).write.parquet(data)
+    with pytest.raises(ValueError, match="ingestion_date"):
+        ingest_raw(spark, _cfg(landing), data, ckpt)
