@@ -10,8 +10,8 @@
    ascend in both are chained; the best predecessor under linear gap costs
    comes from a Fenwick tree over the places in the earlier document.
 4. Alignment: the earlier document's words around each chain go to the later
-   document; the gaps between anchors are aligned, the ends extended word by
-   word, and stretches that do not match are cut out.
+   document; the gaps between anchors are aligned, the ends extended across
+   edits, and stretches that do not match are cut out.
 5. Spans of one document that touch, whatever their earlier documents, form
    a region; regions of at least ``min_words`` words are repeated passages.
 
@@ -42,14 +42,16 @@ from pyspark.sql import functions as F
 from stratum.llm.stage import shuffle_partitions, staged
 from stratum.llm.words import batched, gram_hashes, grouped, split_words, word_hashes
 
-K = 8
-WINDOW = 16
+K = 6
+WINDOW = 4
 MIN_WORDS = 50
 GAP_COST = 0.1
 MAX_GAP = 48
-MARGIN = 32
+MARGIN = 64
 TOUCH = 3
 IDENTITY = 0.8
+REACH = 8
+EDIT_COST = 2
 
 
 def winnow(hashes: np.ndarray, window: int) -> np.ndarray:
@@ -162,6 +164,37 @@ def _matches(a: list[bytes], b: list[bytes]) -> int:
     return row[-1]
 
 
+#: Words skipped in the two texts after a mismatch, least first; changed words before inserted or lost ones of the next length.
+_EDITS = [(p, q) for d in range(1, REACH + 1) for p, q in [*((d, q) for q in range(d)), *((p, d) for p in range(d)), (d, d)]]
+
+
+def _extend(a: list[bytes], b: list[bytes], cost: float) -> tuple[int, int, int]:
+    """Words of ``a``, words of ``b`` and matches of the best-scoring alignment from their starts.
+
+    A match counts 1, an edited word ``-cost``; after a mismatch at most
+    ``REACH`` words are skipped, and it ends ``REACH`` edits below the best.
+    """
+    x = y = matched = 0
+    score, best, out = 0.0, 0.0, (0, 0, 0)
+    n, m = len(a), len(b)
+    while x < n and y < m:
+        if a[x] == b[y]:
+            x, y, matched, score = x + 1, y + 1, matched + 1, score + 1
+            if score > best:
+                best, out = score, (x, y, matched)
+            continue
+        for p, q in _EDITS:
+            # off the diagonal two equal words in a row are asked for: one common word stands anywhere
+            if x + p < n and y + q < m and a[x + p] == b[y + q] and (p == q or a[x + p + 1 : x + p + 2] == b[y + q + 1 : y + q + 2]):
+                x, y, score = x + p, y + q, score - cost * max(p, q)
+                break
+        else:
+            break
+        if score < best - REACH * cost:
+            break
+    return out
+
+
 def align(words: list[bytes], near: list[bytes], base: int, pos: list[int], at: list[int], k: int, identity: float = IDENTITY) -> Iterator[tuple[int, int, int, int, int]]:
     """Aligned spans (start, end, ref_start, ref_end, matched) of a chain.
 
@@ -182,12 +215,13 @@ def align(words: list[bytes], near: list[bytes], base: int, pos: list[int], at:
         first, last = run[0], run[-1]
         s, e, t, f = pos[first], pos[last] + k, r[first], r[last] + k
         matched = sum(got[first:last]) + k
-        while s > 0 and t > 0 and words[s - 1] == near[t - 1]:
-            s, t, matched = s - 1, t - 1, matched + 1
-        while e < len(words) and f < len(near) and words[e] == near[f]:
-            e, f, matched = e + 1, f + 1, matched + 1
-        if matched >= identity * max(e - s, f - t):
-            yield s, e, t + base, f + base, matched
+        before, after = words[max(0, s - t - REACH) : s][::-1], words[e : e + len(near) - f + REACH]
+        for cost in (EDIT_COST, identity / (1 - identity) + 1e-9):  # the second never takes the identity below the limit
+            left, right = _extend(before, near[:t][::-1], cost), _extend(after, near[f:], cost)
+            span = s - left[0], e + right[0], t - left[1], f + right[1], matched + left[2] + right[2]
+            if span[4] >= identity * max(span[1] - span[0], span[3] - span[2]):
+                yield span[0], span[1], span[2] + base, span[3] + base, span[4]
+                break
 
 
 def regions(spans: list[tuple], min_words: int, touch: int = TOUCH) -> list[tuple[int, int]]:

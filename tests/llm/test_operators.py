@@ -199,6 +199,19 @@ def test_passages(spark, odd, none):
     assert substring_dedup.fuzzy_passages(none).count() == 0 and substring_dedup.without_passages(none).count() == 0
 
 
+@pytest.mark.parametrize("length,rate,least", [(60, 0.05, 0.95), (60, 0.1, 0.8), (80, 0.1, 0.9), (120, 0.15, 0.8)])
+def test_passages_with_edits_are_found(spark, length, rate, least):
+    rng, rows, n = np.random.default_rng(length), [], 100
+    for i in range(n):
+        passage = sentence(10_000 + i, length).split()
+        edited = [f"new{k}" if rng.random() < rate else w for k, w in enumerate(passage)]
+        rows += [(i, sentence(20_000 + i, 30) + " " + " ".join(passage) + " " + sentence(30_000 + i, 30), "en", "a"),
+                 (1000 + i, sentence(40_000 + i, 30) + " " + " ".join(edited) + " " + sentence(50_000 + i, 30), "en", "a")]
+    spans = substring_dedup.fuzzy_passages(docs_of(spark, rows)).collect()
+    assert all(r.doc_id == r.ref_doc_id + 1000 and 30 <= r.start and r.end <= 30 + length for r in spans)
+    assert len({r.doc_id for r in spans}) >= least * n, len({r.doc_id for r in spans})
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), min_size=1, max_size=12))
 def test_best_chain_against_brute_force(anchors):
