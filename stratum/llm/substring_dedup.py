@@ -10,8 +10,9 @@
    ascend in both are chained; the best predecessor under linear gap costs
    comes from a Fenwick tree over the places in the earlier document.
 4. Alignment: the earlier document's words around each chain go to the later
-   document; the gaps between anchors are aligned, the ends extended across
-   edits, and stretches that do not match are cut out.
+   document; the gaps between anchors are aligned, a run below the identity
+   is split into its best-scoring sub-runs, and their ends are extended
+   across edits.
 5. Spans of one document that touch, whatever their earlier documents, form
    a region; regions of at least ``min_words`` words are repeated passages.
 
@@ -31,7 +32,7 @@ empty table gives no rows; other columns are kept and not read.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -195,6 +196,31 @@ def _extend(a: list[bytes], b: list[bytes], cost: float) -> tuple[int, int, int]
     return out
 
 
+def _parts(gains: list[float], first: int, last: int, reaches: Callable[[int, int], bool]) -> list[tuple[int, int]]:
+    """The run of anchors ``first .. last`` if it reaches the identity, else its best-scoring sub-runs.
+
+    ``gains[j]``: score of the piece from anchor j to the next.
+    """
+    out, todo = [], [(first, last)]
+    while todo:
+        first, last = todo.pop()
+        if first > last:
+            continue
+        if reaches(first, last):
+            out.append((first, last))
+            continue
+        best, score, start, part = 0.0, 0.0, first, (first, first)
+        for j in range(first, last):
+            score += gains[j]
+            if score < 0:
+                score, start = 0.0, j + 1
+            elif score > best:
+                best, part = score, (start, j + 1)
+        out.append(part)
+        todo += [(first, part[0] - 1), (part[1] + 1, last)]
+    return sorted(out)
+
+
 def align(words: list[bytes], near: list[bytes], base: int, pos: list[int], at: list[int], k: int, identity: float = IDENTITY) -> Iterator[tuple[int, int, int, int, int]]:
     """Aligned spans (start, end, ref_start, ref_end, matched) of a chain.
 
@@ -211,8 +237,13 @@ def align(words: list[bytes], near: list[bytes], base: int, pos: list[int], at:
             run = []
         run.append(j + 1)
     cuts.append(run)
-    for run in cuts:
-        first, last = run[0], run[-1]
+    # the words each piece gains over the identity
+    gains = [m - identity * max(pos[j + 1] - pos[j], r[j + 1] - r[j]) for j, m in enumerate(got)]
+
+    def reaches(i: int, j: int) -> bool:
+        return sum(got[i:j]) + k >= identity * (max(pos[j] - pos[i], r[j] - r[i]) + k)
+
+    for first, last in (part for run in cuts for part in _parts(gains, run[0], run[-1], reaches)):
         s, e, t, f = pos[first], pos[last] + k, r[first], r[last] + k
         matched = sum(got[first:last]) + k
         before, after = words[max(0, s - t - REACH) : s][::-1], words[e : e + len(near) - f + REACH]

@@ -212,6 +212,17 @@ def test_passages_with_edits_are_found(spark, length, rate, least):
     assert len({r.doc_id for r in spans}) >= least * n, len({r.doc_id for r in spans})
 
 
+def test_an_exact_passage_survives_looser_text_chained_to_it():
+    near = [f"w{i}".encode() for i in range(160)]
+    # 55 exact words, then two pieces of 48 words that begin with a seed and match in 20 of the other 40; a seed ends them
+    keep = {*range(55), *range(55, 63), *range(64, 103, 2), *range(103, 111), *range(112, 151, 2), *range(151, 159)}
+    words_ = [w if i in keep else b"x%d" % i for i, w in enumerate(near)]
+    pos = [0, 8, 16, 24, 32, 40, 47, 55, 103, 151]
+    spans = list(substring_dedup.align(words_, near, 0, pos, pos, 8))
+    assert any(s == 0 and e >= 55 for s, e, *_ in spans)
+    assert all(m >= 0.8 * (e - s) and m == sum(words_[i] == near[i] for i in range(s, e)) for s, e, _, _, m in spans)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), min_size=1, max_size=12))
 def test_best_chain_against_brute_force(anchors):
