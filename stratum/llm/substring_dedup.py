@@ -4,8 +4,9 @@
    every ``window`` consecutive ones, so any run of ``window + k - 1`` words
    that two documents share gives both the same seed.
 2. Anchors: every occurrence of a seed is joined to the seed's first
-   occurrence (least document, then least place).  A seed in m documents
-   makes m - 1 anchors, not m * m.
+   occurrence (least document, then least place) and to that in the document
+   before its own among those that hold the seed.  An occurrence makes two
+   anchors at most.
 3. Chains: for each pair (document, earlier document) the anchors that
    ascend in both are chained; the best predecessor under linear gap costs
    comes from a Fenwick tree over the places in the earlier document.
@@ -13,10 +14,11 @@
    document; the gaps between anchors are aligned, a run below the identity
    is split into its best-scoring sub-runs, and their ends are extended
    across edits.
-5. Spans of one document that touch, whatever their earlier documents, form
-   a region; regions of at least ``min_words`` words are repeated passages.
+5. Spans of one document that touch in it and in one earlier document form a
+   passage; passages of at least ``min_words`` words are repeated, and those
+   that touch, of whatever earlier documents, form a region.
 
-``fuzzy_passages`` returns a row for each span of such a region: ``doc_id``,
+``fuzzy_passages`` returns a row for each span of such a passage: ``doc_id``,
 ``ref_doc_id``, ``start``, ``end``, ``ref_start``, ``ref_end`` (words from 0,
 end exclusive), ``matched`` (words), ``region_start``, ``region_end``.
 ``without_passages`` returns the documents with the regions cut out of their
@@ -35,9 +37,10 @@ import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.llm.stage import shuffle_partitions, staged
@@ -50,6 +53,7 @@ GAP_COST = 0.1
 MAX_GAP = 48
 MARGIN = 64
 TOUCH = 3
+PARTS_OF_IDS = 256
 IDENTITY = 0.8
 REACH = 8
 EDIT_COST = 2
@@ -84,6 +88,30 @@ def seeds(docs: DataFrame, k: int, window: int, min_words: int) -> DataFrame:
         run, "seed long, doc_id long, pos int")
 
 
+def anchored(shared: DataFrame, ids: list[int]) -> DataFrame:
+    """``doc_id, ref, pos, at``: each occurrence with the seed's first one and with the first in the latest document before its own.
+
+    ``ids``: bounds that cut the documents into parts, so that a common seed
+    is looked through in many tasks; the parts' latest documents then meet.
+    """
+    bounds = np.array(ids, dtype=np.int64)
+
+    @F.pandas_udf("int")
+    def part(of: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(bounds, of.to_numpy()).astype(np.int32))
+
+    dealt = shared.withColumn("part", part("doc_id"))
+    latest = F.max(F.struct("doc_id", (-F.col("pos")).alias("back")))
+    own = Window.partitionBy("seed", "part")
+    inside = dealt.withColumn("n", F.dense_rank().over(own.orderBy("doc_id"))).withColumn(
+        "near", latest.over(own.orderBy("n").rangeBetween(Window.unboundedPreceding, -1)))
+    tops = dealt.groupBy("seed", "part").agg(latest.alias("top")).withColumn(
+        "far", F.max("top").over(Window.partitionBy("seed").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))).where("far is not null")
+    both = inside.where("doc_id > ref").join(tops.select("seed", "part", "far"), ["seed", "part"], "left").withColumn("prev", F.coalesce("near", "far"))
+    links = F.array_distinct(F.array(F.struct("ref", "at"), F.struct(F.col("prev.doc_id").alias("ref"), (-F.col("prev.back")).alias("at"))))
+    return both.select("doc_id", "pos", F.explode(links).alias("l")).select("doc_id", "l.ref", "pos", "l.at")
+
+
 class Fenwick:
     """Greatest (value, item) of a prefix."""
 
@@ -255,15 +283,34 @@ def align(words: list[bytes], near: list[bytes], base: int, pos: list[int], at:
                 break
 
 
-def regions(spans: list[tuple], min_words: int, touch: int = TOUCH) -> list[tuple[int, int]]:
-    """Unions of spans (start, end, ...) that touch, of at least ``min_words`` words."""
+def passages(spans: list[tuple], min_words: int, touch: int = TOUCH) -> list[tuple[int, int, list[tuple]]]:
+    """Unions (start, end, their spans) of spans that touch on both sides, each in one earlier document, of at least ``min_words`` words."""
+    out = []
+    open_, ref = [], None
+    for span in sorted(set(spans), key=lambda x: (x[2], x)):
+        s, e, own, t, f, _ = span
+        if own != ref:
+            open_, ref = [], own
+        open_ = [g for g in open_ if s <= g[1] + touch]
+        g = next((g for g in open_ if g[2] <= t <= g[3] + touch), None)
+        if g is None:
+            g = [s, e, t, f, []]
+            open_.append(g)
+            out.append(g)
+        g[1], g[3] = max(g[1], e), max(g[3], f)
+        g[4].append(span)
+    return [(s, e, own) for s, e, _, _, own in out if e - s >= min_words]
+
+
+def regions(found: list[tuple[int, int, list[tuple]]], touch: int = TOUCH) -> list[tuple[int, int]]:
+    """Unions of passages that touch."""
     out: list[list[int]] = []
-    for s, e, *_ in sorted(spans):
+    for s, e, _ in sorted(found, key=lambda x: x[:2]):
         if out and s <= out[-1][1] + touch:
             out[-1][1] = max(out[-1][1], e)
         else:
             out.append([s, e])
-    return [(s, e) for s, e in out if e - s >= min_words]
+    return [(s, e) for s, e in out]
 
 
 _WORD = re.compile(r"[^ \t-\r]+")
@@ -284,12 +331,13 @@ def _found(docs: DataFrame, k: int, window: int, min_words: int, only_spans: boo
     spark = docs.sparkSession
     partitions = shuffle_partitions(spark)
     every = seeds(docs, k, window, min_words)
+    ids = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), [i / PARTS_OF_IDS for i in range(1, PARTS_OF_IDS)], 10_000)).first()[0]
     first = every.groupBy("seed").agg(F.min(F.struct("doc_id", "pos")).alias("f"), F.max("doc_id").alias("top")).where("f.doc_id < top").select(
         "seed", F.col("f.doc_id").alias("ref"), F.col("f.pos").alias("at"))
     # written, so that the join is of two plain shuffles and the seeds of a common passage can be split
     first = staged(first, "first")
-    anchors = every.join(first, "seed").where("doc_id > ref")
-    linked = staged(chained(anchors, k, partitions), "chains")
+    shared = staged(every.join(first, "seed"), "shared")
+    linked = staged(chained(anchored(shared, sorted(set(ids or []))), k, partitions), "chains")
 
     text = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("ref"), F.col("text").cast("string").alias("text"))
     near_schema = pa.schema([("doc_id", pa.int64()), ("ref", pa.int64()), ("pos", pa.list_(pa.int32())), ("at", pa.list_(pa.int32())), ("base", pa.int32()), ("near", pa.binary())])
@@ -329,10 +377,11 @@ def _found(docs: DataFrame, k: int, window: int, min_words: int, only_spans: boo
                     for _, ref, pos, at, base, near in links:
                         if pos[-1] + k <= len(words):
                             spans += [(s, e, ref, t, f, m) for s, e, t, f, m in align(words, unpack.decompress(near).split(), base, pos, at, k)]
-                    parts = regions(spans, min_words)
+                    held = passages(spans, min_words)
+                    parts = regions(held)
                     if only_spans:
                         for s, e in parts:
-                            for x in sorted({x for x in spans if s <= x[0] and x[1] <= e}):
+                            for x in sorted({x for first, last, own in held if s <= first and last <= e for x in own}):
                                 yield doc, x[2], x[0], x[1], x[3], x[4], x[5], s, e
                     elif parts:
                         yield doc, packed, [p[0] for p in parts], [p[1] for p in parts]

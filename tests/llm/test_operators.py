@@ -223,6 +223,33 @@ def test_an_exact_passage_survives_looser_text_chained_to_it():
     assert all(m >= 0.8 * (e - s) and m == sum(words_[i] == near[i] for i in range(s, e)) for s, e, _, _, m in spans)
 
 
+def test_a_passage_is_one_that_a_single_earlier_document_holds(spark):
+    a, b = sentence(200, 30), sentence(201, 30)
+    rows = [(1, a + " " + sentence(1, 60), "en", "a"), (2, sentence(2, 60) + " " + b, "en", "a"),
+            (4, " ".join([sentence(4, 40), a, b, sentence(5, 40)]), "en", "a"),
+            # the parts' latest documents before 9 hold one part each
+            (6, sentence(6, 50) + " " + a, "en", "a"), (7, sentence(7, 50) + " " + b, "en", "a"),
+            (9, " ".join([sentence(8, 30), a, b, sentence(9, 50)]), "en", "a")]
+    docs = docs_of(spark, rows)
+    cut = {r.doc_id: r.text for r in substring_dedup.without_passages(docs).collect()}
+    assert all(cut[i] == t for i, t, _, _ in rows if i != 9)
+    assert cut[9].split() == (sentence(8, 30) + " " + sentence(9, 50)).split()
+    assert {(r.doc_id, r.ref_doc_id, r.region_start, r.region_end) for r in substring_dedup.fuzzy_passages(docs).collect()} == {(9, 4, 30, 90)}
+
+
+def test_seeds_meet_their_first_and_their_previous_document(spark):
+    places = [(s, d, p) for s in (5, 6) for d, p in [(1, 9), (1, 3), (4, 0), (4, 8), (7, 2), (-2 ** 63, 1)][s - 5:] if s == 5 or d > 0] + [(8, 30 * d, d) for d in range(40)]
+    first = {s: min((d, p) for x, d, p in places if x == s) for s, _, _ in places}
+    shared = spark.createDataFrame([(s, d, p, *first[s]) for s, d, p in places], "seed long, doc_id long, pos int, ref long, at int")
+    want = set()
+    for s, d, p in places:
+        if earlier := [(x, y) for z, x, y in places if z == s and x < d]:
+            previous = max(x for x, _ in earlier)
+            want |= {(d, first[s][0], p, first[s][1]), (d, previous, p, min(y for x, y in earlier if x == previous))}
+    for ids in ([], [1], [-2 ** 63, 4, 300, 600]):
+        assert {tuple(r) for r in substring_dedup.anchored(shared, ids).collect()} == want
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), min_size=1, max_size=12))
 def test_best_chain_against_brute_force(anchors):
