@@ -1,18 +1,22 @@
 """License scan by exact set-similarity join (operator 7).
 
-A text block is a line; block and template are sets of words.  A block meets
-a template if it holds at least ``THRESHOLD`` of the template's words.
+A text block is a window of the document's words, across its lines, at most
+``1 / THRESHOLD`` times as long as the template; block and template are sets
+of words.  A block meets a template if it holds at least ``THRESHOLD`` of the
+template's words.
 
 1. Document frequencies of the templates' words are counted over the whole
    corpus; sets are ordered by them, rarest first, ties by the word.
-2. Prefix filter: of a template of n words with need c = ceil(THRESHOLD * n),
-   a block that meets it holds one of the first n - c + 1.  Length filter: the
-   block has at least c words.  Positional filter: a first common word at
-   place i leaves at most n - i common words, which must reach c.
-3. The pairs that are left are verified on the whole sets.
+2. Filters on whole documents, which hold all of their windows.  Prefix
+   filter: of a template of n words with need c = ceil(THRESHOLD * n), a block
+   that meets it holds one of the first n - c + 1.  Length filter: the
+   document has at least c different words.  Positional filter: a first common
+   word at place i leaves at most n - i common words, which must reach c.
+3. For the templates that are left, the longest window that ends at each of
+   their words is verified; it begins at the last place that keeps its words.
 
 Templates are a fixed, small list (a parameter); documents are scanned where
-they lie.  ``license_blocks`` returns every block with the templates it meets;
+they lie.  ``license_blocks`` returns every line in which such a window begins;
 ``scan`` also counts the fixed phrases.
 
 Words: runs of digits, letters and characters from U+0080 on, A-Z in lower
@@ -92,29 +96,39 @@ class Templates:
     def __init__(self, templates, counts: dict[bytes, int], threshold: float):
         self.sets = []
         self.index: dict[bytes, list[tuple[int, int]]] = {}
-        for label, words in template_sets(templates):
+        for (label, words), (_, text) in zip(template_sets(templates), templates, strict=True):
             order = sorted(words, key=lambda w: (counts.get(w, 0), w))
             need = math.ceil(threshold * len(order) - 1e-9)
             for place, w in enumerate(order[: len(order) - need + 1]):
                 self.index.setdefault(w, []).append((len(self.sets), place))
-            self.sets.append((label, words, need))
+            self.sets.append((label, words, need, math.ceil(len(block_words(text.encode())) / threshold - 1e-9)))
         self.prefixes = frozenset(self.index)
 
-    def meets(self, words: list[bytes]) -> dict[str, float]:
-        """Label -> best containment of the templates that the block meets."""
-        first = self.prefixes.intersection(words)
-        if not first:
-            return {}
-        block, places = set(words), {}
-        for w in first:
+    def meets(self, words: list[bytes]) -> Iterator[tuple[str, int, float]]:
+        """(label, place of the first word, containment) of the windows that meet a template."""
+        block = set(words)
+        places: dict[int, int] = {}
+        for w in self.prefixes.intersection(block):
             for t, place in self.index[w]:
                 places[t] = min(place, places.get(t, place))
-        out: dict[str, float] = {}
         for t, place in places.items():
-            label, own, need = self.sets[t]
-            if len(block) >= need and len(own) - place >= need and (both := len(own & block)) >= need:
-                out[label] = max(out.get(label, 0.0), both / len(own))
-        return out
+            label, own, need, longest = self.sets[t]
+            if len(block) >= need and len(own) - place >= need and len(own & block) >= need:
+                for first, both in windows(words, own, longest):
+                    if both >= need:
+                        yield label, first, both / len(own)
+
+
+def windows(words: list[bytes], own: frozenset[bytes], longest: int) -> Iterator[tuple[int, int]]:
+    """(first place, different words of ``own``) of the longest window that ends at each word of ``own``."""
+    held: dict[bytes, int] = {}  # word -> its last place, oldest first
+    for end, w in enumerate(words):
+        if w in own:
+            held.pop(w, None)
+            held[w] = end
+            while (first := next(iter(held.values()))) <= end - longest:
+                del held[next(iter(held))]
+            yield first, len(held)
 
 
 def phrase_places(words: list[bytes], phrases: dict[str, bytes]) -> Iterator[tuple[str, int]]:
@@ -133,14 +147,21 @@ def _prepared(docs: DataFrame, templates, threshold: float) -> Templates:
 
 
 def license_blocks(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id, block, label, containment``: each line (from 0) with the labels it meets."""
+    """``doc_id, block, label, containment``: each line (from 0) in which windows begin that meet a label, with the best containment."""
     ready = _prepared(docs, templates, threshold)
     schema = pa.schema([("doc_id", pa.int64()), ("block", pa.int64()), ("label", pa.string()), ("containment", pa.float64())])
 
+    def rows(doc, text):
+        lines = [block_words(line) for line in text.encode("utf-8", "replace").split(b"\n")]
+        line_of = [n for n, line in enumerate(lines) for _ in line]
+        met: dict[tuple[int, str], float] = {}
+        for label, first, c in ready.meets([w for line in lines for w in line]):
+            met[line_of[first], label] = max(c, met.get((line_of[first], label), 0.0))
+        return [(doc, n, label, c) for (n, label), c in sorted(met.items())]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from batched(((doc, n, label, c) for batch in batches for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
-                            for n, line in enumerate((text.as_py() or "").encode("utf-8", "replace").split(b"\n"))
-                            for label, c in sorted(ready.meets(block_words(line)).items())), schema)
+        yield from batched((row for batch in batches for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
+                            for row in rows(doc, text.as_py() or "")), schema)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, block long, label string, containment double")
 
@@ -153,13 +174,11 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, phr
                         ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64())])
 
     def rows(doc, text):
-        lines = [line.split() for line in text.encode("utf-8", "replace").translate(_LINES).split(b"\n")]
-        words = [w for line in lines for w in line]
+        words = block_words(text.encode("utf-8", "replace"))
         found = list(phrase_places(words, fixed))
         met: dict[str, float] = {}
-        for line in lines:
-            for label, c in ready.meets(line).items():
-                met[label] = max(c, met.get(label, 0.0))
+        for label, _, c in ready.meets(words):
+            met[label] = max(c, met.get(label, 0.0))
         base, starts = {label for label, _ in found}, [p for _, p in found]
         return (doc, len(words), len(found), min(starts, default=None), max(starts, default=None),
                 ",".join(sorted(base)), ",".join(sorted(base | met.keys())), max(met.values(), default=0.0))

@@ -309,6 +309,31 @@ def test_license_scan(spark, odd, none):
     assert license_scan.scan(odd).count() == odd.count() and license_scan.scan(none).count() == 0
 
 
+def test_wrapped_license_templates_are_found(spark):
+    texts = {"mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files",
+             "bsd-3": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:",
+             "mpl-2": "# This Source Code Form is subject to the terms of the Mozilla Public\n# License, v. 2.0.",
+             "gpl-3": "// This program is free software: you can redistribute it and/or modify\n// it under the terms of the GNU General\n// Public License"}
+    rows = [(i, f"{sentence(i, 40)}\n{t}\n{sentence(i, 30)}", "en", "a") for i, t in enumerate(texts.values())]
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan.scan(docs_of(spark, rows)).collect()}
+    assert got == {i: (label, 1.0) for i, label in enumerate(texts)}
+    assert {(r.doc_id, r.block, r.label) for r in license_scan.license_blocks(docs_of(spark, rows)).collect()} == {(i, 1, label) for i, label in enumerate(texts)}
+    # words of a template that are scattered over a long line are none
+    far = " ".join(f"{w} {sentence(7, 20)}" for w in "released under the mit license".split())
+    assert license_scan.scan(docs_of(spark, [(1, far, "en", "a")])).first().labels == ""
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from([b"a", b"b", b"c", b"x"]), max_size=14), st.integers(1, 6))
+def test_windows_against_brute_force(stream, longest):
+    own = frozenset([b"a", b"b", b"c"])
+    got = list(license_scan.windows(stream, own, longest))
+    ends = [i for i, w in enumerate(stream) if w in own]
+    want = [own & set(stream[max(0, i - longest + 1):i + 1]) for i in ends]
+    assert [n for _, n in got] == [len(x) for x in want]
+    assert all(own & set(stream[f:i + 1]) == x and own & set(stream[f + 1:i + 1]) != x for (f, _), i, x in zip(got, ends, want))
+
+
 def test_chat_folds_events_and_reads_back(spark):
     schema = "conv_id long, seq long, msg long, kind string, role string, text string"
     events = spark.createDataFrame([
