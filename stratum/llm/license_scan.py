@@ -3,7 +3,7 @@
 A text block is a window of the document's words, across its lines, at most
 ``1 / THRESHOLD`` times as long as the template; block and template are sets
 of words.  A block meets a template if it holds at least ``THRESHOLD`` of the
-template's words.
+template's words and the words that tell its license from others.
 
 1. Document frequencies of the templates' words are counted over the whole
    corpus; sets are ordered by them, rarest first, ties by the word.
@@ -60,6 +60,19 @@ TEMPLATES = (
     ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 
+#: Words that tell a template's license from others of nearly the same words, by a word of the template:
+#: all of the first must stand in a block that meets the template, none of the second.
+SPECIFIC = (
+    ("mit license", "mit", ""),
+    ("apache license", "apache 2", ""),
+    ("cc by nc", "nc", "sa nd"),
+    ("attribution noncommercial", "noncommercial", "sharealike noderivatives noderivs"),
+    ("attribution sharealike", "sharealike", "noncommercial"),
+    ("gnu general public license version 3", "gnu general 3", "lesser library affero"),
+    ("gnu general public license", "gnu general", "lesser library affero"),
+    ("mozilla public license", "mozilla 2", ""),
+)
+
 _TABLE = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 32 for b in range(256))
 
 
@@ -71,6 +84,15 @@ def template_sets(templates=TEMPLATES) -> list[tuple[str, frozenset[bytes]]]:
     return [(label, frozenset(block_words(text.encode()))) for label, text in templates]
 
 
+def specific(text: str) -> tuple[frozenset[bytes], frozenset[bytes]]:
+    """The words that a block of this template must hold, and those that it must not."""
+    line = b" ".join([b"", *block_words(text.encode()), b""])
+    for phrase, needs, bars in SPECIFIC:
+        if f" {phrase} ".encode() in line:
+            return frozenset(needs.encode().split()), frozenset(bars.encode().split())
+    return frozenset(), frozenset()
+
+
 def frequencies(docs: DataFrame, words: frozenset[bytes]) -> dict[bytes, int]:
     """How many blocks of the corpus hold each of these words."""
     schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
@@ -101,7 +123,7 @@ class Templates:
             need = math.ceil(threshold * len(order) - 1e-9)
             for place, w in enumerate(order[: len(order) - need + 1]):
                 self.index.setdefault(w, []).append((len(self.sets), place))
-            self.sets.append((label, words, need, math.ceil(len(block_words(text.encode())) / threshold - 1e-9)))
+            self.sets.append((label, words, need, math.ceil(len(block_words(text.encode())) / threshold - 1e-9), *specific(text)))
         self.prefixes = frozenset(self.index)
 
     def meets(self, words: list[bytes]) -> Iterator[tuple[str, int, float]]:
@@ -112,23 +134,29 @@ class Templates:
             for t, place in self.index[w]:
                 places[t] = min(place, places.get(t, place))
         for t, place in places.items():
-            label, own, need, longest = self.sets[t]
-            if len(block) >= need and len(own) - place >= need and len(own & block) >= need:
-                for first, both in windows(words, own, longest):
+            label, own, need, longest, needs, bars = self.sets[t]
+            if len(block) >= need and len(own) - place >= need and len(own & block) >= need and needs <= block:
+                for first, both in windows(words, own, longest, needs, bars):
                     if both >= need:
                         yield label, first, both / len(own)
 
 
-def windows(words: list[bytes], own: frozenset[bytes], longest: int) -> Iterator[tuple[int, int]]:
-    """(first place, different words of ``own``) of the longest window that ends at each word of ``own``."""
+def windows(words: list[bytes], own: frozenset[bytes], longest: int, needs: frozenset[bytes] = frozenset(), bars: frozenset[bytes] = frozenset()) -> Iterator[tuple[int, int]]:
+    """(first place, different words of ``own``) of the longest window that ends at each word of ``own``.
+
+    Only windows with all of ``needs`` (of ``own``) and none of ``bars``.
+    """
     held: dict[bytes, int] = {}  # word -> its last place, oldest first
     for end, w in enumerate(words):
-        if w in own:
+        if w in bars:
+            held.clear()
+        elif w in own:
             held.pop(w, None)
             held[w] = end
             while (first := next(iter(held.values()))) <= end - longest:
                 del held[next(iter(held))]
-            yield first, len(held)
+            if needs <= held.keys():
+                yield first, len(held)
 
 
 def phrase_places(words: list[bytes], phrases: dict[str, bytes]) -> Iterator[tuple[str, int]]:

@@ -323,6 +323,27 @@ def test_wrapped_license_templates_are_found(spark):
     assert license_scan.scan(docs_of(spark, [(1, far, "en", "a")])).first().labels == ""
 
 
+def test_licenses_of_nearly_the_same_words_are_told_apart(spark):
+    cc = "This work is licensed under a Creative Commons Attribution-"
+    want = {"Released under the Apache License.": "", "Released under the GPL License": "", "Licensed under CC BY 4.0": "", "Licensed under CC BY-SA 4.0": "",
+            cc + "ShareAlike 4.0 International License.": "cc-by-sa", cc + "NonCommercial 4.0 International License.": "cc-by-nc",
+            cc + "NonCommercial-ShareAlike 4.0 International License.": "", "Licensed under the Eclipse Public License, Version 2.0": "",
+            "Licensed under the Apache License, Version 1.0": "", "Licensed under the Apache License 2.0": "apache-2",
+            "This work is licensed under the GNU General Public License, version 2.": "", "Licensed under CC BY-NC 4.0": "cc-by-nc",
+            "This work is licensed under the GNU Lesser General Public License, version 3.": "", "x under the MIT license": "mit",
+            "This work is licensed under the GNU General Public License, version 3.": "gpl-3"}
+    rows = [(i, t, "en", "a") for i, t in enumerate(want)]
+    got = {rows[r.doc_id][1]: r.labels for r in license_scan.scan(docs_of(spark, rows)).collect()}
+    assert got == want
+
+
+def test_every_template_meets_itself():
+    ready = license_scan.Templates(license_scan.TEMPLATES, {}, license_scan.THRESHOLD)
+    for label, text in license_scan.TEMPLATES:
+        met = [(x, c) for x, _, c in ready.meets(license_scan.block_words(text.encode()))]
+        assert {x for x, _ in met} == {label} and max(c for _, c in met) == 1.0
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from([b"a", b"b", b"c", b"x"]), max_size=14), st.integers(1, 6))
 def test_windows_against_brute_force(stream, longest):
