@@ -2,9 +2,10 @@
 
 Each document's counts become ratios in thousandths.  For each language and
 source a quantile sketch of every ratio is kept: counts by bucket, with
-buckets of ten thousandths (of a hundred from 1,000 on), so a sketch is
-bounded, sketches merge by adding counts, and the result does not depend on
-how rows are dealt.  A ratio's fence is the median plus ``SPREAD`` times the
+buckets of ten thousandths (of a hundred from 1,000 on, growing by a
+thousandth part each from 91,100 on, without a last one), so a sketch is
+bounded by the logarithm of its greatest ratio, sketches merge by adding
+counts, and the result does not depend on how rows are dealt.  A ratio's fence is the median plus ``SPREAD`` times the
 distance from the median to the upper quartile (for word lengths also to the
 lower one), and at least the floor of the ratio away.  Sketches of fewer than
 ``MIN_ROWS`` documents are replaced by their language's, then by the sketch
@@ -18,6 +19,7 @@ table gives no rows; other columns pass through ``kept_documents`` untouched.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -79,13 +81,19 @@ def ratio(name: str) -> Column:
     return F.when(F.col(bottom) > 0, F.floor(1000 * F.col(top) / F.col(bottom))).otherwise(0).cast("long")
 
 
+#: Buckets up to ``EVEN`` are of even width and end before ``EVEN_END`` thousandths; each one after it is wider by the factor ``GROWTH``.
+EVEN, EVEN_END, GROWTH = 1000, 91_100, 1.001
+
+
 def _bucket(v: Column) -> Column:
-    return F.when(v < 1000, F.floor(v / 10)).otherwise(F.least(F.lit(1000), 100 + F.floor((v - 1000) / 100))).cast("int")
+    return F.when(v < 1000, F.floor(v / 10)).when(v < EVEN_END, 100 + F.floor((v - 1000) / 100)).otherwise(
+        EVEN + 1 + F.floor(F.log(v / EVEN_END) / math.log(GROWTH))).cast("int")
 
 
 def _value(bucket: Column) -> Column:
     """The upper end of a bucket."""
-    return F.when(bucket < 100, 10 * bucket + 9).otherwise(1000 + 100 * (bucket - 100) + 99)
+    return F.when(bucket < 100, 10 * bucket + 9).when(bucket <= EVEN, 1000 + 100 * (bucket - 100) + 99).otherwise(
+        F.ceil(EVEN_END * F.pow(F.lit(GROWTH), bucket - EVEN)) - 1).cast("long")
 
 
 def fences(counted: DataFrame) -> DataFrame:

@@ -137,6 +137,24 @@ def test_quality_rules_reject_outliers_of_their_group(spark):
     assert all(got[i] for i in range(330)) and not any(got[1000 + i] for i in range(20))
 
 
+def test_quality_rules_keep_scripts_without_spaces(spark):
+    rng = np.random.default_rng(11)
+
+    def lines(low, high):  # 60 lines, each one "word"
+        return "\n".join("".join(map(chr, rng.integers(0x4E00, 0x9F00, int(rng.integers(low, high))))) for _ in range(60))
+
+    rows = [(i, lines(100, 300), "zh", "a") for i in range(150)] + [(1000 + i, lines(2000, 3000), "zh", "a") for i in range(5)]
+    got = {r.doc_id: r.kept for r in quality_rules.quality_verdicts(docs_of(spark, rows)).collect()}
+    assert all(got[i] for i in range(150)) and not any(got[1000 + i] for i in range(5))
+
+
+def test_buckets_hold_their_values_without_a_top(spark):
+    values = [0, 9, 10, 999, 1000, 90_999, 91_000, 91_099, 91_100, 91_200, 150_000, 10 ** 7, 10 ** 12]
+    v = spark.createDataFrame([(x,) for x in values], "v long")
+    got = v.select("v", quality_rules._value(quality_rules._bucket(v["v"])).alias("end")).collect()
+    assert all(r.v - 1 <= r.end <= r.v + max(100, 0.0011 * r.v) for r in got)
+
+
 def test_near_duplicates_against_brute_force(spark, odd, none):
     rng = np.random.default_rng(7)
     rows, n = [], 0
