@@ -4,8 +4,8 @@ The vocabulary's pre-tokenizer drops white space and never joins characters
 across it, so the ids of a text are the ids of its white-space separated
 chunks in order.  Natural text repeats its words, so each worker keeps a
 bounded cache chunk -> packed ids and only sends unseen chunks to the
-tokenizer.  ``tests/llm/test_tokens.py`` compares the result with encoding
-whole texts.
+tokenizer.  ``tests/llm/test_operators.py`` compares the result with
+encoding whole texts.
 """
 
 from __future__ import annotations
