@@ -251,3 +251,16 @@ def test_high_water_filter_can_use_file_statistics(spark, tmp_dir):
         assert column.physical_type == "INT64" and column.statistics.has_min_max
     text = new._jdf.queryExecution().explainString(new._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
     assert "DataFilters: [isnotnull(ts" in text and " > coalesce(" in text.split("DataFilters:")[1]
+
+
+def test_a_reader_leaves_the_unfinished_stage_of_a_running_upsert(spark, tmp_dir):
+    from stratum.sources.tables import STAGE, BucketedTable
+    keys = ("source_system", "material_id")
+    c, rows = _material_rows(spark, 40, "1")
+    t = BucketedTable(spark, tmp_dir, c, keys=keys, buckets=4)
+    t.upsert_partitions(rows, keys)
+    os.makedirs(f"{t.path}/{STAGE}/_temporary/0")
+    assert BucketedTable(spark, tmp_dir, c, keys=keys, buckets=4).read().count() == 40
+    assert os.path.exists(f"{t.path}/{STAGE}/_temporary/0")
+    t.upsert_partitions(_material_rows(spark, 50, "2")[1], keys)
+    assert t.read().count() == 50 and not os.path.exists(f"{t.path}/{STAGE}")
