@@ -49,11 +49,12 @@ from pyspark.sql import functions as F
 #: Chunks: white space and what follows it, cut where white space follows something else.
 _CHUNK = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 #: White space of the pattern beyond ASCII.
-_WIDE_SPACE = re.compile("[\x85\xa0  -     　]")
+_WIDE_SPACE = re.compile("[" + "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]")
 
 #: Marks that are cached apart, so that a word before them needs one entry.
 _MARKS = b".,"
 
+REPLACEMENT = chr(0xFFFD)
 ROOT = 0
 LOOK = 64
 BLOCK = 8192
@@ -297,11 +298,11 @@ class StreamingDecoder:
                         out.append(self.held.decode("utf-8"))
                         self.held.clear()
                     continue
-                out.append("�")
+                out.append(REPLACEMENT)
                 self.held.clear()
             lead = _lead(byte)
             if lead is None:
-                out.append("�")
+                out.append(REPLACEMENT)
             elif lead[0]:
                 self.held.append(byte)
                 self.wanted, self.least, self.most = lead
@@ -311,7 +312,7 @@ class StreamingDecoder:
 
     def finish(self) -> str:
         left, self.held = bool(self.held), bytearray()
-        return "�" * left
+        return REPLACEMENT * left
 
 
 def default_vocabulary() -> str:
