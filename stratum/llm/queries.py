@@ -9,6 +9,7 @@ from stratum.llm import (
     bin_packing,
     bpe_transducer,
     chat_format,
+    collocations,
     decontaminate,
     language_id,
     license_scan,
@@ -65,6 +66,10 @@ def op10_large_item_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bin_packing.best_fit_packing(table(spark, sf_dir, "documents"))
 
 
+def op11_toivonen_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_transducer.encoded_documents(table(spark, sf_dir, "documents"))
 
@@ -73,7 +78,8 @@ QUERIES = {f.__name__: f for f in (
     op1_bfd_token_matrices, op2_empirical_bayes_quality, op3_adaptive_quality_rules, op4_family_language_id,
     op5_pigeonhole_decontamination, op6_ngram_jaccard_join, op7_license_set_join, op8_collinear_passages,
     op9_event_sourced_chat, op10_large_item_packing,
-    op12_transducer_bpe)}
+    op11_toivonen_collocations, op12_transducer_bpe)}
 SQL: dict[str, str] = {
     "op3_adaptive_quality_rules": oracle.quality_rules(), "op6_ngram_jaccard_join": oracle.ngram_join(),
-    "op7_license_set_join": oracle.license_scan(), "op9_event_sourced_chat": chat_format.ORACLE}
+    "op7_license_set_join": oracle.license_scan(), "op9_event_sourced_chat": chat_format.ORACLE,
+    "op11_toivonen_collocations": collocations.oracle()}

@@ -1,0 +1,131 @@
+"""Collocations against plain counting and their SQL, from proposals of any quality, and on odd rows."""
+
+import collections
+import random
+import re
+
+import duckdb
+import numpy as np
+import pytest
+
+from stratum.llm import collocations, oracle, queries  # noqa: F401
+from tools.check_oracle import digest, duck
+
+DOCS = "doc_id long, text string, lang string, phrase string, rank int, f string"
+COLUMNS = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+
+
+def plain(rows, least, longest, top):
+    """By the definition, with Python's whole numbers."""
+    f, n = collections.Counter(), collections.Counter()
+    for text, lang in rows:
+        lang = lang or "und"
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")):
+            words = [w for w in re.split("[ \t]", piece) if w]
+            n[lang] += len(words)
+            f.update((lang, tuple(words[i : i + k])) for k in range(1, longest + 1) for i in range(len(words) - k + 1))
+    found = collections.defaultdict(list)
+    longer = collections.defaultdict(list)
+    for (lang, p), a in f.items():
+        if a >= least:
+            for k in range(2, len(p)):
+                for i in range(len(p) - k + 1):
+                    longer[lang, p[i : i + k]].append(a)
+    for (lang, p), a in f.items():
+        if len(p) > 1 and a >= least and not any(100 * b >= 100 * a for b in longer[lang, p]):
+            score, k = min((1000 * a * n[lang] // (f[lang, p[:k]] * f[lang, p[k:]]), k) for k in range(1, len(p)))
+            found[lang].append((-score, -a, " ".join(p).encode(), f[lang, p[:k]], f[lang, p[k:]]))
+    return sorted((lang, i, p.decode(), -a, x, y, n[lang], -s) for lang, own in found.items() for i, (s, a, p, x, y) in enumerate(sorted(own)[:top], 1))
+
+
+def prose(seed, n, words=12):
+    rng = random.Random(seed)
+    names = ["Ab", "aB", "é", "Éa", "x\x00y", "it's", "(the", "of)", "zz", "日本", "q-r", "--"][:words]
+    return "".join(rng.choice(names) + rng.choice([" ", " ", " ", "  ", "\t", ". ", ", ", "\n", "; ", "?\r"]) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def rows():
+    out = [(prose(i, 40 + i % 50), ["en", "fr", None, "und"][i % 4]) for i in range(120)]
+    out += [(prose(3, 60), "en")] * 5 + [(None, "en"), ("", None), (" \n.,", "de"), ("one", "de"), (prose(9, 6000, 4), "long")]
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame([(i // 2 if i % 7 else None, t, lang, "x", 1, "y") for i, (t, lang) in enumerate(rows)], DOCS).repartition(5)
+
+
+def collected(df):
+    assert df.columns == COLUMNS
+    return sorted(map(tuple, df.collect()))
+
+
+def test_equals_plain_counting(docs, rows):
+    for least, longest, top in ((3, 5, 2000), (6, 3, 7), (2, 2, 50)):
+        assert collected(collocations.collocations(docs, least, longest, top)) == plain(rows, least, longest, top)
+
+
+@pytest.mark.parametrize("slots", ["none", "all", "some"])
+def test_any_proposal_gives_the_same(docs, rows, slots):
+    """Nothing proposed: every level is a border failure and a pass of its own.  All: one pass.  Some: false hits and misses."""
+    random_ = np.random.default_rng(2).integers(0, 2**63, 64, dtype=np.uint64)
+    proposed = {"none": collocations.PhraseFilter.empty(), "all": collocations.PhraseFilter(np.full(4, 2**64 - 1, dtype=np.uint64)),
+                "some": collocations.PhraseFilter(random_)}[slots]
+    assert collected(collocations.collocations(docs, 4, 5, proposed=proposed)) == plain(rows, 4, 5, 2000)
+
+
+def test_passes_run_until_the_border_holds(docs, monkeypatch):
+    passes = []
+    counts = collocations._counts
+    monkeypatch.setattr(collocations, "_counts", lambda *a: passes.append(a[3]) or counts(*a))
+    collocations.frequent_phrases(docs, 4, 5, proposed=collocations.PhraseFilter.empty()).collect()
+    assert len(passes) == 5 and passes[0] == range(6) and set(passes[1:]) == {range(2, 6)}
+    passes.clear()
+    collocations.frequent_phrases(docs, 4, 5, proposed=collocations.PhraseFilter(np.full(4, 2**64 - 1, dtype=np.uint64))).collect()
+    assert len(passes) == 1
+
+
+def test_windows_and_portions_change_nothing(docs, rows):
+    assert collected(collocations.collocations(docs, 3, window=50)) == plain(rows, 3, 5, 2000)
+    text = prose(1, 5000)
+    portions = list(collocations._portions(text, 30))
+    assert len(portions) > 20 and b"".join(portions) == text.encode().lower().translate(collocations._PIECES)
+
+
+def test_filter_hashes_are_those_of_windows():
+    w = collocations._Window("fr")
+    w.add("a é b a é".encode())
+    w.numbers.append(w.numbers[0])
+    seen = []
+
+    class Spy(collocations.PhraseFilter):
+        def __call__(self, hashes):
+            seen.append(hashes)
+            return np.ones(len(hashes), dtype=bool)
+
+    levels = {k: names for k, names, _ in w.counted(Spy(np.zeros(2, np.uint64)), None, range(0, 5))}
+    for k in (1, 2, 3):
+        names = [n.decode() for n in levels[k]]
+        assert sorted(seen[k - 1].tolist()) == sorted(collocations.phrase_hashes(["fr"] * len(names), names).tolist())
+    assert collocations.phrase_hashes(["en"], ["a"])[0] != collocations.phrase_hashes(["fr"], ["a"])[0]
+
+
+def test_counts_beyond_64_bits(spark):
+    n = 10**13
+    top, bottom = spark.sql(f"select cast(cast(1000 as decimal(4,0)) * cast({n} as decimal(15,0)) * cast({7 * n + 3} as decimal(17,0)) as decimal(38,0)) as a, cast({n} as decimal(38,0)) as b").first()
+    assert int(top) == 1000 * n * (7 * n + 3) and int(bottom) == n
+
+
+def test_empty_table_and_sql(spark, docs, rows):
+    assert collocations.collocations(docs.limit(0)).collect() == []
+    con = duckdb.connect()
+    frame = docs.toPandas()  # noqa: F841
+    con.execute("CREATE TABLE documents AS SELECT text, lang FROM frame")
+    for least, longest, top in ((3, 5, 2000), (6, 3, 7)):
+        assert sorted(con.execute(collocations.oracle(least, longest, top)).fetchall()) == plain(rows, least, longest, top)
+
+
+def test_query_equals_its_sql(spark):
+    sf = "/root/testdata/sf0.01"
+    assert digest(queries.op11_toivonen_collocations(spark, sf).toPandas()) == digest(duck(sf).execute(queries.SQL["op11_toivonen_collocations"]).df())
