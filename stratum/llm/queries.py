@@ -11,6 +11,7 @@ from stratum.llm import (
     chat_format,
     collocations,
     decontaminate,
+    hard_negatives,
     language_id,
     license_scan,
     ngram_join,
@@ -74,12 +75,18 @@ def op12_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_transducer.encoded_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_angular_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of rows whose id 7 divides are moved on first; anchors are the rows whose id 100 divides."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bfd_token_matrices, op2_empirical_bayes_quality, op3_adaptive_quality_rules, op4_family_language_id,
     op5_pigeonhole_decontamination, op6_ngram_jaccard_join, op7_license_set_join, op8_collinear_passages,
     op9_event_sourced_chat, op10_large_item_packing,
-    op11_toivonen_collocations, op12_transducer_bpe)}
+    op11_toivonen_collocations, op12_transducer_bpe, op13_angular_hard_negatives)}
 SQL: dict[str, str] = {
     "op3_adaptive_quality_rules": oracle.quality_rules(), "op6_ngram_jaccard_join": oracle.ngram_join(),
     "op7_license_set_join": oracle.license_scan(), "op9_event_sourced_chat": chat_format.ORACLE,
-    "op11_toivonen_collocations": collocations.oracle()}
+    "op11_toivonen_collocations": collocations.oracle(), "op13_angular_hard_negatives": hard_negatives.oracle()}
