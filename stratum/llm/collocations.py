@@ -12,8 +12,11 @@ in a piece, and everything is counted by language (null: ``und``).
    of the border is.
 3. Frequent phrases that were not proposed are border failures.  They join
    the proposal and another pass counts what they newly admit, until no
-   failure is left.  The result is exact whatever the sample held; a better
-   sample only saves passes.
+   failure is left.  A frequent phrase that is newly admitted holds a failure
+   of the pass before, so only documents are counted in which one stands (as
+   a string; found by an Aho-Corasick automaton of at most ``MOST_FAILURES``
+   failures, else all documents are counted).  The result is exact whatever
+   the sample held; a better sample only saves passes.
 
 The proposal stands in a filter of hashed phrases: one 64-bit slot for each
 phrase, of at most ``2 ** MOST_SLOTS_LOG2`` slots (32 MB), which is broadcast.
@@ -39,7 +42,8 @@ other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,10 +60,13 @@ TOP = 2000
 SAMPLE_OF = 8
 WINDOW = 1_500_000
 MOST_SLOTS_LOG2 = 22
+MOST_FAILURES = 50_000
+PART = 20_000
 UND = "und"
 
 #: What ends a piece, each put as a full stop.
 _PIECES = bytes.maketrans(b",;:!?\n\x0b\x0c\r", b"." * 9)
+_BLANKS = re.compile(rb"[ \t]+")
 _U = np.uint64
 
 
@@ -143,7 +150,7 @@ class _Window:
         self.size += len(tokens)
 
     def counted(self, proposed: PhraseFilter, before: PhraseFilter | None, levels: range) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
-        """(words, phrases, counts) of each level: those whose parts are all in ``proposed`` and were not already in ``before``.
+        """(words, phrases, counts) of each level, in parts: those whose parts are all in ``proposed`` and were not already in ``before``.
 
         Level 0 is the count of all words, under an empty phrase.
         """
@@ -155,11 +162,13 @@ class _Window:
         if 0 in levels:
             yield 0, [b""], np.array([total])
         if 1 in levels:
-            yield 1, names, np.bincount(numbers[numbers >= 0], minlength=len(names))
+            counts = np.bincount(numbers[numbers >= 0], minlength=len(names))
+            for i in range(0, len(names), PART):
+                yield 1, names[i : i + PART], counts[i : i + PART]
         # at[i]: number of the phrase of k words from i on, -1 if there is none that is proposed
         # done: those that an earlier pass has counted, which takes their parts to be proposed and counted by then
         hashes, at, done = word_hash, numbers, np.ones(len(names), dtype=bool)
-        spell = np.arange(len(names), dtype=np.int64).reshape(-1, 1)
+        spell = np.arange(len(names), dtype=np.int32).reshape(-1, 1)
         for k in range(2, levels.stop):
             known = proposed(hashes)
             old = done & before(hashes) if before is not None else np.zeros(len(hashes), dtype=bool)
@@ -176,11 +185,12 @@ class _Window:
             done = old[first] & old[tail]
             if k in levels:
                 new = np.flatnonzero(~done)
-                rows = np.column_stack([spell[first[new]], last[new]])
-                if len(rows):
-                    yield k, [b" ".join([names[i] for i in row]) for row in rows.tolist()], counts[new]
+                for i in range(0, len(new), PART):
+                    part = new[i : i + PART]
+                    rows = np.column_stack([spell[first[part]], last[part]]).tolist()
+                    yield k, [b" ".join([names[i] for i in row]) for row in rows], counts[part]
             if k + 1 < levels.stop:
-                spell = np.column_stack([spell[first], last])
+                spell = np.column_stack([spell[first], last.astype(np.int32)])
                 hashes = _joined(hashes[first], word_hash[last])
                 at = np.full(len(numbers) - k + 1, -1, dtype=np.int64)
                 at[places] = which
@@ -189,28 +199,29 @@ class _Window:
 COUNTS = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("c", pa.int64())])
 
 
-def _counts(docs: DataFrame, proposed: PhraseFilter, before: PhraseFilter | None, levels: range, window: int) -> DataFrame:
-    """``lang, words, phrase, f`` of all documents, for the levels that ``_Window.counted`` admits."""
+def _counts(docs: DataFrame, proposed: PhraseFilter, before: PhraseFilter | None, levels: range, window: int, failures: list[str] | None = None) -> DataFrame:
+    """``lang, words, phrase, f`` for the levels that ``_Window.counted`` admits, over all documents or those in which one of ``failures`` stands."""
     context = docs.sparkSession.sparkContext
-    shared = context.broadcast((proposed.slots, None if before is None else before.slots))
+    shared = context.broadcast((proposed.slots, None if before is None else before.slots, failures))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, old = shared.value
+        now, old, wanted = shared.value
         now, old = PhraseFilter(now), None if old is None else PhraseFilter(old)
+        holds = None if wanted is None else _holder(wanted)
         held: dict[str, _Window] = {}
 
         def flushed() -> Iterator[pa.RecordBatch]:
-            for lang, w in held.items():
-                for k, phrases, counts in w.counted(now, old, levels):
-                    for i in range(0, len(phrases), 20_000):
-                        part = pa.array(phrases[i : i + 20_000], pa.binary()).cast(pa.string())
-                        n = len(part)
-                        yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array(np.full(n, k, np.int32)), part, pa.array(counts[i : i + 20_000], pa.int64())], schema=COUNTS)
-            held.clear()
+            for lang in list(held):
+                for k, phrases, counts in held.pop(lang).counted(now, old, levels):
+                    n = len(phrases)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array(np.full(n, k, np.int32)), pa.array(phrases, pa.binary()).cast(pa.string()),
+                                                      pa.array(counts, pa.int64())], schema=COUNTS)
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 for part in _portions(text.as_py(), window):
+                    if holds is not None and not holds(part):
+                        continue
                     if lang not in held:
                         held[lang] = _Window(lang)
                     held[lang].add(part)
@@ -218,10 +229,28 @@ def _counts(docs: DataFrame, proposed: PhraseFilter, before: PhraseFilter | None
                         yield from flushed()
         yield from flushed()
 
-    counted = docs.mapInArrow(run, "lang string, words int, phrase string, c long")
+    # windows have summed their counts, so that summing them again before the shuffle would gain little
+    counted = docs.mapInArrow(run, "lang string, words int, phrase string, c long").repartition("lang", "phrase")
     return counted.groupBy("lang", "words", "phrase").agg(F.sum("c").alias("f"))
 
 
+def _holder(phrases: list[str]) -> Callable[[bytes], bool]:
+    """Whether one of the phrases stands in a portion, perhaps within longer words."""
+    import ahocorasick
+
+    automaton = ahocorasick.Automaton()
+    for p in phrases:
+        automaton.add_word(p, 1)
+    automaton.make_automaton()
+
+    def holds(portion: bytes) -> bool:
+        if b"\t" in portion or b"  " in portion:
+            portion = _BLANKS.sub(b" ", portion)
+        return next(automaton.iter(portion.decode("utf-8")), None) is not None
+
+    return holds
+
+
 def _portions(text: str | None, window: int) -> Iterator[bytes]:
     """The text's pieces, lower-cased, in portions that end between pieces where a portion would be too long."""
     if not text:
@@ -271,11 +300,11 @@ def _texts(docs: DataFrame) -> DataFrame:
 def propose(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, sample_of: int = SAMPLE_OF, window: int = WINDOW) -> PhraseFilter:
     """Frequent phrases of the sample (one document of ``sample_of``), level by level.
 
-    The threshold in the sample is a quarter of what a phrase with ``least``
-    occurrences has there on average, and 2 at least.
+    The threshold in the sample is about a third of what a phrase with
+    ``least`` occurrences has there on average, and 2 at least.
     """
     sample = staged(docs.where(F.pmod(F.xxhash64("lang", "text"), F.lit(sample_of)) == 0), "phrase-sample")
-    lowered = max(2, least // (4 * sample_of))
+    lowered = max(2, 35 * least // (100 * sample_of))
     out, found = PhraseFilter.empty(), None
     for k in range(1, longest):
         own = staged(_counts(sample, out, None, range(k, k + 1), window).where(F.col("f") >= lowered), "proposed")
@@ -296,9 +325,9 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     """
     texts = _texts(docs)
     now = propose(texts, least, longest, sample_of, window) if proposed is None else proposed
-    parts, before, levels = [], None, range(0, longest + 1)
+    parts, before, levels, wanted = [], None, range(0, longest + 1), None
     while True:
-        kept = staged(_counts(texts, now, before, levels, window).where((F.col("f") >= least) | (F.col("words") == 0)), "frequent")
+        kept = staged(_counts(texts, now, before, levels, window, wanted).where((F.col("f") >= least) | (F.col("words") == 0)), "frequent")
         parts.append(kept)
         failures = staged(_missed(kept.where(f"words between 1 and {longest - 1}"), now), "failures")
         size = failures.count()
@@ -306,6 +335,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
             break
         before, now = now, _with(now, failures, size)
         levels = range(2, longest + 1)
+        wanted = [r.phrase for r in failures.select("phrase").distinct().collect()] if size <= MOST_FAILURES else None
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

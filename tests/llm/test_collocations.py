@@ -86,6 +86,13 @@ def test_passes_run_until_the_border_holds(docs, monkeypatch):
     assert len(passes) == 1
 
 
+def test_later_passes_count_the_same_with_and_without_the_automaton(docs, rows, monkeypatch):
+    monkeypatch.setattr(collocations, "MOST_FAILURES", 1)
+    assert collected(collocations.collocations(docs, 4, 5, proposed=collocations.PhraseFilter.empty())) == plain(rows, 4, 5, 2000)
+    holds = collocations._holder(["a b", "é"])
+    assert holds(b"x a  b.") and holds(b"a\t b") and holds("xéx".encode()) and not holds(b"a.b") and not holds(b"")
+
+
 def test_windows_and_portions_change_nothing(docs, rows):
     assert collected(collocations.collocations(docs, 3, window=50)) == plain(rows, 3, 5, 2000)
     text = prose(1, 5000)
@@ -104,7 +111,7 @@ def test_filter_hashes_are_those_of_windows():
             seen.append(hashes)
             return np.ones(len(hashes), dtype=bool)
 
-    levels = {k: names for k, names, _ in w.counted(Spy(np.zeros(2, np.uint64)), None, range(0, 5))}
+    levels = {k: names for k, names, _ in w.counted(Spy(np.zeros(2, np.uint64)), None, range(0, 5))}  # few: each level is one part
     for k in (1, 2, 3):
         names = [n.decode() for n in levels[k]]
         assert sorted(seen[k - 1].tolist()) == sorted(collocations.phrase_hashes(["fr"] * len(names), names).tolist())
