@@ -62,6 +62,7 @@ WINDOW = 1_500_000
 MOST_SLOTS_LOG2 = 22
 MOST_FAILURES = 50_000
 PART = 20_000
+SALTS = 16
 UND = "und"
 
 #: What ends a piece, each put as a full stop.
@@ -196,7 +197,7 @@ class _Window:
                 at[places] = which
 
 
-COUNTS = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("c", pa.int64())])
+COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("c", pa.int64())])
 
 
 def _counts(docs: DataFrame, proposed: PhraseFilter, before: PhraseFilter | None, levels: range, window: int, failures: list[str] | None = None) -> DataFrame:
@@ -212,10 +213,8 @@ def _counts(docs: DataFrame, proposed: PhraseFilter, before: PhraseFilter | None
 
         def flushed() -> Iterator[pa.RecordBatch]:
             for lang in list(held):
-                for k, phrases, counts in held.pop(lang).counted(now, old, levels):
-                    n = len(phrases)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array(np.full(n, k, np.int32)), pa.array(phrases, pa.binary()).cast(pa.string()),
-                                                      pa.array(counts, pa.int64())], schema=COUNTS)
+                for _, phrases, counts in held.pop(lang).counted(now, old, levels):
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())], schema=COUNTS)
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -229,9 +228,9 @@ def _counts(docs: DataFrame, proposed: PhraseFilter, before: PhraseFilter | None
                         yield from flushed()
         yield from flushed()
 
-    # windows have summed their counts, so that summing them again before the shuffle would gain little
-    counted = docs.mapInArrow(run, "lang string, words int, phrase string, c long").repartition("lang", "phrase")
-    return counted.groupBy("lang", "words", "phrase").agg(F.sum("c").alias("f"))
+    counted = docs.mapInArrow(run, "lang string, phrase string, c long").groupBy("lang", "phrase").agg(F.sum("c").alias("f"))
+    words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+    return counted.select("lang", words.alias("words"), "phrase", "f")
 
 
 def _holder(phrases: list[str]) -> Callable[[bytes], bool]:
@@ -300,11 +299,11 @@ def _texts(docs: DataFrame) -> DataFrame:
 def propose(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, sample_of: int = SAMPLE_OF, window: int = WINDOW) -> PhraseFilter:
     """Frequent phrases of the sample (one document of ``sample_of``), level by level.
 
-    The threshold in the sample is about a third of what a phrase with
+    The threshold in the sample is two fifths of what a phrase with
     ``least`` occurrences has there on average, and 2 at least.
     """
     sample = staged(docs.where(F.pmod(F.xxhash64("lang", "text"), F.lit(sample_of)) == 0), "phrase-sample")
-    lowered = max(2, 35 * least // (100 * sample_of))
+    lowered = max(2, 4 * least // (10 * sample_of))
     out, found = PhraseFilter.empty(), None
     for k in range(1, longest):
         own = staged(_counts(sample, out, None, range(k, k + 1), window).where(F.col("f") >= lowered), "proposed")
@@ -327,7 +326,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     now = propose(texts, least, longest, sample_of, window) if proposed is None else proposed
     parts, before, levels, wanted = [], None, range(0, longest + 1), None
     while True:
-        kept = staged(_counts(texts, now, before, levels, window, wanted).where((F.col("f") >= least) | (F.col("words") == 0)), "frequent")
+        kept = staged(_counts(texts, now, before, levels, window, wanted).where((F.col("f") >= least) | (F.col("phrase") == "")), "frequent")
         parts.append(kept)
         failures = staged(_missed(kept.where(f"words between 1 and {longest - 1}"), now), "failures")
         size = failures.count()
@@ -356,16 +355,20 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     cuts = alone.select("lang", "phrase", F.col("f").alias("a"), F.explode(F.expr("sequence(1, words - 1)")).alias("k"), words.alias("w")).select(
         "lang", "phrase", "a", "k", F.array_join(F.slice("w", F.lit(1), F.col("k")), " ").alias("first"),
         F.array_join(F.slice("w", F.col("k") + 1, F.size("w") - F.col("k")), " ").alias("rest"))
+    # few languages hold all phrases: what meets by language is salted
+    salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int")
+    totals = totals.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     known = frequent.select("lang", "phrase", "f")
     scored = (cuts.join(known.select("lang", F.col("phrase").alias("first"), F.col("f").alias("l")), ["lang", "first"])
-              .join(known.select("lang", F.col("phrase").alias("rest"), F.col("f").alias("r")), ["lang", "rest"]).join(totals, "lang"))
+              .join(known.select("lang", F.col("phrase").alias("rest"), F.col("f").alias("r")), ["lang", "rest"]).withColumn("salt", salt).join(totals, ["lang", "salt"]))
     # a n / (l r) passes 64 bits: 38 digits hold counts below 10 ** 15
     product = F.expr("cast(1000 as decimal(4, 0)) * cast(a as decimal(15, 0)) * cast(n as decimal(17, 0))")
     scored = scored.withColumn("top", product.cast("decimal(38, 0)")).withColumn("bottom", F.expr("cast(l as decimal(15, 0)) * cast(r as decimal(15, 0))").cast("decimal(38, 0)"))
     scored = scored.withColumn("score", F.expr("top div bottom"))
-    best = scored.groupBy("lang", "phrase").agg(F.min(F.struct("score", "k", "a", "l", "r", "n")).alias("b")).select("lang", "phrase", "b.*")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    best = scored.groupBy("lang", "phrase").agg(F.min(F.struct("score", "k", "a", "l", "r", "n")).alias("b")).select("lang", "phrase", "b.*", salt.alias("salt"))
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    near = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("rank") <= top)
+    ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
