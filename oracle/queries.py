@@ -131,30 +131,104 @@ THREE_DELIVERIES = {
     "supplier": [f"NOT {_LATE.format('supplier_id', 3)}", _LATE.format("supplier_id", 3), "FALSE"],
     "purchase_order": _FACTS, "shipment": _FACTS}
 KEYS = {"material": MAT_KEYS, "plant": ("source_system", "plant_id"), "supplier": ("source_system", "supplier_id"),
-        "purchase_order": PO_KEYS, "shipment": ("source_system", "shipment_id")}
+        "purchase_order": PO_KEYS, "shipment": ("source_system", "shipment_id"), "inventory": INV_KEYS}
 
 
-def _deliveries(rows: dict[str, list[str]], runs: list[str]) -> str:
-    """Trusted shipments after a publishing run for each delivery: Foundation merges the delivery,
+def _delivery_ctes(rows: dict[str, list[str]], runs: list[str], landed: bool = False) -> list[str]:
+    """``landed``: rows of a delivery have one ingestion time and, for a key, one file.
+
+    Foundation ``f<i>_`` and Trusted ``t<i>_`` after a publishing run for each delivery: Foundation merges the delivery,
     Trusted takes all of Foundation each time and keeps what it published before."""
     ctes = []
     for d, conditions in rows.items():
         cols, keys = COLUMNS[f"fnd.{d}"].split(), KEYS[d]
         ctes.append(RAW[d])
         for i, (condition, run) in enumerate(zip(conditions, runs, strict=True), 1):
-            ctes += [f"raw{i}_{d} AS (SELECT * FROM raw_{d} WHERE {condition})", FND[d](f"raw{i}_{d}", f"d{i}_{d}" if i > 1 else f"f1_{d}", run)]
+            ctes += [f"raw{i}_{d} AS (SELECT *{_AT_ONCE.format(run) if landed else ''} FROM raw_{d} WHERE {condition})", FND[d](f"raw{i}_{d}", f"d{i}_{d}" if i > 1 else f"f1_{d}", run)]
             if i > 1:
                 ctes.append(f"f{i}_{d} AS ({_upsert(keys, cols, f'f{i - 1}_{d}', f'd{i}_{d}', keep=('record_created_timestamp',))})")
     for i in range(1, len(runs) + 1):
         for d in rows:
             now = _renamed(TRS[d], f"f{i}_", f"t{i}_")
             if i > 1:
-                match = " AND ".join(f"o.{k} = n.{k}" for k in KEYS[d])
+                match = " AND ".join(f"o.{k} IS NOT DISTINCT FROM n.{k}" for k in KEYS[d])
                 ctes.append(now.replace(f"t{i}_{d} AS", f"n{i}_{d} AS", 1))
                 now = (f"t{i}_{d} AS (SELECT * FROM n{i}_{d} UNION ALL BY NAME SELECT * FROM t{i - 1}_{d} o "
                        f"WHERE NOT EXISTS (SELECT 1 FROM n{i}_{d} n WHERE {match}))")
             ctes.append(now)
-    return with_ctes(*ctes) + "\n" + select(COLUMNS["trs.shipment"], f"t{len(runs)}_shipment")
+    return ctes
+
+
+_AT_ONCE = " REPLACE ({} AS ingestion_timestamp, '' AS source_file)"
+
+
+def _deliveries(rows: dict[str, list[str]], runs: list[str], landed: bool = False, wanted: str = "shipment") -> str:
+    return with_ctes(*_delivery_ctes(rows, runs, landed)) + "\n" + select(COLUMNS[f"trs.{wanted}"], f"t{len(runs)}_{wanted}")
+
+
+def _lacking(d: str, refs: str) -> list[str]:
+    """(reason or null) of each reference of the Foundation row ``f``, in the Trusted tables named ``refs``."""
+    out = [f"CASE WHEN NOT EXISTS (SELECT 1 FROM {refs}{ref} r WHERE r.source_system = f.source_system AND r.{idc} = f.{idc}) THEN 'no valid {ref}' END"
+           for ref, idc in _refs().get(d, [])]
+    if d == "shipment":
+        out.append(f"CASE WHEN NOT (f.purchase_order_id IS NULL AND f.purchase_order_line IS NULL) AND NOT EXISTS (SELECT 1 FROM {refs}purchase_order r "
+                   "WHERE r.source_system = f.source_system AND r.purchase_order_id = f.purchase_order_id "
+                   "AND r.purchase_order_line = f.purchase_order_line) THEN 'no valid purchase_order' END")
+    return out
+
+
+# (not null and not empty, not null) of each layer; how the columns that Foundation asks for are cleaned; the record id
+_IDS = ["material_id", "plant_id", "source_system"]
+_SHIPMENT = ["shipment_id", "material_id", "supplier_id", "plant_id", "source_system"]
+_PO = ["purchase_order_id", "purchase_order_line"]
+ASKED = {
+    "foundation": {"material": ([], ["material_id", "source_system"]), "plant": ([], ["plant_id", "source_system"]), "supplier": ([], ["supplier_id", "source_system"]),
+                   "purchase_order": ([*_PO, "material_id", "supplier_id", "plant_id", "source_system"], []), "shipment": (_SHIPMENT, []),
+                   "inventory": (_IDS, ["inventory_snapshot_date"])},
+    "trusted": {"material": (["material_id", "material_name"], []), "plant": (["plant_id", "plant_name", "source_system"], []),
+                "supplier": (["supplier_id", "supplier_name", "source_system"], []),
+                "purchase_order": (_PO, ["material_id", "supplier_id", "plant_id", "source_system"]), "shipment": (_SHIPMENT, []),
+                "inventory": (_IDS, ["inventory_snapshot_date"])}}
+RECORD = {"material": "material_id", "plant": "plant_id", "supplier": "supplier_id", "purchase_order": "concat_ws('|', purchase_order_id, purchase_order_line)",
+          "shipment": "shipment_id",
+          "inventory": f"concat_ws('|', coalesce(CAST(inventory_snapshot_date AS VARCHAR), ''), coalesce({up('material_id')}, ''), coalesce({up('plant_id')}, ''), "
+                       f"coalesce({up('storage_location')}, ''))"}
+
+
+def _cleaned(d: str, c: str) -> str:
+    if c in DATE_COLS:
+        return c
+    if c == "purchase_order_line":
+        return tr(c)
+    masters = ("material", "plant", "supplier")
+    return f"upper({nt(tr(c))})" if d in masters and not (d == "material" and c == "source_system") else up(c)
+
+
+def _rejected() -> str:
+    parts = []
+    for d in DATASETS:
+        for layer in ("foundation", "trusted"):
+            present, not_null = ASKED[layer][d]
+            reasons = [f"CASE WHEN f.{c} IS NULL OR f.{c} = '' THEN '{c} missing' END" for c in present]
+            reasons += [f"CASE WHEN f.{c} IS NULL THEN '{c} missing' END" for c in not_null]
+            source = f"SELECT *, source_record_id AS record_id FROM fnd_{d}"
+            if layer == "foundation":
+                source = f"SELECT {RECORD[d]} AS record_id, {', '.join(f'{_cleaned(d, c)} AS {c}' for c in [*present, *not_null])} FROM raw_{d}"
+            else:
+                reasons += _lacking(d, "trs_")
+            parts.append(f"SELECT '{layer}' AS layer, '{d}' AS dataset, record_id, reasons FROM (SELECT f.record_id, concat_ws(', ', {', '.join(reasons)}) AS reasons FROM ({source}) f) WHERE reasons <> ''")
+    return with_ctes(*raw_fnd(DATASETS), *[TRS[d] for d in DATASETS]) + "\n" + "\nUNION ALL\n".join(parts)
+
+
+def _waiting_rows() -> str:
+    rows = {d: parts[:2] for d, parts in THREE_DELIVERIES.items()}
+    parts = []
+    for d in ("purchase_order", "shipment"):
+        present, not_null = ASKED["trusted"][d]
+        valid = " AND ".join([*(f"f.{c} IS NOT NULL AND f.{c} <> ''" for c in present), *(f"f.{c} IS NOT NULL" for c in not_null)])
+        parts.append(f"SELECT '{d}' AS dataset, f.source_system, f.source_record_id, f.material_id, f.supplier_id, f.plant_id, f.record_updated_timestamp "
+                     f"FROM f2_{d} f WHERE {valid} AND concat_ws('', {', '.join(_lacking(d, 't2_'))}) <> ''")
+    return with_ctes(*_delivery_ctes(rows, [RUN_TS_0, RUN_TS_1])) + "\n" + "\nUNION ALL\n".join(parts)
 
 
 def _refs():
@@ -343,8 +417,13 @@ FROM events"""
         q[f"trusted_{d}"] = trusted_sql(d)
     # publishing from empty tables gives the same rows as the one-shot pipelines
     q["published_trusted_shipment"] = q["trusted_shipment"]
-    q["published_bucketed_trusted_shipment"] = q["landing_to_trusted"] = _deliveries(TWO_DELIVERIES, [RUN_TS_1, RUN_TS])
-    q["incremental_trusted_shipment"] = _deliveries(THREE_DELIVERIES, [RUN_TS_0, RUN_TS_1, RUN_TS])
+    q["published_bucketed_trusted_shipment"] = _deliveries(TWO_DELIVERIES, [RUN_TS_1, RUN_TS])
+    q["landing_to_trusted"] = _deliveries(TWO_DELIVERIES, [RUN_TS_1, RUN_TS], landed=True)
+    stock = {"material": TWO_DELIVERIES["material"], "plant": TWO_DELIVERIES["plant"],
+             "inventory": [f"ingestion_timestamp < {INV_BATCH1_END}", f"ingestion_timestamp >= {INV_BATCH1_END}"]}
+    q["landing_to_trusted_inventory"] = _deliveries(stock, [RUN_TS_1, RUN_TS], landed=True, wanted="inventory")
+    q["rejected_rows"], q["waiting_rows"] = _rejected(), _waiting_rows()
+    q["waiting_trusted_shipment"] = q["incremental_trusted_shipment"] = _deliveries(THREE_DELIVERIES, [RUN_TS_0, RUN_TS_1, RUN_TS])
     q["incremental_publish_purchase_order"] = q["upsert_two_batches"]
     return q
 

@@ -15,6 +15,7 @@ from stratum.functions import clean
 from stratum.functions.predicates import requirement
 from stratum.operators.columns import project
 from stratum.operators.dedupe import latest_per_key
+from stratum.operators.rejects import judged, needed
 from stratum.operators.watermark import incremental_filter
 from stratum.plans.specs import DatasetSpec, RecordId
 
@@ -42,6 +43,11 @@ def key_filter(spec: DatasetSpec, df: DataFrame) -> DataFrame:
     return df.filter(requirement(spec.present, spec.not_null))
 
 
+def judged_rows(spec: DatasetSpec, raw: DataFrame) -> DataFrame:
+    """Cleaned Raw rows with every reason that keeps them out of Foundation; none for those that ``key_filter`` takes."""
+    return judged(standardized(spec, raw), needed(spec.present, spec.not_null))
+
+
 def latest(spec: DatasetSpec, df: DataFrame) -> DataFrame:
     """W1 with the spec's total tie-break order."""
     out = latest_per_key(df, spec.keys, spec.order_column, spec.dedupe_tiebreak())

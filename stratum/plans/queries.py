@@ -19,7 +19,7 @@ from stratum.contracts import contract, DATASETS, payload_columns
 from stratum.functions import clean
 from stratum.functions.predicates import requirement
 from stratum.operators import columns as cols
-from stratum.operators import merge, refcheck
+from stratum.operators import merge, refcheck, rejects
 from stratum.operators.dedupe import distinct_keys, latest_per_key
 from stratum.operators.watermark import high_water_mark_frame, incremental_after
 from stratum.plans import foundation as fnd
@@ -34,7 +34,7 @@ RUN_TS_0 = "2024-05-01 00:00:00"
 PO_CUTOFF = "1998-01-01 00:00:00"
 PO_CUTOFF_0 = "1996-01-01 00:00:00"
 CSV_NULL = "\\N"  # null in the landing files
-BUCKETS = 16  # key-hash buckets of the bucketed publishing query
+BUCKETS = 4  # key buckets of the published tables
 INV_BATCH1_END = "2024-01-20 00:00:00"
 INV_BATCH2_START = "2024-01-15 00:00:00"
 
@@ -347,8 +347,8 @@ def q_published_trusted_shipment(spark, sf_dir):
     from stratum.session import scratch_path
 
     root = scratch_path(spark, "layered")
-    layered.run_layered(spark, fixtures.raw_all(spark, sf_dir), root, ts(RUN_TS))
-    return layered.read_layer(spark, root, "trusted")["shipment"]
+    layered.run_layered(spark, fixtures.raw_all(spark, sf_dir), root, ts(RUN_TS), buckets=BUCKETS)
+    return layered.read_layer(spark, root, "trusted", BUCKETS)["shipment"]
 
 
 def _first_delivery(name: str):
@@ -368,16 +368,16 @@ def two_deliveries(spark, sf_dir) -> list[tuple[str, dict[str, DataFrame]]]:
 
 
 def q_published_bucketed_trusted_shipment(spark, sf_dir):
-    """P14 with key-bucket-scoped sinks, two deliveries at two run times: the second one
-    has late and changed rows only, touches no supplier or plant bucket and no early
-    inventory date, keeps the creation times of known keys and updates the others."""
+    """P14 with bucketed change tables, two deliveries at two run times: the second one
+    has late and changed rows only, publishes no supplier or plant, keeps the creation
+    times of known keys and updates the others."""
     from stratum.plans import layered
     from stratum.session import scratch_path
 
     root = scratch_path(spark, "bucketed")
     for run, delivery in two_deliveries(spark, sf_dir):
         layered.run_layered(spark, delivery, root, ts(run), buckets=BUCKETS)
-    return layered.read_layer(spark, root, "trusted", buckets=BUCKETS)["shipment"]
+    return layered.read_layer(spark, root, "trusted", BUCKETS)["shipment"]
 
 
 def _late(column: str, digit: str):
@@ -404,8 +404,50 @@ def q_incremental_trusted_shipment(spark, sf_dir):
 
     root = scratch_path(spark, "due")
     for run, rows in three_deliveries(spark, sf_dir):
-        layered.run_layered(spark, rows, root, ts(run), datasets=tuple(rows), changed_only=True)
-    return layered.read_layer(spark, root, "trusted")["shipment"]
+        layered.run_layered(spark, rows, root, ts(run), datasets=tuple(rows), take=layered.DUE, buckets=BUCKETS)
+    return layered.read_layer(spark, root, "trusted", BUCKETS)["shipment"]
+
+
+def q_waiting_trusted_shipment(spark, sf_dir):
+    """The same three deliveries, Trusted from the Foundation rows that changed and the waiting
+    rows that a reference of the delivery may free."""
+    from stratum.plans import layered
+    from stratum.session import scratch_path
+
+    root = scratch_path(spark, "waiting")
+    for run, rows in three_deliveries(spark, sf_dir):
+        layered.run_layered(spark, rows, root, ts(run), datasets=tuple(rows), take=layered.WAITING, buckets=BUCKETS)
+    return layered.read_layer(spark, root, "trusted", BUCKETS)["shipment"]
+
+
+def q_waiting_rows(spark, sf_dir):
+    """What waits for a reference after the second of the three deliveries, in each fact table."""
+    from stratum.plans import layered
+    from stratum.session import scratch_path
+
+    root, facts = scratch_path(spark, "waiting"), ("purchase_order", "shipment")
+    for run, rows in three_deliveries(spark, sf_dir)[:2]:
+        layered.run_layered(spark, rows, root, ts(run), datasets=tuple(rows), take=layered.WAITING, buckets=BUCKETS)
+    parts = [layered.waiting_table(spark, root, spec(d)).read().select(
+        F.lit(d).alias("dataset"), "source_system", "source_record_id", "material_id", "supplier_id", "plant_id", "record_updated_timestamp") for d in facts]
+    return parts[0].unionByName(parts[1])
+
+
+def q_rejected_rows(spark, sf_dir):
+    """Every row that a Foundation or Trusted job rejects, with all its reasons."""
+    published, parts = trusted_all(spark, sf_dir), []
+    for d in DATASETS:
+        s = spec(d)
+        judged = {"foundation": fnd.judged_rows(s, _raw(spark, sf_dir, d)), "trusted": trs.judged_rows(s, foundation_df(spark, sf_dir, d), published)}
+        for layer, rows in judged.items():
+            # the record id of inventory is made after de-duplication
+            record = F.col("source_record_id") if "source_record_id" in rows.columns else fnd.record_id_expr(s.record_id)
+            parts.append(rejects.rejected(rows).select(
+                F.lit(layer).alias("layer"), F.lit(d).alias("dataset"), record.alias("record_id"), F.array_join(rejects.REASONS, ", ").alias("reasons")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def q_incremental_publish_purchase_order(spark, sf_dir):
@@ -416,42 +458,51 @@ def q_incremental_publish_purchase_order(spark, sf_dir):
     from stratum.session import scratch_path
 
     raw = _raw(spark, sf_dir, "purchase_order")
-    table = layered.tables(spark, scratch_path(spark, "incremental"), "foundation")["purchase_order"]
+    table = layered.tables(spark, scratch_path(spark, "incremental"), "foundation", BUCKETS)["purchase_order"]
     for run, delivery in ((RUN_TS_1, raw.filter(_first_delivery("purchase_order"))), (RUN_TS, raw)):
         layered.foundation_step(spark, SPECS["purchase_order"], delivery, table, ts(run))
     return table.read()
 
 
 def land_csv(raw: DataFrame, s, folder: str) -> None:
-    """The payload of ``raw`` as CSV files with a header: every row with an invalid key, and of
-    each valid key its latest version (a landing file has no ingestion time to tell versions by)."""
+    """The payload of every row of ``raw`` as CSV files with a header, all versions of a key in one file.
+
+    A landing file has no ingestion time, so Foundation tells versions that arrive together apart by
+    its tie-break: the file, then the payload (D6).
+    """
     names = payload_columns(s.name)
     copies = fnd.standardized(s, raw.withColumns({f"_landed_{c}": F.col(c).cast("string") for c in names}))
-    valid = F.coalesce(requirement(s.present, s.not_null), F.lit(False))
-    latest = latest_per_key(copies.filter(valid), s.keys, s.order_column, s.dedupe_tiebreak())
-    rows = latest.select(copies.columns).unionByName(copies.filter(~valid))
-    (rows.select(*[F.col(f"_landed_{c}").alias(c) for c in names]).write.mode("append").option("header", True)
-         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("nullValue", CSV_NULL).csv(folder))
+    (copies.repartition(4, *s.keys).select(*[F.col(f"_landed_{c}").alias(c) for c in names]).write.mode("append").option("header", True)
+           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("nullValue", CSV_NULL).csv(folder))
 
 
-def q_landing_to_trusted(spark, sf_dir):
-    """CSV files land in two drops; each time the chosen datasets are
-    ingested by available-now streams (a last run finds no new file), Foundation is published
-    from the new Raw files and Trusted from Foundation.  Returns Trusted shipments."""
+def _landed(spark, sf_dir, chosen: tuple[str, ...], wanted: str) -> DataFrame:
+    """CSV files of the chosen datasets land in two drops; each time available-now streams ingest them (a
+    last run finds no new file), Foundation is published from the new Raw files and Trusted from what changed."""
     from stratum.plans import layered
     from stratum.session import scratch_path
     from stratum.streaming.ingest import default_configs, run_raw_ingestion
 
-    root, chosen = scratch_path(spark, "landing"), ("material", "plant", "supplier", "purchase_order", "shipment")
+    root = scratch_path(spark, "landing")
     configs = {d: replace(c, options={"nullValue": CSV_NULL})  # so that empty texts stay apart from nulls
                for d, c in default_configs(f"{root}/landing", source_system=fixtures.SOURCE_SYSTEM).items()}
     for run, delivery in two_deliveries(spark, sf_dir):
         for d in chosen:
             land_csv(delivery[d], SPECS[d], f"{root}/landing/{d}")
         run_raw_ingestion(spark, configs, ",".join(chosen), root)
-        layered.run_layered_incremental(spark, root, ts(run), datasets=chosen)
+        layered.run_layered_incremental(spark, root, ts(run), datasets=chosen, buckets=BUCKETS)
     run_raw_ingestion(spark, configs, ",".join(chosen), root)
-    return layered.read_layer(spark, root, "trusted")["shipment"]
+    return layered.read_layer(spark, root, "trusted", BUCKETS)[wanted]
+
+
+def q_landing_to_trusted(spark, sf_dir):
+    """A1, A2, J3, J5, P13, P14 from landing files, with every version of a row in its delivery, to Trusted shipments."""
+    return _landed(spark, sf_dir, ("material", "plant", "supplier", "purchase_order", "shipment"), "shipment")
+
+
+def q_landing_to_trusted_inventory(spark, sf_dir):
+    """The same for inventory, whose key holds a date and a part that may be null."""
+    return _landed(spark, sf_dir, ("material", "plant", "inventory"), "inventory")
 
 
 def _layer_query(layer, name):
@@ -489,7 +540,11 @@ QUERIES = {
     "published_bucketed_trusted_shipment": q_published_bucketed_trusted_shipment,
     "incremental_publish_purchase_order": q_incremental_publish_purchase_order,
     "landing_to_trusted": q_landing_to_trusted,
+    "landing_to_trusted_inventory": q_landing_to_trusted_inventory,
     "incremental_trusted_shipment": q_incremental_trusted_shipment,
+    "waiting_trusted_shipment": q_waiting_trusted_shipment,
+    "waiting_rows": q_waiting_rows,
+    "rejected_rows": q_rejected_rows,
     **{f"foundation_{d}": _layer_query("foundation", d) for d in DATASETS},
     **{f"trusted_{d}": _layer_query("trusted", d) for d in DATASETS},
 }

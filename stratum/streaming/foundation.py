@@ -10,9 +10,8 @@ This equals the full recomputation because ``ingestion_timestamp`` is the
 processing time of the Raw micro-batch that wrote a row: every row of a
 later delivery is newer than every row already published, so the newest
 version of a key in the new rows always wins, exactly as it would in a
-window over all of Raw.  A retried micro-batch first completes what the dead
-run had staged (``sources.tables``), then computes the same upsert again.
-A micro-batch of which no row is accepted publishes nothing.
+window over all of Raw.  A retried micro-batch publishes the same rows again,
+which leaves the same state.  A micro-batch of which no row is accepted publishes nothing.
 """
 
 from __future__ import annotations
@@ -27,7 +26,7 @@ from stratum.contracts import contract
 from stratum.plans import foundation as fnd
 from stratum.plans.specs import DatasetSpec
 from stratum.session import pin_utc
-from stratum.sources.tables import PartitionedTable, SnapshotTable
+from stratum.sources.tables import ChangeTable, SnapshotTable
 from stratum.streaming.ingest import raw_schema
 
 
@@ -35,7 +34,7 @@ def foundation_stream(
     spark: SparkSession,
     s: DatasetSpec,
     raw_path: str,
-    table: SnapshotTable | PartitionedTable,
+    table: ChangeTable | SnapshotTable,
     checkpoint_path: str,
     run_ts: Column | None = None,
     continuous: bool = False,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stratum.contracts import contract
 from stratum.plans.foundation import foundation
 from stratum.plans.specs import spec
-from stratum.sources.tables import PartitionedTable, SnapshotTable
+from stratum.sources.tables import ChangeTable, SnapshotTable
 from stratum.streaming.foundation import foundation_stream
 from stratum.streaming.ingest import IngestionConfig, ingest_raw, raw_paths, read_raw
 
@@ -56,7 +56,7 @@ def test_inventory_partitioned_two_deliveries(spark, tmp_dir):
     landing, root = f"{tmp_dir}/landing/inventory", f"{tmp_dir}/lake"
     head = "inventory_snapshot_date,material_id,plant_id,storage_location,available_quantity\n"
     s = spec("inventory")
-    table = PartitionedTable(spark, root, contract("inventory", "foundation"), "inventory_snapshot_date")
+    table = ChangeTable(spark, root, contract("inventory", "foundation"), s.keys, s.nullable_keys(), s.partition_by)
     ckpt = f"{root}/_fnd_ckpt/inventory"
     data = _land_and_ingest(spark, landing, root, "inventory", "a.csv",
                             head + "2024-01-01,m1,p1,,1\n2024-01-02,m1,p1,a,2\n")
@@ -70,11 +70,10 @@ def test_inventory_partitioned_two_deliveries(spark, tmp_dir):
 
 
 def test_material_bucketed_two_deliveries(spark, tmp_dir):
-    from stratum.sources.tables import BucketedTable
     landing, root = f"{tmp_dir}/landing/material", f"{tmp_dir}/lake"
     head = "material_id,material_name,material_type,unit_of_measure,product_group\n"
     s = spec("material")
-    table = BucketedTable(spark, root, contract("material", "foundation"), keys=tuple(s.keys), buckets=4)
+    table = ChangeTable(spark, root, contract("material", "foundation"), s.keys, buckets=4)
     ckpt = f"{root}/_fnd_ckpt/material"
     data = _land_and_ingest(spark, landing, root, "material", "a.csv", head + " m1 ,one,t,ea,g\nm2,two,t,ea,g\n")
     foundation_stream(spark, s, data, table, ckpt, TS_())

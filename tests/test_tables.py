@@ -84,35 +84,6 @@ def test_incremental_filter_pushed_to_scan(spark, tmp_dir):
     assert "GreaterThan(ingestion_timestamp" in plan
 
 
-def _inv(spark, rows):
-    from stratum.contracts import contract as _c
-    return spark.createDataFrame(rows, _c("inventory", "foundation").schema())
-
-
-def _inv_row(day, storage, qty, ts):
-    return (dt.date(2024, 1, day), "M", "P", storage, qty, None, None, "EA", "SAP", "r", ts, ts)
-
-
-def test_partitioned_upsert_touches_only_source_partitions(spark, tmp_dir):
-    import decimal
-    import glob
-    from stratum.sources.tables import PartitionedTable
-    t = PartitionedTable(spark, tmp_dir, contract("inventory", "foundation"), "inventory_snapshot_date")
-    keys = ["source_system", "inventory_snapshot_date", "material_id", "plant_id", "storage_location"]
-    d = decimal.Decimal
-    t.upsert_partitions(_inv(spark, [_inv_row(1, "A", d(1), T), _inv_row(2, None, d(2), T)]), keys,
-                        ["record_created_timestamp"])
-    day1 = sorted(glob.glob(f"{t.path}/inventory_snapshot_date=2024-01-01/*.parquet"))
-    later = T + dt.timedelta(days=1)
-    t.upsert_partitions(_inv(spark, [_inv_row(2, None, d(5), later), _inv_row(3, "B", d(3), later)]), keys,
-                        ["record_created_timestamp"])
-    assert sorted(glob.glob(f"{t.path}/inventory_snapshot_date=2024-01-01/*.parquet")) == day1  # untouched
-    rows = {(r.inventory_snapshot_date.day, r.storage_location): r for r in t.read().collect()}
-    assert set(rows) == {(1, "A"), (2, None), (3, "B")}
-    assert rows[(2, None)].available_quantity == d(5)  # null-safe match updated in place
-    assert rows[(2, None)].record_created_timestamp == T and rows[(2, None)].record_updated_timestamp == later
-
-
 def test_insert_only_publish_appends_new_keys(spark, tmp_dir):
     from stratum.operators.merge import new_rows
     t = SnapshotTable(spark, tmp_dir, contract("material", "trusted"))
@@ -123,112 +94,6 @@ def test_insert_only_publish_appends_new_keys(spark, tmp_dir):
     assert sorted((r.material_id, r.material_name) for r in t.read().collect()) == [("M1", "old"), ("M2", "new")]
 
 
-def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp_dir):
-    import glob
-    from stratum.operators.merge import upsert
-    from stratum.sources.tables import BUCKET_COLUMN, BucketedTable
-    keys = ("source_system", "material_id")
-    t = BucketedTable(spark, tmp_dir, contract("material", "trusted"), keys=keys, buckets=8)
-    first = _material(spark, [(f"M{i}", f"n{i}", None, None, None, "SAP", T, T) for i in range(40)])
-    t.upsert_partitions(first, keys)
-    assert t.read().columns == contract("material", "trusted").names  # bucket column is storage only
-    before = {p: sorted(glob.glob(f"{p}/*.parquet")) for p in glob.glob(f"{t.path}/{BUCKET_COLUMN}=*")}
-    assert len(before) == 8
-    later = T + dt.timedelta(days=1)
-    second = _material(spark, [("M3", "changed", None, None, None, "SAP", later, later),
-                               ("M99", "new", None, None, None, "SAP", later, later)])
-    hit = t.touched_buckets(second)
-    assert 1 <= len(hit) <= 2
-    t.upsert_partitions(second, keys)
-    for p, files in before.items():
-        if int(p.rsplit("=", 1)[1]) not in hit:
-            assert sorted(glob.glob(f"{p}/*.parquet")) == files  # untouched buckets are not rewritten
-    expected = upsert(first, second, list(keys))
-    assert sorted(t.read().collect()) == sorted(expected.collect())
-    assert t.read().count() == 41
-
-
-def test_bucketed_table_rejects_other_keys(spark, tmp_dir):
-    from stratum.sources.tables import BucketedTable
-    t = BucketedTable(spark, tmp_dir, contract("material", "trusted"), keys=("source_system", "material_id"))
-    with pytest.raises(ValueError):
-        t.upsert_partitions(_material(spark, []), ["material_id"])
-    with pytest.raises(ValueError):
-        BucketedTable(spark, tmp_dir, contract("material", "trusted"))
-
-
-def test_bucketed_publish_enforces_not_null(spark, tmp_dir):
-    from stratum.sources.tables import BucketedTable
-    keys = ("source_system", "material_id")
-    t = BucketedTable(spark, tmp_dir, contract("material", "trusted"), keys=keys, buckets=4)
-
-    def bad(mid):
-        return _material(spark, [(mid, "n", None, None, None, "SAP", T, T)]).withColumn(
-            "record_created_timestamp", F.lit(None).cast("timestamp"))
-
-    with pytest.raises(ValueError):
-        t.upsert_partitions(bad("M1"), keys)  # first publish: fails inside the write
-    t.upsert_partitions(_material(spark, [("M1", "n", None, None, None, "SAP", T, T)]), keys)
-    with pytest.raises(ValueError):
-        t.upsert_partitions(bad("M2"), keys)  # later publish: fails in the lineage cut, before any overwrite
-    assert [r.material_id for r in t.read().collect()] == ["M1"]
-
-
-def _material_rows(spark, n, run):
-    from stratum.contracts import contract
-    c = contract("material", "trusted")
-    exprs = []
-    for f in c.schema().fields:
-        if f.name == "source_system":
-            exprs.append("'sap' AS source_system")
-        elif f.name == "material_id":
-            exprs.append("concat('M', id) AS material_id")
-        else:
-            exprs.append(f"CAST({'current_timestamp()' if f.dataType.simpleString() == 'timestamp' else repr(run) if f.dataType.simpleString() == 'string' else 'NULL' if f.nullable else '1'} AS {f.dataType.simpleString()}) AS `{f.name}`")
-    return c, spark.range(n).selectExpr(*exprs)
-
-
-def test_other_bucket_count_or_sink_is_refused(spark, tmp_dir):
-    from stratum.sources.tables import BucketedTable, SnapshotTable
-    keys = ("source_system", "material_id")
-    c, rows = _material_rows(spark, 60, "1")
-    BucketedTable(spark, tmp_dir, c, keys=keys, buckets=4).upsert_partitions(rows, keys)
-    other = BucketedTable(spark, tmp_dir, c, keys=keys, buckets=32)
-    with pytest.raises(ValueError, match="buckets 4"):
-        other.upsert_partitions(rows, keys)
-    with pytest.raises(ValueError, match="buckets 4"):
-        other.read()
-    with pytest.raises(ValueError, match="buckets 4"):
-        SnapshotTable(spark, tmp_dir, c).read()
-    assert BucketedTable(spark, tmp_dir, c, keys=keys, buckets=4).read().count() == 60
-
-
-def test_run_killed_during_the_overwrite_loses_nothing(spark, tmp_dir):
-    import shutil
-
-    from stratum.sources.tables import BUCKET_COLUMN, STAGE, BucketedTable
-    keys = ("source_system", "material_id")
-    c, rows = _material_rows(spark, 40, "1")
-    t = BucketedTable(spark, tmp_dir, c, keys=keys, buckets=4)
-    t.upsert_partitions(rows, keys)
-    apply = t._apply
-    t._apply = lambda: None  # the driver dies after the stage is complete ...
-    t.upsert_partitions(_material_rows(spark, 50, "2")[1], keys)
-    shutil.rmtree(f"{t.path}/{BUCKET_COLUMN}=1")  # ... and one partition was already deleted
-    assert os.path.exists(f"{t.path}/{STAGE}/_SUCCESS")
-    t._apply = apply
-    assert BucketedTable(spark, tmp_dir, c, keys=keys, buckets=4).read().count() == 50
-    assert not os.path.exists(f"{t.path}/{STAGE}")
-
-
-def test_duplicate_keys_of_a_delivery_are_refused(spark, tmp_dir):
-    from stratum.sources.tables import BucketedTable
-    keys = ("source_system", "material_id")
-    c, rows = _material_rows(spark, 5, "1")
-    with pytest.raises(ValueError, match="duplicate keys"):
-        BucketedTable(spark, tmp_dir, c, keys=keys, buckets=4).upsert_partitions(rows.unionByName(rows), keys)
-
-
 def test_high_water_filter_can_use_file_statistics(spark, tmp_dir):
     from pyspark.sql import functions as F
 
@@ -251,16 +116,3 @@ def test_high_water_filter_can_use_file_statistics(spark, tmp_dir):
         assert column.physical_type == "INT64" and column.statistics.has_min_max
     text = new._jdf.queryExecution().explainString(new._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
     assert "DataFilters: [isnotnull(ts" in text and " > coalesce(" in text.split("DataFilters:")[1]
-
-
-def test_a_reader_leaves_the_unfinished_stage_of_a_running_upsert(spark, tmp_dir):
-    from stratum.sources.tables import STAGE, BucketedTable
-    keys = ("source_system", "material_id")
-    c, rows = _material_rows(spark, 40, "1")
-    t = BucketedTable(spark, tmp_dir, c, keys=keys, buckets=4)
-    t.upsert_partitions(rows, keys)
-    os.makedirs(f"{t.path}/{STAGE}/_temporary/0")
-    assert BucketedTable(spark, tmp_dir, c, keys=keys, buckets=4).read().count() == 40
-    assert os.path.exists(f"{t.path}/{STAGE}/_temporary/0")
-    t.upsert_partitions(_material_rows(spark, 50, "2")[1], keys)
-    assert t.read().count() == 50 and not os.path.exists(f"{t.path}/{STAGE}")
