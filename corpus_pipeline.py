@@ -49,7 +49,7 @@ STAGES = [
     ("best_fit_packing", packing),
 ]
 
-#: Edit matching, chaining and tokenizing are beyond SQL: ``tests/test_corpus_pipeline.py`` compares the stages with brute force.
+#: Edit matching, chaining and tokenizing are beyond SQL: ``tests/llm/test_corpus_pipeline.py`` compares the stages with brute force.
 ORACLE_SQL = None
 
 
