@@ -8,6 +8,9 @@ table reads back as an empty table.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from stratum.session import scratch_path
@@ -19,6 +22,27 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """``staged`` for tables that are read within the ``with`` block alone: their folders go when it ends.
+
+    What was made of them has to be written by then, so that nothing is computed from them again.
+    """
+    paths: list[str] = []
+
+    def put(df: DataFrame, name: str) -> DataFrame:
+        paths.append(scratch_path(spark, "llm", name))
+        df.write.option("compression", "zstd").parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    try:
+        yield put
+    finally:
+        for path in paths:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

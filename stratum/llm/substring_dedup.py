@@ -43,7 +43,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.llm.stage import shuffle_partitions, staged
+from stratum.llm.stage import passing, shuffle_partitions, staged
 from stratum.llm.words import batched, gram_hashes, grouped, split_words, word_hashes
 
 K = 6
@@ -326,19 +326,23 @@ def cut(text: str, parts: list[tuple[int, int]]) -> str:
     return "".join([*out, text[last:]])
 
 
-def _found(docs: DataFrame, k: int, window: int, min_words: int, only_spans: bool) -> DataFrame:
-    """Rows (doc_id, text, spans): each document as it is, its text and its spans in regions."""
+def _linked(docs: DataFrame, k: int, window: int, min_words: int, write: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """The chains of all pairs, written by ``write``; the documents are seeded once, and what leads to the chains goes."""
     spark = docs.sparkSession
-    partitions = shuffle_partitions(spark)
-    every = seeds(docs, k, window, min_words)
-    ids = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), [i / PARTS_OF_IDS for i in range(1, PARTS_OF_IDS)], 10_000)).first()[0]
-    first = every.groupBy("seed").agg(F.min(F.struct("doc_id", "pos")).alias("f"), F.max("doc_id").alias("top")).where("f.doc_id < top").select(
-        "seed", F.col("f.doc_id").alias("ref"), F.col("f.pos").alias("at"))
-    # written, so that the join is of two plain shuffles and the seeds of a common passage can be split
-    first = staged(first, "first")
-    shared = staged(every.join(first, "seed"), "shared")
-    linked = staged(chained(anchored(shared, sorted(set(ids or []))), k, partitions), "chains")
-
+    with passing(spark) as put_shared:
+        with passing(spark) as put:
+            every = put(seeds(docs, k, window, min_words), "seeds")
+            ids = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), [i / PARTS_OF_IDS for i in range(1, PARTS_OF_IDS)], 10_000)).first()[0]
+            first = every.groupBy("seed").agg(F.min(F.struct("doc_id", "pos")).alias("f"), F.max("doc_id").alias("top")).where("f.doc_id < top").select(
+                "seed", F.col("f.doc_id").alias("ref"), F.col("f.pos").alias("at"))
+            # written, so that the join is of two plain shuffles and the seeds of a common passage can be split
+            shared = put_shared(every.join(put(first, "first"), "seed"), "shared")
+        return write(chained(anchored(shared, sorted(set(ids or []))), k, shuffle_partitions(spark)), "chains")
+
+
+def _found(docs: DataFrame, linked: DataFrame, k: int, min_words: int, only_spans: bool) -> DataFrame:
+    """The chains aligned: spans of passages (``only_spans``), or for each document with regions its text and their places."""
+    partitions = shuffle_partitions(docs.sparkSession)
     text = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("ref"), F.col("text").cast("string").alias("text"))
     near_schema = pa.schema([("doc_id", pa.int64()), ("ref", pa.int64()), ("pos", pa.list_(pa.int32())), ("at", pa.list_(pa.int32())), ("base", pa.int32()), ("near", pa.binary())])
 
@@ -410,12 +414,14 @@ def _packed(texts: DataFrame, key: str) -> DataFrame:
 
 def fuzzy_passages(docs: DataFrame, k: int = K, window: int = WINDOW, min_words: int = MIN_WORDS) -> DataFrame:
     """Spans of repeated passages; see the module's docstring."""
-    return _found(docs, k, window, min_words, True)
+    return _found(docs, _linked(docs, k, window, min_words, staged), k, min_words, True)
 
 
 def without_passages(docs: DataFrame, k: int = K, window: int = WINDOW, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents, with repeated passages cut out of ``text``; columns and their order stay."""
-    parts = staged(_found(docs, k, window, min_words, False).select("doc_id", "starts", "ends", "z"), "parts")
+    with passing(docs.sparkSession) as put:
+        found = _found(docs, _linked(docs, k, window, min_words, put), k, min_words, False)
+        parts = staged(found.select("doc_id", "starts", "ends", "z"), "parts")
     return _cut_all(docs, parts)
 
 
