@@ -22,8 +22,10 @@ The proposal stands in a filter of hashed phrases: one 64-bit slot for each
 phrase, of at most ``2 ** MOST_SLOTS_LOG2`` slots (32 MB), which is broadcast.
 A false hit of the filter makes a phrase be counted, never be missed, so the
 bound costs counting and no results.  Tasks count windows of ``WINDOW`` words
-by dense numbers of words and phrases; counts then meet by the phrase itself,
-with no hash standing for it.
+by dense numbers of words and phrases.  What a window counted is dealt by the
+phrases' hashes into buckets, ``BUCKETS_OF_A_PARTITION`` for each shuffle
+partition, and shuffled as a compressed block for each; a bucket's blocks are
+then summed by the phrase itself, with no hash standing for it.
 
 ``collocations`` returns each language's first ``top`` phrases by score:
 ``lang, rank, phrase, a, l, r, n, score``.  Candidates are phrases of two
@@ -48,11 +50,12 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.llm.stage import staged
-from stratum.llm.words import mixed
+from stratum.llm.stage import shuffle_partitions, staged
+from stratum.llm.words import batched, grouped, mixed
 
 LEAST = 100
 LONGEST = 5
@@ -61,7 +64,7 @@ SAMPLE_OF = 8
 WINDOW = 1_500_000
 MOST_SLOTS_LOG2 = 22
 MOST_FAILURES = 50_000
-PART = 20_000
+BUCKETS_OF_A_PARTITION = 4
 SALTS = 16
 UND = "und"
 
@@ -150,8 +153,8 @@ class _Window:
         self.numbers.append(np.array([-1], dtype=np.int32))
         self.size += len(tokens)
 
-    def counted(self, proposed: PhraseFilter, before: PhraseFilter | None, levels: range) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
-        """(words, phrases, counts) of each level, in parts: those whose parts are all in ``proposed`` and were not already in ``before``.
+    def counted(self, proposed: PhraseFilter, before: PhraseFilter | None, levels: range, buckets: int = 1) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+        """(bucket, phrases, counts) of each level, those of a bucket together: those whose parts are all in ``proposed`` and were not already in ``before``.
 
         Level 0 is the count of all words, under an empty phrase.
         """
@@ -164,8 +167,8 @@ class _Window:
             yield 0, [b""], np.array([total])
         if 1 in levels:
             counts = np.bincount(numbers[numbers >= 0], minlength=len(names))
-            for i in range(0, len(names), PART):
-                yield 1, names[i : i + PART], counts[i : i + PART]
+            for bucket, own in _dealt(word_hash, np.arange(len(names)), buckets):
+                yield bucket, [names[i] for i in own.tolist()], counts[own]
         # at[i]: number of the phrase of k words from i on, -1 if there is none that is proposed
         # done: those that an earlier pass has counted, which takes their parts to be proposed and counted by then
         hashes, at, done = word_hash, numbers, np.ones(len(names), dtype=bool)
@@ -184,25 +187,51 @@ class _Window:
             tail = np.empty(len(keys), dtype=np.int64)
             tail[which] = following[places]
             done = old[first] & old[tail]
+            joined = _joined(hashes[first], word_hash[last])
             if k in levels:
-                new = np.flatnonzero(~done)
-                for i in range(0, len(new), PART):
-                    part = new[i : i + PART]
-                    rows = np.column_stack([spell[first[part]], last[part]]).tolist()
-                    yield k, [b" ".join([names[i] for i in row]) for row in rows], counts[part]
+                for bucket, own in _dealt(joined, np.flatnonzero(~done), buckets):
+                    rows = np.column_stack([spell[first[own]], last[own]]).tolist()
+                    yield bucket, [b" ".join([names[i] for i in row]) for row in rows], counts[own]
             if k + 1 < levels.stop:
                 spell = np.column_stack([spell[first], last.astype(np.int32)])
-                hashes = _joined(hashes[first], word_hash[last])
+                hashes = joined
                 at = np.full(len(numbers) - k + 1, -1, dtype=np.int64)
                 at[places] = which
 
 
-COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("c", pa.int64())])
+def _dealt(hashes: np.ndarray, places: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, its places), in order."""
+    bucket = (mixed(hashes[places]) % _U(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for n in np.flatnonzero(np.diff(cuts)).tolist():
+        yield n, places[order[cuts[n] : cuts[n + 1]]]
 
 
-def _counts(docs: DataFrame, proposed: PhraseFilter, before: PhraseFilter | None, levels: range, window: int, failures: list[str] | None = None) -> DataFrame:
-    """``lang, words, phrase, f`` for the levels that ``_Window.counted`` admits, over all documents or those in which one of ``failures`` stands."""
-    context = docs.sparkSession.sparkContext
+BLOCKS = pa.schema([("bucket", pa.int32()), ("lang", pa.string()), ("block", pa.binary())])
+COUNTS = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())])
+
+
+def packed(parts: list[tuple[list[bytes], np.ndarray]]) -> bytes:
+    """Phrases, which hold no line ends, and their counts as one compressed block."""
+    phrases = b"\n".join([p for own, _ in parts for p in own])
+    counts = np.concatenate([c for _, c in parts]).astype("<u4").tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(len(phrases).to_bytes(8, "little") + phrases + counts)
+
+
+def unpacked(block: bytes) -> tuple[list[bytes], list[int]]:
+    data = zstandard.ZstdDecompressor().decompress(block)
+    end = 8 + int.from_bytes(data[:8], "little")
+    return data[8:end].split(b"\n"), np.frombuffer(data[end:], dtype="<u4").tolist()
+
+
+def _counts(docs: DataFrame, proposed: PhraseFilter, before: PhraseFilter | None, levels: range, window: int, least: int, failures: list[str] | None = None) -> DataFrame:
+    """``lang, words, phrase, f`` for the levels that ``_Window.counted`` admits and ``f >= least``, over all documents or those in which one of ``failures`` stands.
+
+    The number of a language's words comes as the empty phrase, however few they are.
+    """
+    context, partitions = docs.sparkSession.sparkContext, shuffle_partitions(docs.sparkSession)
+    buckets = partitions * BUCKETS_OF_A_PARTITION
     shared = context.broadcast((proposed.slots, None if before is None else before.slots, failures))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,8 +242,10 @@ def _counts(docs: DataFrame, proposed: PhraseFilter, before: PhraseFilter | None
 
         def flushed() -> Iterator[pa.RecordBatch]:
             for lang in list(held):
-                for _, phrases, counts in held.pop(lang).counted(now, old, levels):
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())], schema=COUNTS)
+                own: dict[int, list[tuple[list[bytes], np.ndarray]]] = {}
+                for bucket, phrases, counts in held.pop(lang).counted(now, old, levels, buckets):
+                    own.setdefault(bucket, []).append((phrases, counts))
+                yield from batched(((bucket, lang, packed(own.pop(bucket))) for bucket in list(own)), BLOCKS, 500)
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -228,9 +259,21 @@ def _counts(docs: DataFrame, proposed: PhraseFilter, before: PhraseFilter | None
                         yield from flushed()
         yield from flushed()
 
-    counted = docs.mapInArrow(run, "lang string, phrase string, c long").groupBy("lang", "phrase").agg(F.sum("c").alias("f"))
-    words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
-    return counted.select("lang", words.alias("words"), "phrase", "f")
+    def summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            for (_, lang), blocks in grouped(batches, 2):
+                total: dict[bytes, int] = {}
+                for (block,) in blocks:
+                    for phrase, n in zip(*unpacked(block), strict=True):
+                        total[phrase] = total.get(phrase, 0) + n
+                for phrase, n in total.items():
+                    if n >= least or not phrase:
+                        yield lang, phrase.count(b" ") + 1 if phrase else 0, phrase.decode("utf-8"), n
+
+        yield from batched(rows(), COUNTS, 10_000)
+
+    blocks = docs.mapInArrow(run, "bucket int, lang string, block binary").repartition(partitions, "bucket").sortWithinPartitions("bucket", "lang")
+    return blocks.mapInArrow(summed, "lang string, words int, phrase string, f long")
 
 
 def _holder(phrases: list[str]) -> Callable[[bytes], bool]:
@@ -306,7 +349,7 @@ def propose(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, sample_
     lowered = max(2, 4 * least // (10 * sample_of))
     out, found = PhraseFilter.empty(), None
     for k in range(1, longest):
-        own = staged(_counts(sample, out, None, range(k, k + 1), window).where(F.col("f") >= lowered), "proposed")
+        own = staged(_counts(sample, out, None, range(k, k + 1), window, lowered), "proposed")
         size = own.count()
         if not size:
             break
@@ -326,7 +369,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     now = propose(texts, least, longest, sample_of, window) if proposed is None else proposed
     parts, before, levels, wanted = [], None, range(0, longest + 1), None
     while True:
-        kept = staged(_counts(texts, now, before, levels, window, wanted).where((F.col("f") >= least) | (F.col("phrase") == "")), "frequent")
+        kept = staged(_counts(texts, now, before, levels, window, least, wanted), "frequent")
         parts.append(kept)
         failures = staged(_missed(kept.where(f"words between 1 and {longest - 1}"), now), "failures")
         size = failures.count()
