@@ -323,6 +323,13 @@ SELECT column_name, n AS failed_casts, n AS null_values
 FROM (SELECT 'shipment_date' AS column_name, count(*) FILTER (WHERE l_orderkey % 11 = 0) AS n FROM lineitem
       UNION ALL SELECT 'shipped_quantity', count(*) FILTER (WHERE l_orderkey % 13 = 0) FROM lineitem)"""
 
+    q["rescued_values"] = """
+SELECT column_name, kind, value, count(*) AS rows
+FROM (SELECT 'shipment_date' AS column_name, 'cast' AS kind, '2024-13-01' AS value FROM lineitem WHERE l_orderkey % 11 = 0
+      UNION ALL SELECT 'shipped_quantity', 'cast', 'abc' FROM lineitem WHERE l_orderkey % 13 = 0
+      UNION ALL SELECT 'foo', 'extra', l_linestatus FROM lineitem)
+GROUP BY ALL"""
+
     q["distinct_keys"] = with_ctes(*raw_fnd(["purchase_order"])) + """
 SELECT DISTINCT source_system, material_id FROM fnd_purchase_order"""
 
@@ -415,6 +422,7 @@ FROM events"""
     for d in DATASETS:
         q[f"foundation_{d}"] = foundation_sql(d)
         q[f"trusted_{d}"] = trusted_sql(d)
+    q["streamed_latest_purchase_order"] = q["foundation_purchase_order"]
     # publishing from empty tables gives the same rows as the one-shot pipelines
     q["published_trusted_shipment"] = q["trusted_shipment"]
     q["published_bucketed_trusted_shipment"] = _deliveries(TWO_DELIVERIES, [RUN_TS_1, RUN_TS])

@@ -9,7 +9,7 @@ partial (map-side) aggregation and a one-row result.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Sequence, Iterable
 
 from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame
@@ -61,6 +61,28 @@ def cast_failure_counts(df: DataFrame, contract: Contract | T.StructType) -> lis
     return aggs
 
 
+def rescued(df: DataFrame, contract: Contract | T.StructType, ignored: Sequence[str] = ()) -> SparkColumn | None:
+    """What ``align_to_contract`` would lose of a row, as VARIANT: raw text by column, null if nothing is lost.
+
+    Held are values that fail their cast and the values of columns that the
+    contract does not have, but for ``ignored`` ones.  ``None`` if the
+    columns already fit.
+    """
+    schema = contract.schema() if isinstance(contract, Contract) else contract
+    kinds = {f.name: f.dataType for f in schema.fields}
+    kept = []
+    for f in df.schema.fields:
+        c, text = F.col(f"`{f.name}`"), F.col(f"`{f.name}`").cast("string")
+        if f.name not in kinds and f.name not in ignored:
+            kept.append((f.name, c.isNotNull(), text))
+        elif f.name in kinds and f.dataType != kinds[f.name]:
+            kept.append((f.name, c.isNotNull() & c.try_cast(kinds[f.name]).isNull(), text))
+    if not kept:
+        return None
+    entries = F.array_compact(F.array(*[F.when(lost, F.struct(F.lit(name).alias("key"), text.alias("value"))) for name, lost, text in kept]))
+    return F.when(F.size(entries) > 0, F.parse_json(F.to_json(F.map_from_entries(entries))))
+
+
 def cast_failures(df: DataFrame, contract: Contract | T.StructType) -> DataFrame:
     """Count, per contract column, values that are non-null in ``df`` but fail the cast.
 

@@ -66,7 +66,11 @@ def foundation(spec: DatasetSpec, raw: DataFrame, run_ts: Column | None = None,
     run_ts = F.current_timestamp() if run_ts is None else run_ts
     if spec.incremental:
         raw = incremental_filter(raw, mark, spec.order_column)
-    df = latest(spec, key_filter(spec, standardized(spec, raw)))
+    return published_form(spec, latest(spec, key_filter(spec, standardized(spec, raw))), run_ts)
+
+
+def published_form(spec: DatasetSpec, df: DataFrame, run_ts: Column) -> DataFrame:
+    """The latest rows in the Foundation contract."""
     target = contract(spec.name, "foundation")
     renames = {"source_ingestion_timestamp": spec.order_column} if "source_ingestion_timestamp" in target.names else {}
     return project(df, target, renames=renames,

@@ -200,8 +200,8 @@ def _landed_shipments(spark, sf_dir):
 
 
 def q_ingestion_failed_casts(spark, sf_dir):
-    """Malformed landing values by column: how many the ingestion stream reports as
-    not castable, and how many nulls Raw then holds."""
+    """Malformed landing values by column: how many the Raw table rescued as not
+    castable, and how many nulls it holds."""
     from stratum.session import scratch_path
     from stratum.streaming.ingest import IngestionConfig, failed_casts, ingest_raw, raw_paths, read_raw
 
@@ -209,13 +209,57 @@ def q_ingestion_failed_casts(spark, sf_dir):
     root = scratch_path(spark, "casts")
     _landed_shipments(spark, sf_dir).write.option("header", True).csv(f"{root}/landing")
     cfg = IngestionConfig("shipment", f"{root}/landing", source_system=fixtures.SOURCE_SYSTEM)
-    counts = failed_casts(ingest_raw(spark, cfg, *raw_paths(root, "shipment")))
+    ingest_raw(spark, cfg, *raw_paths(root, "shipment"))
+    counts = failed_casts(spark, raw_paths(root, "shipment")[0], contract("shipment", "raw"))
     nulls = read_raw(spark, root, "shipment").agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in sorted(counts)])
     return nulls.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.lit(n).cast("long").alias("failed_casts"), F.col(c).alias("null_values"))
         for c, n in sorted(counts.items())])).alias("r")).select("r.*")
 
 
+LANDED_FILES = 110  # more micro-batches than a query keeps reports of
+
+
+def q_rescued_values(spark, sf_dir):
+    """Landing files with malformed values and a column that the contract does not have, one
+    micro-batch for each file: the rescued values by column, kind and value."""
+    from stratum.session import scratch_path
+    from stratum.streaming.ingest import IngestionConfig, ingest_raw, raw_paths, rescued_values
+
+    pin_utc(spark)
+    root = scratch_path(spark, "rescued")
+    rows = _landed_shipments(spark, sf_dir).drop("ingestion_timestamp")
+    rows.repartition(LANDED_FILES).write.option("header", True).csv(f"{root}/landing")
+    cfg = IngestionConfig("shipment", f"{root}/landing", source_system=fixtures.SOURCE_SYSTEM, options={"maxFilesPerTrigger": "1"})
+    data, checkpoint = raw_paths(root, "shipment")
+    ingest_raw(spark, cfg, data, checkpoint)
+    found = rescued_values(spark, data, contract("shipment", "raw"))
+    return found.groupBy("column_name", "kind", "value").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_streamed_latest_purchase_order(spark, sf_dir):
+    """J2, J6, W1 in a stream: Raw files arrive in three parts in no order of their rows; two
+    available-now runs and a running query keep one state, and the result is that of the batch job."""
+    from stratum.plans import layered
+    from stratum.session import scratch_path
+    from stratum.streaming.foundation import latest_stream
+    from stratum.streaming.ingest import DATE_COLUMN
+
+    s, root = SPECS["purchase_order"], scratch_path(spark, "late")
+    raw = _raw(spark, sf_dir, "purchase_order").withColumn(DATE_COLUMN, F.to_date("ingestion_timestamp"))
+    table = layered.tables(spark, root, "foundation", BUCKETS)["purchase_order"]
+    for part in range(3):
+        arrived = raw.where(F.pmod(F.xxhash64("purchase_order_id", "purchase_order_line", "ingestion_timestamp"), F.lit(3)) == part)
+        arrived.write.mode("append").parquet(f"{root}/raw")
+        query = latest_stream(spark, s, f"{root}/raw", table, f"{root}/checkpoint", ts(RUN_TS), continuous=part == 2)
+        if part == 2:
+            try:
+                query.processAllAvailable()
+            finally:
+                query.stop()
+    return table.read()
+
+
 # --- joins ----------------------------------------------------------------------------
 
 def q_ref_check_mandatory(spark, sf_dir):
@@ -524,6 +568,8 @@ QUERIES = {
     "incremental_filter": q_incremental_filter,
     "align_to_contract": q_align_to_contract,
     "ingestion_failed_casts": q_ingestion_failed_casts,
+    "rescued_values": q_rescued_values,
+    "streamed_latest_purchase_order": q_streamed_latest_purchase_order,
     "distinct_keys": q_distinct_keys,
     "ref_check_mandatory": q_ref_check_mandatory,
     "ref_check_optional": q_ref_check_optional,

@@ -12,6 +12,12 @@ later delivery is newer than every row already published, so the newest
 version of a key in the new rows always wins, exactly as it would in a
 window over all of Raw.  A retried micro-batch publishes the same rows again,
 which leaves the same state.  A micro-batch of which no row is accepted publishes nothing.
+
+That holds while files arrive in the order of their rows.  ``latest_stream``
+asks for no order: it keeps the latest row of each key, by the columns of W1,
+as the state of a streaming aggregation, so the rows of a late file lose to a
+newer one of an earlier micro-batch.  There is no watermark (J6): no row is too
+late, and the state holds as many rows as the published table.
 """
 
 from __future__ import annotations
@@ -60,3 +66,39 @@ def foundation_stream(
     if not continuous:
         query.awaitTermination()
     return query
+
+
+def latest_rows(s: DatasetSpec, raw: DataFrame) -> DataFrame:
+    """W1 as an aggregation, for batches and streams: of each key the greatest row by the order column, then the tie-break.
+
+    Structs compare field by field with nulls least, which is the order ``latest_per_key`` ranks by.
+    """
+    rows = fnd.key_filter(s, fnd.standardized(s, raw))
+    order = F.struct(s.order_column, *s.dedupe_tiebreak())
+    out = rows.groupBy(*s.keys).agg(F.max_by(F.struct(*rows.columns), order).alias("_row")).select("_row.*")
+    return out.withColumn(fnd.RECORD_ID, fnd.record_id_expr(s.record_id)) if s.record_id.after_dedupe else out
+
+
+def latest_stream(spark: SparkSession, s: DatasetSpec, raw_path: str, table: ChangeTable | SnapshotTable, checkpoint_path: str,
+                  run_ts: Column | None = None, continuous: bool = False, null_safe: bool = True) -> StreamingQuery:
+    """Publish Foundation for ``s`` from Raw files in any order of arrival.
+
+    Update mode: a micro-batch publishes the latest row of each key that it
+    touched, so one that a late row left as it was is published once more.
+    The state is Spark's and lives with the checkpoint; a restarted query goes
+    on from it.  With ``continuous`` the query keeps running and is returned at
+    once.  On a cluster set ``spark.sql.streaming.stateStore.providerClass``
+    to the RocksDB provider, so that the state need not fit in memory.
+    """
+    pin_utc(spark)
+    raw = spark.readStream.schema(raw_schema(contract(s.name, "raw"))).parquet(raw_path)
+
+    def publish(batch: DataFrame, epoch_id: int) -> None:
+        source = fnd.published_form(s, batch, F.current_timestamp() if run_ts is None else run_ts)
+        table.upsert(source, s.keys, s.preserve_on_update, null_safe, s.nullable_keys())
+
+    writer = latest_rows(s, raw).writeStream.outputMode("update").foreachBatch(publish).option("checkpointLocation", checkpoint_path)
+    query = (writer if continuous else writer.trigger(availableNow=True)).start()
+    if not continuous:
+        query.awaitTermination()
+    return query

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stratum.contracts import Contract, contract
-from stratum.operators.columns import align_to_contract, cast_failure_counts
+from stratum.operators.columns import align_to_contract, rescued
 from stratum.session import pin_utc, scratch_path
 
 SUPPORTED_FORMATS = ("csv", "json", "parquet")
@@ -43,7 +43,7 @@ SUPPORTED_LOAD_MODES = ("append",)
 
 #: Partition column of the Raw folders: the date (UTC) of ``ingestion_timestamp``.
 DATE_COLUMN = "ingestion_date"
-_CAST_METRICS = "failed_casts"
+RESCUED = "_rescued"  # raw text of what did not fit the contract
 
 
 @dataclass(frozen=True)
@@ -185,9 +185,9 @@ def ingest_raw(
     df = read_file_stream(spark, cfg, target=tcontract)
     schema = target.schema() if isinstance(target, Contract) else target
     df = add_ingestion_metadata(df, cfg.source_system, batch_id or new_batch_id(), run_ts)
-    if counts := cast_failure_counts(df, schema):
-        df = df.observe(_CAST_METRICS, *counts)
-    df = align_to_contract(df, schema, strict=strict).withColumn(DATE_COLUMN, F.to_date("ingestion_timestamp"))
+    lost = None if strict else rescued(df, schema)
+    aligned = align_to_contract(df if lost is None else df.withColumn(RESCUED, lost), _with_rescued(schema, lost is not None), strict=strict)
+    df = aligned.withColumn(DATE_COLUMN, F.to_date("ingestion_timestamp"))
     writer = (df.writeStream.format("parquet").outputMode("append").partitionBy(DATE_COLUMN)
               .option("checkpointLocation", checkpoint_path).queryName(f"raw_{cfg.name}_{uuid.uuid4().hex[:6]}"))
     if not continuous:
@@ -209,19 +209,34 @@ def _refuse_undated(spark: SparkSession, path: str) -> None:
         raise ValueError(f"{path} holds files that are not in folders by {DATE_COLUMN}")
 
 
-def failed_casts(query: StreamingQuery) -> dict[str, int]:
-    """How many values of each column became null because they could not be cast.
+def _with_rescued(schema: T.StructType, there: bool = True) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(RESCUED, T.VariantType())]) if there else schema
 
-    Sums the micro-batches that Spark still reports on
-    (``spark.sql.streaming.numRecentProgressUpdates``, 100 by default).  Only
-    columns that need a cast are listed; empty if no micro-batch ran.
+
+def rescued_values(spark: SparkSession, path: str, target: Contract) -> DataFrame:
+    """What did not fit the contract, one row for each value in the Raw table at ``path``.
+
+    ``ingestion_batch_id`` and ``ingestion_timestamp`` name the run and the
+    micro-batch, ``kind`` is ``cast`` or ``extra``, ``value`` the raw text.
+    Rescued values are stored with their rows by the sink that commits a
+    micro-batch once, so a batch that is tried again is held once, and no
+    batch is forgotten.
     """
-    total: dict[str, int] = {}
-    for progress in query.recentProgress:
-        found = progress.observedMetrics.get(_CAST_METRICS)
-        for name, n in (found.asDict() if found is not None else {}).items():
-            total[name] = total.get(name, 0) + n
-    return total
+    rows = spark.read.schema(_with_rescued(raw_schema(target))).parquet(path).where(F.col(RESCUED).isNotNull())
+    entries = F.explode(F.from_json(F.to_json(RESCUED), "map<string,string>")).alias("column_name", "value")
+    kind = F.when(F.col("column_name").isin(target.names), "cast").otherwise("extra")
+    return rows.select("source_file", "ingestion_batch_id", "ingestion_timestamp", entries).withColumn("kind", kind)
+
+
+def rescued_counts(spark: SparkSession, path: str, target: Contract) -> DataFrame:
+    """Rescued values of each micro-batch, column and kind."""
+    return rescued_values(spark, path, target).groupBy("ingestion_batch_id", "ingestion_timestamp", "column_name", "kind").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def failed_casts(spark: SparkSession, path: str, target: Contract) -> dict[str, int]:
+    """How many values of each column of the Raw table became null because they could not be cast."""
+    counts = rescued_values(spark, path, target).where("kind = 'cast'").groupBy("column_name").count()
+    return {r["column_name"]: r["count"] for r in counts.collect()}  # as many rows as columns at most
 
 
 # --- P13 / J5 ------------------------------------------------------------------------

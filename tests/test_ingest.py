@@ -5,7 +5,7 @@ import pytest
 
 from stratum.contracts import contract
 from stratum.operators.columns import cast_failures
-from stratum.streaming.ingest import (IngestionConfig, await_any, default_configs, failed_casts, ingest_raw, raw_paths, read_raw,
+from stratum.streaming.ingest import (IngestionConfig, await_any, default_configs, failed_casts, ingest_raw, raw_paths, read_raw, rescued_counts, rescued_values,
                                       run_raw_ingestion, select_datasets)
 
 HEADER = "material_id,material_name,material_type,unit_of_measure,product_group"
@@ -166,14 +166,41 @@ def test_late_correction_wins_by_ingestion_time(spark, tmp_dir):
     assert [(r.material_id, r.material_name) for r in out] == [("M1", "new")]
 
 
-def test_failed_casts_of_a_stream_are_reported(spark, tmp_dir):
+def test_what_does_not_fit_is_rescued(spark, tmp_dir):
     landing, root = f"{tmp_dir}/landing/inventory", f"{tmp_dir}/lake"
-    _write(landing, "a.csv", "inventory_snapshot_date,material_id,available_quantity\n2024-13-01,M1,abc\n2024-01-01,M2,def\n,M3,\n")
-    cfg = IngestionConfig("inventory", landing, source_system="sap")
+    _write(landing, "a.csv", "inventory_snapshot_date,material_id,available_quantity,note\n2024-13-01,M1,abc,{a} [b] 'é'\n2024-01-01,M2,def,\n,M3,,\n2024-01-02,M4,1,\n")
+    cfg, target = IngestionConfig("inventory", landing, source_system="sap"), contract("inventory", "raw")
     data, ckpt = raw_paths(root, "inventory")
-    assert failed_casts(ingest_raw(spark, cfg, data, ckpt)) == {"inventory_snapshot_date": 1, "available_quantity": 2}
-    assert failed_casts(ingest_raw(spark, cfg, data, ckpt)) == {}  # no new file, no micro-batch
-    assert read_raw(spark, root, "inventory").count() == 3
+    for _ in range(2):  # no new file, no micro-batch
+        ingest_raw(spark, cfg, data, ckpt)
+        assert failed_casts(spark, data, target) == {"inventory_snapshot_date": 1, "available_quantity": 2}
+    values = {(r.column_name, r.kind, r.value) for r in rescued_values(spark, data, target).collect()}
+    assert values == {("inventory_snapshot_date", "cast", "2024-13-01"), ("available_quantity", "cast", "abc"), ("available_quantity", "cast", "def"), ("note", "extra", "{a} [b] 'é'")}
+    assert read_raw(spark, root, "inventory").columns == target.names and read_raw(spark, root, "inventory").count() == 4
+    # each run's micro-batch has its counts; rows that fit have none
+    _write(landing, "b.csv", "inventory_snapshot_date,material_id,available_quantity,note\nx,M5,2,\n2024-01-02,M6,1,\n")
+    ingest_raw(spark, cfg, data, ckpt)
+    counts = rescued_counts(spark, data, target).collect()
+    assert sorted((r.column_name, r.rows) for r in counts) == [("available_quantity", 2), ("inventory_snapshot_date", 1), ("inventory_snapshot_date", 1), ("note", 1)]
+    assert len({r.ingestion_timestamp for r in counts}) == 2
+    held = spark.read.schema("material_id string, _rescued variant").parquet(data)
+    assert {r.material_id for r in held.where("_rescued is null").collect()} == {"M3", "M4", "M6"}
+    assert held.where("material_id = 'M2'").selectExpr("variant_get(_rescued, '$.available_quantity', 'string')").first()[0] == "def"
+
+
+def test_a_batch_that_is_tried_again_is_counted_once(spark, tmp_dir):
+    """The commit of a micro-batch is lost after its rows were written: the batch runs again, its files count once."""
+    landing, root = f"{tmp_dir}/landing/inventory", f"{tmp_dir}/lake"
+    cfg, target = IngestionConfig("inventory", landing, source_system="sap"), contract("inventory", "raw")
+    data, ckpt = raw_paths(root, "inventory")
+    for name in ("a", "b"):
+        _write(landing, f"{name}.csv", f"inventory_snapshot_date,material_id,available_quantity\nbad,{name},1\n")
+        ingest_raw(spark, cfg, data, ckpt)
+    os.remove(f"{ckpt}/commits/1")
+    if os.path.exists(f"{ckpt}/commits/.1.crc"):
+        os.remove(f"{ckpt}/commits/.1.crc")
+    ingest_raw(spark, cfg, data, ckpt)
+    assert failed_casts(spark, data, target) == {"inventory_snapshot_date": 2} and read_raw(spark, root, "inventory").count() == 2
 
 
 def test_high_water_filter_prunes_folders_of_raw(spark, tmp_dir):

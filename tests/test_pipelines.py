@@ -40,7 +40,8 @@ def test_entry(spark):
 def test_no_python_in_any_plan(spark):
     writes = ("ingest_available_now", "published_trusted_shipment", "published_bucketed_trusted_shipment",
               "incremental_publish_purchase_order", "landing_to_trusted", "incremental_trusted_shipment", "ingestion_failed_casts",
-              "waiting_trusted_shipment", "waiting_rows", "landing_to_trusted_inventory")
+              "waiting_trusted_shipment", "waiting_rows", "landing_to_trusted_inventory",
+              "rescued_values", "streamed_latest_purchase_order")
     for name in NAMES:
         if name in writes:  # these run jobs to build their result; same operators as the others
             continue

@@ -8,7 +8,7 @@ from stratum.contracts import contract
 from stratum.plans.foundation import foundation
 from stratum.plans.specs import spec
 from stratum.sources.tables import ChangeTable, SnapshotTable
-from stratum.streaming.foundation import foundation_stream
+from stratum.streaming.foundation import foundation_stream, latest_rows, latest_stream
 from stratum.streaming.ingest import IngestionConfig, ingest_raw, raw_paths, read_raw
 
 def TS_():
@@ -82,3 +82,26 @@ def test_material_bucketed_two_deliveries(spark, tmp_dir):
     rows = {r.material_id: r.material_name for r in table.read().collect()}
     assert rows == {"M1": "ONE-new", "M2": "two", "M3": "three"}
     assert _same(table.read(), foundation(s, read_raw(spark, root, "material"), TS_()))
+
+
+def test_a_late_file_loses_to_a_newer_published_row(spark, tmp_dir):
+    s, c = spec("inventory"), contract("inventory", "raw")
+    table = ChangeTable(spark, tmp_dir, contract("inventory", "foundation"), s.keys, s.nullable_keys(), s.partition_by)
+
+    def arrive(*rows):
+        cells = [{"inventory_snapshot_date": "2024-01-01", "material_id": m, "plant_id": "p", "storage_location": loc, "available_quantity": n, "source_system": "sap",
+                  "source_file": f, "ingestion_timestamp": f"2024-01-0{day} 00:00:00", "ingestion_date": f"2024-01-0{day}"} for m, loc, n, day, f in rows]
+        fields = [*c.schema().fields]
+        df = spark.createDataFrame([tuple(None if x.get(f.name) is None else str(x[f.name]) for f in fields) + (x["ingestion_date"],) for x in cells], ", ".join(f"{f.name} string" for f in fields) + ", ingestion_date string")
+        df.select(*[df[f.name].cast(f.dataType) for f in fields], df.ingestion_date.cast("date")).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/raw")
+        query = latest_stream(spark, s, f"{tmp_dir}/raw", table, f"{tmp_dir}/ckpt", TS_())
+        assert query.exception() is None
+        return {(r.material_id, r.storage_location): int(r.available_quantity) for r in table.read().collect()}
+
+    assert arrive(("m1", None, 5, 3, "b"), ("m2", "a", 1, 1, "a"), ("", "a", 9, 9, "a")) == {("M1", None): 5, ("M2", "A"): 1}
+    # a new run of the query: the state is that of the checkpoint; older rows arrive late, one ties and has the greater file
+    assert arrive((" M1", None, 4, 2, "z"), ("m2", "a", 7, 1, "b"), ("m3", None, 1, 1, "a")) == {("M1", None): 5, ("M2", "A"): 7, ("M3", None): 1}
+    assert arrive(("m1", None, 6, 4, "a"), ("m2", "a", 2, 1, "a")) == {("M1", None): 6, ("M2", "A"): 7, ("M3", None): 1}
+    raw = spark.read.parquet(f"{tmp_dir}/raw")
+    assert _same(table.read(), foundation(s, raw, TS_()))
+    assert latest_rows(s, raw).count() == 3 and latest_rows(s, raw.limit(0)).count() == 0
