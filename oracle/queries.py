@@ -371,6 +371,21 @@ SELECT DISTINCT source_system, material_id FROM fnd_purchase_order"""
     q["published_audit"] = with_ctes(*raw_fnd(DATASETS), *[TRS[d] for d in DATASETS], *later) + "\n" + \
         "\nUNION ALL\n".join(parts)
 
+    ctes, parts, lost_at = [*raw_fnd(["inventory"])], [], "TIMESTAMP '2024-01-15 00:00:00'"
+    for d, system in (("material", up("source_system")), ("plant", f"upper({nt(tr('source_system'))})")):
+        i, name = f"{d}_id", nt(tr(f"{d}_name"))
+        ids = f"{system} AS source_system, upper({nt(tr(i))}) AS {i}"
+        ctes += [RAW[d], f"every_{d} AS (SELECT {ids}, {name} AS name, coalesce(trim({i}, ' ') LIKE '%7', FALSE) AS lost, ingestion_timestamp AS t FROM raw_{d})",
+                 f"some_{d} AS (SELECT * FROM every_{d} WHERE {i} IS NOT NULL AND source_system IS NOT NULL)",
+                 f"last_{d} AS (SELECT * FROM some_{d} QUALIFY row_number() OVER (PARTITION BY source_system, {i} ORDER BY t DESC) = 1)",
+                 f"v_{d} AS (SELECT source_system, {i}, t, {i} <> '' AND coalesce(name, '') <> '' AS valid FROM some_{d} UNION ALL "
+                 f"SELECT source_system, {i}, {lost_at}, {i} <> '' AND NOT lost AND coalesce(name, '') <> '' FROM last_{d})",
+                 f"now_{d} AS (SELECT * FROM v_{d} QUALIFY row_number() OVER (PARTITION BY source_system, {i} ORDER BY t DESC) = 1)"]
+        parts.append(f"SELECT '{d}' AS reference, coalesce(v.valid, FALSE) AS valid_then, coalesce(n.valid, FALSE) AS valid_now, count(*) AS rows "
+                     f"FROM fnd_inventory f ASOF LEFT JOIN v_{d} v ON v.source_system = f.source_system AND v.{i} = f.{i} AND v.t <= CAST(f.inventory_snapshot_date AS TIMESTAMP) "
+                     f"LEFT JOIN now_{d} n ON n.source_system = f.source_system AND n.{i} = f.{i} GROUP BY ALL")
+    q["reference_then_and_now"] = with_ctes(*ctes) + "\n" + "\nUNION ALL\n".join(parts)
+
     po_cols = COLUMNS["fnd.purchase_order"].split()
     q["upsert_two_batches"] = with_ctes(
         *_po_batch1_ctes(),

@@ -311,6 +311,34 @@ def q_published_audit(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+LOST_AT = "2024-01-15 00:00:00"
+
+
+def master_versions(spark, sf_dir, name: str) -> DataFrame:
+    """Every version of a master with its time and whether Trusted takes it: the Raw versions, and at
+    ``LOST_AT`` one more of each, in which ids ending in 7 have lost their name."""
+    s, raw = SPECS[name], _raw(spark, sf_dir, name)
+    lost = F.coalesce(F.trim(f"{name}_id").endswith("7"), F.lit(False))
+    later = fnd.latest(s, fnd.key_filter(s, fnd.standardized(s, raw.withColumn(f"{name}_name", F.when(~lost, F.col(f"{name}_name"))))))
+    rows = fnd.key_filter(s, fnd.standardized(s, raw)).unionByName(later.select(*raw.columns, fnd.RECORD_ID).withColumn("ingestion_timestamp", ts(LOST_AT)))
+    return rows.withColumn("valid", F.coalesce(requirement(s.trusted_present, s.trusted_not_null), F.lit(False)))
+
+
+def q_reference_then_and_now(spark, sf_dir):
+    """Inventory rows by whether their references were valid at the snapshot's date and whether they are now."""
+    from stratum.operators.asof import as_of
+
+    parts = []
+    for r in SPECS["inventory"].references:
+        versions = master_versions(spark, sf_dir, r.dataset)
+        now = latest_per_key(versions, r.keys, "ingestion_timestamp", ("valid",)).where("valid").select(*r.keys)
+        rows = as_of(foundation_df(spark, sf_dir, "inventory"), versions, r.keys, "inventory_snapshot_date", "ingestion_timestamp", ["valid"], "_then")
+        rows = refcheck.flagged(rows, now, list(r.keys), [], "_now")
+        verdicts = {"valid_then": F.coalesce("_then.valid", F.lit(False)), "valid_now": F.coalesce("_now", F.lit(False))}
+        parts.append(rows.groupBy(F.lit(r.dataset).alias("reference"), *[c.alias(n) for n, c in verdicts.items()]).agg(F.count(F.lit(1)).alias("rows")))
+    return parts[0].unionByName(parts[1])
+
+
 # --- merges ----------------------------------------------------------------------------
 
 def q_upsert_two_batches(spark, sf_dir):
@@ -575,6 +603,7 @@ QUERIES = {
     "ref_check_optional": q_ref_check_optional,
     "reference_rejects": q_reference_rejects,
     "published_audit": q_published_audit,
+    "reference_then_and_now": q_reference_then_and_now,
     "upsert_two_batches": q_upsert_two_batches,
     "upsert_preserve_created": q_upsert_preserve_created,
     "upsert_null_key_safe": q_upsert_null_key_safe,
