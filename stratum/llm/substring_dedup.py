@@ -327,11 +327,14 @@ def cut(text: str, parts: list[tuple[int, int]]) -> str:
 
 
 def _linked(docs: DataFrame, k: int, window: int, min_words: int, write: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """The chains of all pairs, written by ``write``; the documents are seeded once, and what leads to the chains goes."""
+    """The chains of all pairs, written by ``write``; the tables that lead to them go.
+
+    Documents are seeded for both sides of the join: all seeds, written, would take more disk than the rest.
+    """
     spark = docs.sparkSession
+    every = seeds(docs, k, window, min_words)
     with passing(spark) as put_shared:
         with passing(spark) as put:
-            every = put(seeds(docs, k, window, min_words), "seeds")
             ids = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), [i / PARTS_OF_IDS for i in range(1, PARTS_OF_IDS)], 10_000)).first()[0]
             first = every.groupBy("seed").agg(F.min(F.struct("doc_id", "pos")).alias("f"), F.max("doc_id").alias("top")).where("f.doc_id < top").select(
                 "seed", F.col("f.doc_id").alias("ref"), F.col("f.pos").alias("at"))
