@@ -8,6 +8,7 @@ table reads back as an empty table.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -27,6 +28,8 @@ def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
     """``staged`` for tables that are read within the ``with`` block alone: their folders go when it ends.
 
     What was made of them has to be written by then, so that nothing is computed from them again.
+    Spark removes the shuffle files of finished steps when the driver collects its garbage, which
+    is asked for here; else they would lie beside those of the next steps.
     """
     paths: list[str] = []
 
@@ -41,6 +44,8 @@ def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
         for path in paths:
             where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
