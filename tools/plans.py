@@ -64,7 +64,8 @@ def publishing(spark, sf_dir: str) -> dict[str, tuple[str, object]]:
     return {
         "incremental read of Raw": ("the folder filter and the time filter are both on the scan",
                                     incremental_after(stored, fnd["purchase_order"], layered.MARK_COLUMN, date_column=DATE_COLUMN)),
-        "due keys of Trusted shipment": ("keys and times only are read and exchanged", layered.due_keys(spec("shipment"), fnd["shipment"], trs["shipment"])),
+        "due rows of Trusted shipment": ("of the published tables only changes are exchanged",
+                                         layered.due_rows(spec("shipment"), fnd["shipment"], layered.tables(spark, root, "trusted")["shipment"])),
         "source of a Trusted shipment publish": ("over published tables; Foundation shipments are scanned once",
                                                  trusted(spec("shipment"), fnd["shipment"], trs)),
     }
