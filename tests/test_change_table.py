@@ -197,3 +197,22 @@ def test_joins_on_the_key_do_not_move_published_tables(spark, tmp_dir):
     n = f.compact()
     assert len(glob.glob(f"{f.path}/base/v={n:08d}.16/*.parquet")) <= 2 * 16 and rows(f.read()) == expected
     assert f.read().where("material_id = 'M9'").count() == 1 and spark.table(f._name(n)).groupBy(*KEYS).count().where("count > 1").count() == 0
+
+
+def test_buckets_grow_with_the_table(spark, tmp_dir):
+    """A task's bucket stays small however large a delivery or the whole table is."""
+    t = material_table(spark, tmp_dir, bucket_bytes=20_000)
+    first = materials(spark, range(4000), "a")
+    t.upsert(first)
+    count = t.base_buckets()
+    assert count > 10 and size(f"{t.path}/base") / count < 40_000
+    more = materials(spark, range(3900, 5500), "b", LATER)
+    assert t.upsert(more) == 2 and t.base_buckets() == count  # compacted; not twice as large: no base is dealt anew
+    most = materials(spark, range(5000, 14000), "c", LATER)
+    assert t.upsert(most) == 4 and t.base_buckets() > 1.5 * count
+    state = upsert(upsert(first, more, list(KEYS)), most, list(KEYS))
+    assert rows(t.read()) == rows(state)
+    small = material_table(spark, f"{tmp_dir}/small")
+    small.upsert(materials(spark, range(9), "a"))
+    assert small.base_buckets() == 4
+    assert layered.dealt_alike(small, t).buckets == t.base_buckets() and layered.dealt_alike(t, small).buckets == 4
