@@ -105,3 +105,30 @@ def test_a_late_file_loses_to_a_newer_published_row(spark, tmp_dir):
     raw = spark.read.parquet(f"{tmp_dir}/raw")
     assert _same(table.read(), foundation(s, raw, TS_()))
     assert latest_rows(s, raw).count() == 3 and latest_rows(s, raw.limit(0)).count() == 0
+
+
+def test_the_state_of_the_latest_rows_lies_in_rocksdb(spark, tmp_dir):
+    """A state as large as the table must not be held in the executors' memory."""
+    import datetime as dt
+    import glob
+    from dataclasses import replace
+
+    from stratum.operators.columns import align_to_contract
+    from stratum.plans import layered
+    from stratum.streaming.foundation import STATE_CONF
+    from stratum.streaming.ingest import DATE_COLUMN
+
+    s, before = spec("purchase_order"), {k: spark.conf.get(k, None) for k in STATE_CONF}
+    raw = spark.createDataFrame([(f" po-{i % 40}", "1", f"m{i}", "s", "p", dt.datetime(2024, 1, 1 + i % 3)) for i in range(90)],
+                                "purchase_order_id string, purchase_order_line string, material_id string, supplier_id string, plant_id string, ingestion_timestamp timestamp")
+    raw = align_to_contract(raw.withColumns({"source_system": F.lit("sap"), "source_file": F.lit("f")}), contract("purchase_order", "raw"))
+    raw.withColumn(DATE_COLUMN, F.to_date("ingestion_timestamp")).write.parquet(f"{tmp_dir}/raw")
+    table = layered.tables(spark, tmp_dir, "foundation", 2)["purchase_order"]
+    latest_stream(spark, s, f"{tmp_dir}/raw", table, f"{tmp_dir}/ckpt", F.lit(dt.datetime(2024, 6, 1)))
+    stored = glob.glob(f"{tmp_dir}/ckpt/state/0/*/*")
+    assert [f for f in stored if f.endswith((".changelog", ".zip"))] and not [f for f in stored if f.endswith((".delta", ".snapshot"))]
+    assert {k: spark.conf.get(k, None) for k in STATE_CONF} == before
+    plan = latest_rows(s, raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert "max_by" not in plan  # which would hold the columns of the order twice
+    expected = foundation(replace(s, incremental=False), raw, F.lit(dt.datetime(2024, 6, 1)))
+    assert table.read().count() == 40 and sorted(table.read().collect()) == sorted(expected.collect())
