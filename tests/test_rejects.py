@@ -50,3 +50,29 @@ def test_one_scan_of_the_judged_rows(spark, tmp_dir):
         refs[r.dataset] = spark.read.parquet(f"{tmp_dir}/{r.dataset}")
     plan = trs.judged_rows(s, spark.read.parquet(f"{tmp_dir}/f"), refs)._jdf.queryExecution().executedPlan().toString()
     assert sum("FileScan" in line and "shipment_id" in line for line in plan.splitlines()) == 1
+
+
+def test_rejected_rows_judge_each_dataset_once(spark):
+    """Orders are referred to by shipments: their plan must not run a second time below them."""
+    from stratum.plans.queries import QUERIES
+
+    plan = QUERIES["rejected_rows"](spark, SF0001)._jdf.queryExecution().optimizedPlan().toString()
+    # orders' cleaned rows, shipments' cleaned rows, and shipments again for Trusted
+    assert plan.count("l_orderkey#") > 0 and sum(line.lstrip(" :+-").startswith("Relation [l_orderkey") for line in plan.splitlines()) == 3
+
+
+def test_landed_files_are_dealt_by_the_session(spark, tmp_dir):
+    """As many landing files as the session shuffles into, each with all versions of its keys."""
+    import glob
+
+    from stratum.plans.queries import land_csv
+
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        land_csv(fixtures.raw(spark, SF0001, "material"), spec("material"), tmp_dir + "/m")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert len(glob.glob(tmp_dir + "/m/*.csv")) == 8
+    landed = spark.read.option("header", True).csv(tmp_dir + "/m").select("material_id", F.input_file_name().alias("f"))
+    assert landed.groupBy(F.upper(F.trim("material_id")).alias("k")).agg(F.countDistinct("f").alias("n")).where("n > 1").count() == 0
