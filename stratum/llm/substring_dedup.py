@@ -34,7 +34,10 @@ empty table gives no rows; other columns are kept and not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from itertools import pairwise
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -44,7 +47,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.llm.stage import passing, shuffle_partitions, staged
-from stratum.llm.words import batched, gram_hashes, grouped, split_words, word_hashes
+from stratum.llm.words import batched, dealt_blocks, gram_hashes, grouped, mixed, packed_columns, split_words, texts_hashes, unpacked_columns
 
 K = 6
 WINDOW = 4
@@ -68,24 +71,174 @@ def winnow(hashes: np.ndarray, window: int) -> np.ndarray:
     return np.unique(n - 1 - (np.argmin(views, axis=1) + np.arange(len(views))))
 
 
-def seeds(docs: DataFrame, k: int, window: int, min_words: int) -> DataFrame:
+def chosen(texts: list[str], k: int, window: int, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The seeds of these texts: hash, number of the text, place. Texts of fewer than ``min_words`` words have none."""
+    hashes, counts = texts_hashes(texts)
+    n = len(hashes)
+    grams = np.empty(max(0, n - k + 1), dtype=np.uint64)
+    for at in range(0, len(grams), 1 << 16):  # what is worked on stays in the processor's cache
+        grams[at : at + (1 << 16)] = gram_hashes(hashes[at : at + (1 << 16) + k - 1], k)
+    taken = np.zeros(len(grams), dtype=bool)
+    ends = np.cumsum(counts)
+    starts = ends - counts
+    if (whole := len(grams) - window + 1) > 0:
+        # the last of equal least ones of each window, if the window ends within its text
+        least, step = grams[:whole].copy(), np.zeros(whole, dtype=np.int64)
+        for j in range(1, window):
+            own = grams[j : j + whole]
+            step[own <= least] = j
+            np.minimum(least, own, out=least)
+        held = np.repeat(np.where(counts >= min_words, ends, 0), counts)[:whole]
+        inside = np.flatnonzero(np.arange(k + window - 1, whole + k + window - 1) <= held)
+        taken[inside + step[inside]] = True
+    for i in np.flatnonzero((counts >= max(min_words, k)) & (counts < k + window - 1)).tolist():
+        taken[starts[i] + winnow(grams[starts[i] : ends[i] - k + 1], window)] = True
+    own = np.flatnonzero(taken)
+    text = np.repeat(np.arange(len(texts)), counts)[own]
+    return grams[own], text, (own - starts[text]).astype(np.int32)
+
+
+#: Characters of texts that are seeded together, and rows that are dealt into blocks together.
+CHARS = 4_000_000
+ROWS = 500_000
+BUCKETS_OF_A_PARTITION = 4
+#: Occurrences from which on a seed is linked by ``anchored``, in many tasks.
+COMMON = 200_000
+
+BLOCKS = pa.schema([("bucket", pa.int32()), ("block", pa.binary())])
+BLOCKS_SQL = "bucket int, block binary"
+SEED = [np.uint64, np.int64, np.int32]  # seed, document, place
+ANCHOR = [np.int64, np.int64, np.int32, np.int32]  # document, earlier document, place, earlier place
+
+
+class _Dealer:
+    """Holds rows until there are ``ROWS``, then deals them by a key into blocks of buckets."""
+
+    def __init__(self, buckets: int):
+        self.buckets, self.held, self.size = buckets, [], 0
+
+    def put(self, key: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        self.held.append((key, *columns))
+        self.size += len(key)
+        if self.size >= ROWS:
+            yield from self.rest()
+
+    def rest(self) -> Iterator[tuple[int, bytes]]:
+        if self.size:
+            key, *columns = (np.concatenate(c) for c in zip(*self.held, strict=True))
+            self.held, self.size = [], 0
+            yield from dealt_blocks((key % np.uint64(self.buckets)).astype(np.int32), columns)
+
+
+def _of_document(doc: np.ndarray) -> np.ndarray:
+    return mixed(doc.view(np.uint64))
+
+
+def seeds(docs: DataFrame, k: int, window: int, min_words: int, buckets: int) -> DataFrame:
+    """``bucket, block``: the seeds of all documents, dealt by the seed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            dealer = _Dealer(buckets)
+            for batch in batches:
+                ids, size, texts = batch.column(0).to_numpy(), 0, []
+                for i, text in enumerate(batch.column(1)):
+                    texts.append(text.as_py())
+                    size += len(texts[-1])
+                    if size >= CHARS or i + 1 == batch.num_rows:
+                        marks, own, places = chosen(texts, k, window, min_words)
+                        yield from dealer.put(marks, marks, ids[i + 1 - len(texts) : i + 1][own], places)
+                        size, texts = 0, []
+            yield from dealer.rest()
+
+        yield from batched(rows(), BLOCKS, 64)
+
+    return docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, BLOCKS_SQL)
+
+
+def links(seed: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Anchors of each occurrence: with the seed's first one and with the first in the latest document before its own."""
+    order = np.argsort(seed)
+    same = np.diff(seed[order].view(np.int64)) == 0
+    repeated = np.zeros(len(seed), dtype=bool)  # a seed that stands once has no anchor
+    repeated[1:] |= same
+    repeated[:-1] |= same
+    own = order[repeated]
+    own = own[np.lexsort((pos[own], doc[own], seed[own]))]
+    seed, doc, pos = seed[own], doc[own], pos[own]
+    n = len(own)
+    new_seed, new_doc = np.ones(n, dtype=bool), np.ones(n, dtype=bool)
+    new_seed[1:] = seed[1:] != seed[:-1]
+    new_doc[1:] = new_seed[1:] | (doc[1:] != doc[:-1])
+    first = np.maximum.accumulate(np.where(new_seed, np.arange(n), 0))
+    starts = np.flatnonzero(new_doc)
+    own_doc = np.cumsum(new_doc) - 1
+    later = np.flatnonzero(starts[own_doc] != first)
+    previous = starts[own_doc[later] - 1]
+    twice = previous != first[later]
+    at, to = np.concatenate([later, later[twice]]), np.concatenate([first[later], previous[twice]])
+    return doc[at], doc[to], pos[at], pos[to]
+
+
+def linked_blocks(blocks: DataFrame, partitions: int, buckets: int, common: int = COMMON) -> DataFrame:
+    """``bucket, block``: anchors dealt by the later document; in bucket -1 the occurrences of seeds that have more than ``common``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            dealer, apart = _Dealer(buckets), np.empty(0, dtype=np.uint64)
+
+            def split(held):
+                """Without the seeds that are common by now, whose occurrences go out."""
+                seed, doc, pos = (np.concatenate(c) for c in zip(*held, strict=True))
+                kinds, counts = np.unique(seed, return_counts=True)
+                now = np.union1d(apart, kinds[counts > common])
+                out = np.isin(seed, now)
+                return now, [(seed[~out], doc[~out], pos[~out])], [x[out] for x in (seed, doc, pos)]
+
+            for _, group in grouped(batches, 1):
+                held, size, limit = [], 0, 8 * common
+                apart = apart[:0]
+                for (block,) in group:
+                    held.append(unpacked_columns(block, SEED))
+                    size += len(held[-1][0])
+                    if size > limit:
+                        apart, held, out = split(held)
+                        size = len(held[0][0])
+                        limit = max(limit, 2 * size)
+                        if len(out[0]):
+                            yield -1, packed_columns(out)
+                if size > common:
+                    apart, held, out = split(held)
+                    if len(out[0]):
+                        yield -1, packed_columns(out)
+                anchors = links(*(np.concatenate(c) for c in zip(*held, strict=True)))
+                yield from dealer.put(_of_document(anchors[0]), *anchors)
+            yield from dealer.rest()
+
+        yield from batched(rows(), BLOCKS, 64)
+
+    return blocks.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(run, BLOCKS_SQL)
+
+
+def _common_anchors(blocks: DataFrame, ids: list[int], buckets: int) -> DataFrame:
+    """``bucket, block``: anchors of the seeds in bucket -1, each looked through in many tasks."""
+    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                marks, ids, places = [], [], []
-                for doc, text in zip(batch.column(0).slice(at, 500).to_pylist(), batch.column(1).slice(at, 500).to_pylist(), strict=True):
-                    if len(words := split_words(text)) < min_words:
-                        continue
-                    grams = gram_hashes(word_hashes(words), k)
-                    own = winnow(grams, window)
-                    marks.append(grams[own].view(np.int64))
-                    ids.append(np.full(len(own), doc, dtype=np.int64))
-                    places.append(own.astype(np.int32))
-                if marks:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (marks, ids, places)], names=["seed", "doc_id", "pos"])
-
-    return docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "seed long, doc_id long, pos int")
+            for block in batch.column(0):
+                seed, doc, pos = unpacked_columns(block.as_py(), SEED)
+                yield pa.RecordBatch.from_arrays([pa.array(seed.view(np.int64)), pa.array(doc), pa.array(pos)], names=["seed", "doc_id", "pos"])
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            dealer = _Dealer(buckets)
+            for batch in batches:
+                columns = [c.to_numpy() for c in batch.columns]
+                yield from dealer.put(_of_document(columns[0]), *columns)
+            yield from dealer.rest()
+
+        yield from batched(rows(), BLOCKS, 64)
+
+    every = blocks.where("bucket = -1").select("block").mapInArrow(occurrences, "seed long, doc_id long, pos int")
+    first = every.groupBy("seed").agg(F.min(F.struct("doc_id", "pos")).alias("f")).select("seed", F.col("f.doc_id").alias("ref"), F.col("f.pos").alias("at"))
+    return anchored(every.join(first, "seed"), ids).select("doc_id", "ref", "pos", "at").mapInArrow(dealt, BLOCKS_SQL)
 
 
 def anchored(shared: DataFrame, ids: list[int]) -> DataFrame:
@@ -135,9 +288,16 @@ class Fenwick:
         return out
 
 
-def chains(anchors: list[tuple[int, int]], k: int, gap_cost: float = GAP_COST, max_gap: int = MAX_GAP) -> list[list[tuple[int, int]]]:
-    """Best chains of anchors (place, earlier place), ascending in both; each anchor is in one at most."""
-    anchors = sorted(set(anchors))
+def _scores(anchors: list[tuple[int, int]], k: int, gap_cost: float) -> tuple[list[float], list[int]]:
+    """Score of the best chain that ends in each of these sorted anchors, and its last but one."""
+    score, back = [float(k)], [-1]
+    if all(p < q and r < t for (p, r), (q, t) in pairwise(anchors)):
+        # all ascend: a chain gains at least k with each, so the one before is the best predecessor
+        for i in range(1, len(anchors)):
+            gain = score[-1] + gap_cost * sum(anchors[i - 1]) - gap_cost * sum(anchors[i])
+            score.append(k + max(0.0, gain))
+            back.append(i - 1 if gain > 0 else -1)
+        return score, back
     ranks = {r: i for i, r in enumerate(sorted({r for _, r in anchors}))}
     tree, score, back, wait = Fenwick(len(ranks)), [], [], []
     for i, (p, r) in enumerate(anchors):
@@ -149,6 +309,15 @@ def chains(anchors: list[tuple[int, int]], k: int, gap_cost: float = GAP_COST, m
         score.append(k + max(0.0, gain))
         back.append(j if gain > 0 else -1)
         wait.append(i)
+    return score, back
+
+
+def chains(anchors: list[tuple[int, int]], k: int, gap_cost: float = GAP_COST, max_gap: int = MAX_GAP) -> list[list[tuple[int, int]]]:
+    """Best chains of anchors (place, earlier place), ascending in both; each anchor is in one at most."""
+    if len(anchors) == 1:
+        return [anchors]
+    anchors = sorted(set(anchors))
+    score, back = _scores(anchors, k, gap_cost)
     out, used = [], set()
     for i in sorted(range(len(anchors)), key=lambda i: -score[i]):
         chain = []
@@ -164,26 +333,42 @@ def chains(anchors: list[tuple[int, int]], k: int, gap_cost: float = GAP_COST, m
     return out
 
 
-CHAINS = pa.schema([("doc_id", pa.int64()), ("ref", pa.int64()), ("pos", pa.list_(pa.int32())), ("at", pa.list_(pa.int32()))])
+def folded(found: list[list[tuple[int, int]]]) -> bytes:
+    """The chains of a pair as numbers: how many, their lengths, their places, their earlier places."""
+    return np.array([len(found), *map(len, found), *(p for c in found for p, _ in c), *(r for c in found for _, r in c)], dtype=np.int32).tobytes()
+
+
+def unfolded(numbers: bytes) -> list[tuple[list[int], list[int]]]:
+    n, *rest = np.frombuffer(numbers, dtype=np.int32).tolist()
+    total, at, out = sum(rest[:n]), n, []
+    for length in rest[:n]:
+        out.append((rest[at : at + length], rest[at + total : at + total + length]))
+        at += length
+    return out
+
+
+CHAINS = pa.schema([("doc_id", pa.int64()), ("ref", pa.int64()), ("chains", pa.binary())])
 
 
 def chained(anchors: DataFrame, k: int, partitions: int) -> DataFrame:
+    """``doc_id, ref, chains``: a row for each pair. ``anchors``: blocks dealt by the later document, whose anchors are bounded by its own seeds."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            for (doc, ref), group in grouped(batches, 2):
-                for chain in chains(group, k):
-                    yield doc, ref, [p for p, _ in chain], [r for _, r in chain]
+            for _, group in grouped(batches, 1):
+                doc, ref, pos, at = (np.concatenate(c) for c in zip(*(unpacked_columns(g[0], ANCHOR) for g in group), strict=True))
+                order = np.lexsort((ref, doc))
+                doc, ref, points = doc[order], ref[order], list(zip(pos[order].tolist(), at[order].tolist(), strict=True))
+                sides = [0, *(np.flatnonzero((np.diff(doc) != 0) | (np.diff(ref) != 0)) + 1).tolist(), len(points)]
+                for s, e in pairwise(sides):
+                    yield int(doc[s]), int(ref[s]), folded(chains(points[s:e], k))
 
         yield from batched(rows(), CHAINS)
 
-    dealt = anchors.select("doc_id", "ref", "pos", "at").repartition(partitions, "doc_id", "ref").sortWithinPartitions("doc_id", "ref")
-    return dealt.mapInArrow(run, "doc_id long, ref long, pos array<int>, at array<int>")
+    return anchors.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "doc_id long, ref long, chains binary")
 
 
 def _matches(a: list[bytes], b: list[bytes]) -> int:
     """Length of the longest common subsequence of two short stretches."""
-    if len(a) == len(b) and a == b:
-        return len(a)
     row = [0] * (len(b) + 1)
     for x in a:
         left = 0
@@ -208,13 +393,23 @@ def _extend(a: list[bytes], b: list[bytes], cost: float) -> tuple[int, int, int]
     n, m = len(a), len(b)
     while x < n and y < m:
         if a[x] == b[y]:
-            x, y, matched, score = x + 1, y + 1, matched + 1, score + 1
+            run, most = 1, min(n - x, m - y)
+            while run + 16 <= most and a[x + run : x + run + 16] == b[y + run : y + run + 16]:
+                run += 16
+            while run < most and a[x + run] == b[y + run]:
+                run += 1
+            x, y, matched = x + run, y + run, matched + run
+            score += run
             if score > best:
                 best, out = score, (x, y, matched)
             continue
+        left, right = a[x : x + REACH + 1], b[y : y + REACH + 1]
+        if set(left).isdisjoint(right):
+            break
+        n_left, n_right = len(left), len(right)
         for p, q in _EDITS:
             # off the diagonal two equal words in a row are asked for: one common word stands anywhere
-            if x + p < n and y + q < m and a[x + p] == b[y + q] and (p == q or a[x + p + 1 : x + p + 2] == b[y + q + 1 : y + q + 2]):
+            if p < n_left and q < n_right and left[p] == right[q] and (p == q or a[x + p + 1 : x + p + 2] == b[y + q + 1 : y + q + 2]):
                 x, y, score = x + p, y + q, score - cost * max(p, q)
                 break
         else:
@@ -259,10 +454,13 @@ def align(words: list[bytes], near: list[bytes], base: int, pos: list[int], at:
     got = []
     for j in range(len(pos) - 1):
         a, b = words[pos[j] : pos[j + 1]], near[r[j] : r[j + 1]]
-        got.append(_matches(a, b))
-        if got[-1] < 0.5 * max(len(a), len(b)) and max(len(a), len(b)) > k + 2:
-            cuts.append(run)
-            run = []
+        if a == b:
+            got.append(len(a))
+        else:
+            got.append(_matches(a, b))
+            if got[-1] < 0.5 * max(len(a), len(b)) and max(len(a), len(b)) > k + 2:
+                cuts.append(run)
+                run = []
         run.append(j + 1)
     cuts.append(run)
     # the words each piece gains over the identity
@@ -271,7 +469,7 @@ def align(words: list[bytes], near: list[bytes], base: int, pos: list[int], at:
     def reaches(i: int, j: int) -> bool:
         return sum(got[i:j]) + k >= identity * (max(pos[j] - pos[i], r[j] - r[i]) + k)
 
-    for first, last in (part for run in cuts for part in _parts(gains, run[0], run[-1], reaches)):
+    for first, last in (part for run in cuts for part in _parts(gains, run[0], run[-1], reaches)) if got else [(0, 0)]:
         s, e, t, f = pos[first], pos[last] + k, r[first], r[last] + k
         matched = sum(got[first:last]) + k
         before, after = words[max(0, s - t - REACH) : s][::-1], words[e : e + len(near) - f + REACH]
@@ -326,48 +524,61 @@ def cut(text: str, parts: list[tuple[int, int]]) -> str:
     return "".join([*out, text[last:]])
 
 
-def _linked(docs: DataFrame, k: int, window: int, min_words: int, write: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """The chains of all pairs, written by ``write``; the tables that lead to them go.
-
-    Documents are seeded for both sides of the join: all seeds, written, would take more disk than the rest.
-    """
+def _linked(docs: DataFrame, k: int, window: int, min_words: int, write: Callable[[DataFrame, str], DataFrame], common: int = COMMON) -> DataFrame:
+    """The chains of all pairs, written by ``write``; the tables that lead to them go."""
     spark = docs.sparkSession
-    every = seeds(docs, k, window, min_words)
-    with passing(spark) as put_shared:
-        with passing(spark) as put:
+    partitions = shuffle_partitions(spark)
+    buckets = BUCKETS_OF_A_PARTITION * partitions
+    with passing(spark) as put:
+        with passing(spark):  # the shuffled seeds go before the anchors are shuffled
+            blocks = put(linked_blocks(seeds(docs, k, window, min_words, buckets), partitions, buckets, common), "links")
+        anchors = blocks.where("bucket >= 0")
+        if not blocks.where("bucket = -1").isEmpty():
             ids = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), [i / PARTS_OF_IDS for i in range(1, PARTS_OF_IDS)], 10_000)).first()[0]
-            first = every.groupBy("seed").agg(F.min(F.struct("doc_id", "pos")).alias("f"), F.max("doc_id").alias("top")).where("f.doc_id < top").select(
-                "seed", F.col("f.doc_id").alias("ref"), F.col("f.pos").alias("at"))
-            # written, so that the join is of two plain shuffles and the seeds of a common passage can be split
-            shared = put_shared(every.join(put(first, "first"), "seed"), "shared")
-        return write(chained(anchored(shared, sorted(set(ids or []))), k, shuffle_partitions(spark)), "chains")
+            anchors = anchors.union(_common_anchors(blocks, sorted(set(ids or [])), buckets))
+        return write(chained(anchors, k, partitions), "chains")
+
+
+def around(at: list[int], k: int) -> tuple[int, int]:
+    """The earlier document's words that a chain is aligned with."""
+    return max(0, at[0] - MARGIN), at[-1] + k + MARGIN
+
+
+def stretches(found: list[tuple[list[int], list[int]]], k: int) -> list[tuple[int, int]]:
+    """Unions of the words around a pair's chains, so that none is sent twice."""
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(around(at, k) for _, at in found):
+        if out and s <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], e)
+        else:
+            out.append((s, e))
+    return out
 
 
 def _found(docs: DataFrame, linked: DataFrame, k: int, min_words: int, only_spans: bool) -> DataFrame:
     """The chains aligned: spans of passages (``only_spans``), or for each document with regions its text and their places."""
     partitions = shuffle_partitions(docs.sparkSession)
     text = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("ref"), F.col("text").cast("string").alias("text"))
-    near_schema = pa.schema([("doc_id", pa.int64()), ("ref", pa.int64()), ("pos", pa.list_(pa.int32())), ("at", pa.list_(pa.int32())), ("base", pa.int32()), ("near", pa.binary())])
+    near_schema = pa.schema([*CHAINS, ("near", pa.binary())])
 
     def surround(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack, unpack = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+        pack, unpack = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
 
         def rows():
-            kept, words = (None, None), []
+            kept, words = None, []
             for batch in batches:
-                for doc, ref, pos, at, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    if kept != (ref, len(packed)):
-                        kept, words = (ref, len(packed)), split_words(unpack.decompress(packed).decode("utf-8"))
-                    base = max(0, at[0] - MARGIN)
-                    yield doc, ref, pos, at, base, pack.compress(b" ".join(words[base : at[-1] + k + MARGIN]))
+                for doc, ref, numbers, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    if kept != packed:
+                        kept, words = packed, split_words(unpack.decompress(packed).decode("utf-8"))
+                    parts = stretches(unfolded(numbers), k)
+                    yield doc, ref, numbers, pack.compress(b"\n".join(b" ".join(words[s:e]) for s, e in parts))
 
         yield from batched(rows(), near_schema, 500)
 
-    near = linked.join(_packed(text, "ref"), "ref").select("doc_id", "ref", "pos", "at", "z").mapInArrow(
-        surround, "doc_id long, ref long, pos array<int>, at array<int>, base int, near binary")
+    near = linked.join(_packed(text, "ref"), "ref").select("doc_id", "ref", "chains", "z").mapInArrow(surround, "doc_id long, ref long, chains binary, near binary")
     own = _packed(docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "doc_id")
-    sides = near.select("doc_id", F.lit(1).alias("kind"), "ref", "pos", "at", "base", "near").union(
-        own.select("doc_id", F.lit(0), F.lit(None).cast("long"), F.lit(None).cast("array<int>"), F.lit(None).cast("array<int>"), F.lit(None).cast("int"), "z"))
+    sides = near.select("doc_id", F.lit(1).alias("kind"), "ref", "chains", "near").union(
+        own.select("doc_id", F.lit(0), F.lit(None).cast("long"), F.lit(None).cast("binary"), "z"))
     # documents and their chains meet: one document's rows are bounded by its own seeds
     dealt = sides.repartition(partitions, "doc_id").sortWithinPartitions("doc_id", "kind")
 
@@ -376,14 +587,20 @@ def _found(docs: DataFrame, linked: DataFrame, k: int, min_words: int, only_span
 
         def rows():
             for (doc,), group in grouped(batches, 1):
-                texts = list(dict.fromkeys(g[5] for g in group if not g[0]))
+                texts = list(dict.fromkeys(g[3] for g in group if not g[0]))
                 links = [g for g in group if g[0]]
                 for packed in texts:
                     text, spans = unpack.decompress(packed).decode("utf-8"), []
                     words = split_words(text) if links else []
-                    for _, ref, pos, at, base, near in links:
-                        if pos[-1] + k <= len(words):
-                            spans += [(s, e, ref, t, f, m) for s, e, t, f, m in align(words, unpack.decompress(near).split(), base, pos, at, k)]
+                    for _, ref, numbers, near in links:
+                        found = unfolded(numbers)
+                        parts, stretched = stretches(found, k), [x.split() for x in unpack.decompress(near).split(b"\n")]
+                        for pos, at in found:
+                            if pos[-1] + k <= len(words):
+                                base, last = around(at, k)
+                                i = bisect_right(parts, base, key=itemgetter(0)) - 1
+                                own = stretched[i][base - parts[i][0] : last - parts[i][0]]
+                                spans += [(s, e, ref, t, f, m) for s, e, t, f, m in align(words, own, base, pos, at, k)]
                     held = passages(spans, min_words)
                     parts = regions(held)
                     if only_spans:

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 
 
 class _Hashes(dict):
@@ -34,6 +37,21 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
+def texts_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The words' hashes of all these texts, one after the other, and each text's number of words.
+
+    As ``word_hashes(split_words(t))`` of each, but a word is hashed once for all of them.
+    """
+    lists = pc.ascii_split_whitespace(pa.array([t.lower().encode("utf-8", "replace") for t in texts], type=pa.large_binary()).cast(pa.large_string()))
+    words, counts = lists.flatten(), pc.list_value_length(lists).to_numpy().astype(np.int64)
+    there = pc.binary_length(words).to_numpy() > 0  # Arrow puts an empty word beside outer white space
+    before = np.concatenate([[0], np.cumsum(there, dtype=np.int64)])
+    ends = np.cumsum(counts)
+    coded = words.dictionary_encode()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False)), dtype=np.uint64, count=len(coded.dictionary))
+    return hashes[coded.indices.to_numpy()[there]], before[ends] - before[ends - counts]
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective mixing of 64-bit numbers (two rounds of multiply and shift)."""
     x = (x ^ (x >> np.uint64(32))) * _ODD
@@ -74,6 +92,33 @@ def grouped(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[tuple[tupl
         yield now, rows
 
 
+def packed_columns(columns: list[np.ndarray]) -> bytes:
+    """Columns of numbers as one compressed block; bytes of the same place stand together."""
+    n = len(columns[0])
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(n, -1).T.tobytes() for c in columns))
+
+
+def unpacked_columns(block: bytes, types: list[type]) -> list[np.ndarray]:
+    data = zstandard.ZstdDecompressor().decompress(block)
+    sizes = [np.dtype(t).itemsize for t in types]
+    n, at, out = len(data) // sum(sizes), 0, []
+    for t, size in zip(types, sizes, strict=True):
+        out.append(np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8, count=n * size, offset=at).reshape(size, n).T).view(t).reshape(n))
+        at += n * size
+    return out
+
+
+def dealt_blocks(bucket: np.ndarray, columns: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
+    """The rows of each bucket as a block, in their order."""
+    if not len(bucket):
+        return
+    order = np.argsort(bucket, kind="stable")
+    sides = [0, *(np.flatnonzero(np.diff(bucket[order])) + 1).tolist(), len(order)]
+    columns = [c[order] for c in columns]
+    for s, e in pairwise(sides):
+        yield int(bucket[order[s]]), packed_columns([c[s:e] for c in columns])
+
+
 def batched(rows: Iterable[tuple], schema: pa.Schema, size: int = 2000) -> Iterator[pa.RecordBatch]:
     held: list[tuple] = []
     for row in rows:

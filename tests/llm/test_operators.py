@@ -268,6 +268,54 @@ def test_seeds_meet_their_first_and_their_previous_document(spark):
         assert {tuple(r) for r in substring_dedup.anchored(shared, ids).collect()} == want
 
 
+def test_seeds_of_texts_together_equal_those_of_each():
+    texts = ["", " \n ", "a b", "x " * 60, sentence(1, 11), sentence(2, 12), sentence(3, 13), " " + sentence(4, 300) + "\x0b\x0c", "ΑΣ İ \x85 " * 30, sentence(5, 70).upper()]
+    for k, window, least in ((6, 4, 50), (6, 4, 1), (8, 6, 12)):
+        marks, text, places = substring_dedup.chosen(texts, k, window, least)
+        for i, t in enumerate(texts):
+            own = words.split_words(t)
+            grams = words.gram_hashes(words.word_hashes(own), k)
+            want = substring_dedup.winnow(grams, window) if len(own) >= least else np.empty(0, dtype=int)
+            assert places[text == i].tolist() == want.tolist() and marks[text == i].tolist() == grams[want].tolist()
+
+
+def test_seeds_are_shuffled_once_as_blocks(spark):
+    docs = docs_of(spark, [(i, sentence(i, 400), "en", "a") for i in range(40)])
+    blocks = substring_dedup.seeds(docs, 6, 4, 50, 16).collect()
+    count = sum(len(words.unpacked_columns(b.block, substring_dedup.SEED)[0]) for b in blocks)
+    assert count > 40 * 100 and sum(len(b.block) for b in blocks) < 14 * count
+    assert all((words.unpacked_columns(b.block, substring_dedup.SEED)[0] % np.uint64(16) == b.bucket).all() for b in blocks)
+
+
+@pytest.mark.parametrize("common", [1, 3, 1000])
+def test_links_of_common_and_rare_seeds_are_the_same(spark, common):
+    rng = np.random.default_rng(7)
+    places = [(int(s), int(d), int(p)) for s, d, p in zip(rng.integers(0, 40, 400) ** 2 // 40, rng.integers(-3, 30, 400), rng.integers(0, 50, 400))] + [(99, -2 ** 63, 1), (99, 2 ** 63 - 1, 4)]
+    want = set()
+    for s, d, p in places:
+        if earlier := [(x, y) for z, x, y in places if z == s and x < d]:
+            previous = max(x for x, _ in earlier)
+            want |= {(d, *min(earlier), p), (d, previous, min(y for x, y in earlier if x == previous), p)}
+    # several blocks of a bucket
+    seed, doc, pos = (np.array(c, dtype=t) for c, t in zip(zip(*places), substring_dedup.SEED))
+    rows = [row for at in range(0, len(places), 30) for row in words.dealt_blocks((seed[at : at + 30] % np.uint64(4)).astype(np.int32), [c[at : at + 30] for c in (seed, doc, pos)])]
+    blocks = substring_dedup.linked_blocks(spark.createDataFrame(rows, substring_dedup.BLOCKS_SQL), 3, 8, common).cache()
+    found = blocks.where("bucket >= 0").union(substring_dedup._common_anchors(blocks, [5, 20], 8)).collect()
+    got = [x for b in found for x in zip(*(c.tolist() for c in words.unpacked_columns(b.block, substring_dedup.ANCHOR)))]
+    assert {(d, r, a, p) for d, r, p, a in got} == want
+    assert (blocks.where("bucket = -1").count() > 0) == (common < 1000)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), min_size=1, max_size=12))
+def test_words_around_chains_are_sent_once(anchors):
+    found = [([p for p, _ in c], [r for _, r in c]) for c in substring_dedup.chains(anchors, 6)]
+    assert substring_dedup.unfolded(substring_dedup.folded(substring_dedup.chains(anchors, 6))) == found
+    parts = substring_dedup.stretches(found, 6)
+    assert all(e < s for (_, e), (s, _) in zip(parts, parts[1:]))
+    assert all(any(s <= lo and hi <= e for s, e in parts) for lo, hi in (substring_dedup.around(at, 6) for _, at in found))
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), min_size=1, max_size=12))
 def test_best_chain_against_brute_force(anchors):
