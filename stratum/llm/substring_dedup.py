@@ -2,11 +2,13 @@
 
 1. Seeds: of each document's word k-mers, winnowing keeps the least hash of
    every ``window`` consecutive ones, so any run of ``window + k - 1`` words
-   that two documents share gives both the same seed.
+   that two documents share gives both the same seed.  Each document is seeded
+   once; the seeds are shuffled once, by hash, as compressed blocks.
 2. Anchors: every occurrence of a seed is joined to the seed's first
    occurrence (least document, then least place) and to that in the document
    before its own among those that hold the seed.  An occurrence makes two
-   anchors at most.
+   anchors at most.  A seed with more than ``COMMON`` occurrences is cut by
+   ids, so that many tasks look through it.
 3. Chains: for each pair (document, earlier document) the anchors that
    ascend in both are chained; the best predecessor under linear gap costs
    comes from a Fenwick tree over the places in the earlier document.
@@ -99,8 +101,8 @@ def chosen(texts: list[str], k: int, window: int, min_words: int) -> tuple[np.nd
 
 
 #: Characters of texts that are seeded together, and rows that are dealt into blocks together.
-CHARS = 4_000_000
-ROWS = 500_000
+CHARS = 1_000_000
+ROWS = 250_000
 BUCKETS_OF_A_PARTITION = 4
 #: Occurrences from which on a seed is linked by ``anchored``, in many tasks.
 COMMON = 200_000
@@ -151,6 +153,7 @@ def seeds(docs: DataFrame, k: int, window: int, min_words: int, buckets: int) ->
             yield from dealer.rest()
 
         yield from batched(rows(), BLOCKS, 64)
+        pa.default_memory_pool().release_unused()  # the worker goes on with other steps
 
     return docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, BLOCKS_SQL)
 
