@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.llm.components import components
-from stratum.llm.stage import shuffle_partitions, staged
+from stratum.llm.stage import shuffle_partitions, small_batches, staged
 from stratum.llm.words import batched, grouped, shingle_set
 
 N = 5
@@ -191,7 +191,8 @@ def near_duplicates(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, r
     """See the module's docstring."""
     spark = docs.sparkSession
     partitions = shuffle_partitions(spark)
-    signed = staged(signatures(docs, n, choose_bands(threshold, recall)), "signatures")
+    with small_batches(spark):
+        signed = staged(signatures(docs, n, choose_bands(threshold, recall)), "signatures")
     classes = signed.where("digest is not null").groupBy("digest").agg(
         F.count("*").alias("copies"), F.min("doc_id").alias("text_class"))
     # the bands are a function of the digest, so one row's will do.  Candidates go by the digest's first
@@ -213,7 +214,8 @@ def near_duplicates(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, r
     one = own.join(pick, "digest")
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     members = _with_grams(one, texts, n)
-    found = staged(verified(members, threshold, partitions), "links")
+    with small_batches(spark):
+        found = staged(verified(members, threshold, partitions), "links")
 
     links = found.groupBy("digest").agg(F.sum("links").alias("links"))
     groups = components(found.where("other is not null").select(F.col("digest").alias("a"), F.col("other").alias("b")), "groups")

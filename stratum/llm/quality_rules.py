@@ -75,6 +75,10 @@ def counts_of(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([text_counts(t) for t in part], columns=list(COUNTS), dtype="int64")
 
 
+# else Spark copies it into a filter on the counts, and each task counts twice, in two Python workers that stay
+counts_of = counts_of.asNondeterministic()
+
+
 def ratio(name: str) -> Column:
     """In thousandths, rounded down; 0 if there is nothing to divide by."""
     top, bottom, _ = RATIOS[name]

@@ -48,7 +48,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.llm.stage import passing, shuffle_partitions, staged
+from stratum.llm.stage import passing, shuffle_partitions, small_batches, staged
 from stratum.llm.words import batched, dealt_blocks, gram_hashes, grouped, mixed, packed_columns, split_words, texts_hashes, unpacked_columns
 
 K = 6
@@ -532,7 +532,7 @@ def _linked(docs: DataFrame, k: int, window: int, min_words: int, write: Callabl
     spark = docs.sparkSession
     partitions = shuffle_partitions(spark)
     buckets = BUCKETS_OF_A_PARTITION * partitions
-    with passing(spark) as put:
+    with small_batches(spark), passing(spark) as put:
         with passing(spark):  # the shuffled seeds go before the anchors are shuffled
             blocks = put(linked_blocks(seeds(docs, k, window, min_words, buckets), partitions, buckets, common), "links")
         anchors = blocks.where("bucket >= 0")
@@ -642,7 +642,7 @@ def fuzzy_passages(docs: DataFrame, k: int = K, window: int = WINDOW, min_words:
 
 def without_passages(docs: DataFrame, k: int = K, window: int = WINDOW, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents, with repeated passages cut out of ``text``; columns and their order stay."""
-    with passing(docs.sparkSession) as put:
+    with small_batches(docs.sparkSession), passing(docs.sparkSession) as put:
         found = _found(docs, _linked(docs, k, window, min_words, put), k, min_words, False)
         parts = staged(found.select("doc_id", "starts", "ends", "z"), "parts")
     return _cut_all(docs, parts)

@@ -10,10 +10,11 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import DataFrameWriter
 
 from stratum.llm import (
     bin_packing, chat_format, decontaminate, language_id, license_scan, ngram_join, oracle, quality_classifier,
-    quality_rules, queries, slots, substring_dedup, token_packing, tokens, words,
+    quality_rules, queries, slots, stage, substring_dedup, token_packing, tokens, words,
 )
 
 from tools.check_oracle import digest, duck
@@ -131,6 +132,27 @@ def test_text_counts_against_brute_force(t):
     assert quality_rules.text_counts(t)[:5] == (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(covered))
 
 
+def test_kept_documents_counts_a_text_once(spark, odd):
+    plan = quality_rules.kept_documents(odd)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+@pytest.mark.parametrize("run", [ngram_join.near_duplicates, substring_dedup.without_passages])
+def test_texts_go_to_workers_in_small_batches(spark, monkeypatch, run):
+    seen = []
+    put = DataFrameWriter.parquet
+
+    def noted(self, path, *args, **options):
+        seen.append((path, int(spark.conf.get(stage.BATCH_CONF))))
+        return put(self, path, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    run(docs_of(spark, [(i, sentence(i % 3, 80), "en", "a") for i in range(6)])).collect()
+    rows = {path.split("/")[-2]: n for path, n in seen}
+    assert all(n == stage.BATCH_ROWS for name, n in rows.items() if name in ("signatures", "links", "chains", "parts")) and len(rows) > 2
+    assert int(spark.conf.get(stage.BATCH_CONF)) > stage.BATCH_ROWS
+
+
 def test_quality_rules_reject_outliers_of_their_group(spark):
     rows = [(i, sentence(i, 100), "en", f"s{i % 3}") for i in range(330)] + [(1000 + i, sentence(i, 100).replace(" ", " ### "), "en", "s0") for i in range(20)]
     got = {r.doc_id: r.kept for r in quality_rules.quality_verdicts(docs_of(spark, rows)).collect()}

@@ -2,6 +2,7 @@
 
 import os
 
+import pyarrow as pa
 import pytest
 
 from stratum.llm import stage
@@ -22,3 +23,25 @@ def test_passing_tables_go_when_their_block_ends(spark):
         path = folder(put(spark.range(5), "one"))
         raise RuntimeError("a later step failed")
     assert not os.path.exists(path)
+
+
+def test_small_batches_hold_within_their_block(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    def largest():
+        return max(r.n for r in spark.range(0, 5000, 1, 1).mapInArrow(sizes, "n long").collect())
+
+    with stage.small_batches(spark):
+        assert largest() == stage.BATCH_ROWS
+        with stage.small_batches(spark):
+            assert largest() == stage.BATCH_ROWS
+    assert largest() == 5000
+    spark.conf.set(stage.BATCH_CONF, "70")  # what a user set lower stays
+    try:
+        with stage.small_batches(spark):
+            assert largest() == 70
+        assert spark.conf.get(stage.BATCH_CONF) == "70"
+    finally:
+        spark.conf.unset(stage.BATCH_CONF)
