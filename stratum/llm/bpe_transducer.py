@@ -3,7 +3,8 @@
 Encoding.  Merging by rank gives every prefix of a match one encoding, and
 that of a prefix is the encoding of a shorter prefix and one more token which
 may stand after its last one (two tokens may stand together if merging their
-joined bytes gives just these two).  So a state needs no more than the places
+joined bytes gives just these two; the parts that each has at the border
+while it is merged are listed once a token and tell).  So a state needs no more than the places
 where a token can still be under way: for each, the node of its bytes in the
 trie of the vocabulary, and the last token before it.  Reading a byte moves
 every place on, drops those that leave the trie, and opens one new place
@@ -15,8 +16,8 @@ and moves are made when a text first needs them and kept up to
 
 Matches of the pattern are encoded separately.  A text is first cut before
 each white space that follows something else, where no match can go on, and
-the ids of such chunks are kept up to ``max_cache``; a text with white space
-beyond ASCII is matched whole.
+the ids of such chunks, and of the matches in those of several, are kept up to
+``max_cache``; a text with white space beyond ASCII is matched whole.
 
 Decoding.  A token that is valid UTF-8 by itself is passed on as it is; any
 other goes byte by byte through the UTF-8 state machine, whose state (the
@@ -37,9 +38,12 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import string
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import accumulate, islice
+from operator import getitem
 
 import numpy as np
 import pyarrow as pa
@@ -51,12 +55,13 @@ _CHUNK = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 #: White space of the pattern beyond ASCII.
 _WIDE_SPACE = re.compile("[" + "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]")
 
-#: Marks that are cached apart, so that a word before them needs one entry.
-_MARKS = b".,"
+#: Marks that are cached apart behind a letter, where a match ends, so that a word before them goes through the transducer once.
+_MARKS = string.punctuation.encode()
 
 REPLACEMENT = chr(0xFFFD)
-ROOT = 0
 LOOK = 64
+#: Above all ranks.
+NEVER = 1 << 62
 BLOCK = 8192
 
 
@@ -65,124 +70,159 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
-class Transducer:
-    """Bytes of one match -> ids.
+class Node(dict):
+    """A node of the trie: byte -> node behind it, the token that ends here, and how many bytes it has."""
 
-    A state is its places, the latest last: (node in the trie, last token before the place).
-    """
+    __slots__ = ("token", "depth")
+    __hash__, __eq__ = object.__hash__, object.__eq__
+
+    def __init__(self, depth: int):
+        self.token, self.depth = None, depth
+
+
+class State(dict):
+    """Its places, the latest last: (node in the trie, last token before the place).  Moves (byte -> state) are made once and kept."""
+
+    __slots__ = ("transducer", "places", "last", "length")
+
+    def __missing__(self, byte: int) -> State:
+        move = self[byte] = self.transducer._move(self, byte)
+        return move
+
+
+class Transducer:
+    """Bytes of one match -> ids."""
 
     def __init__(self, ranks: dict[bytes, int], max_states: int = 200_000):
         self.ranks = ranks
         self.max_states = max_states
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.length = {rank: len(token) for token, rank in ranks.items()}
-        self.child: dict[int, int] = {}  # node * 256 + byte -> node
-        self.depth = [0]
-        self.token_at: dict[int, int] = {}
-        self.inner = set()
+        self.root = Node(0)
         for token, rank in ranks.items():
-            node = ROOT
-            for b in token:
-                self.inner.add(node)
-                new = len(self.depth)
-                if (child := self.child.setdefault(node << 8 | b, new)) == new:
-                    self.depth.append(self.depth[node] + 1)
+            node = self.root
+            for depth, b in enumerate(token, 1):
+                child = node.get(b)
+                if child is None:
+                    child = node[b] = Node(depth)
                 node = child
-            self.token_at[node] = rank
-        self.fits: dict[tuple[int | None, int], bool] = {}
+            node.token = rank
+        self.ends: dict[int, tuple[list, list] | None] = {}
+        self.states: dict[tuple, State] = {}
         self._start_anew()
 
     def _start_anew(self) -> None:
-        start = ((ROOT, None),)
-        self.states, self.numbers, self.last, self.moves = [start], {start: 0}, [None], {}
-
-    def _number(self, places: tuple) -> int:
-        number = self.numbers.get(places)
-        if number is None:
-            number = self.numbers[places] = len(self.states)
-            self.states.append(places)
-            self.last.append(places[-1][1])
-        return number
+        for state in self.states.values():
+            state.clear()  # states refer to each other
+        self.states = {}
+        self.start = self._state(((self.root, None),))
+
+    def _state(self, places: tuple) -> State:
+        state = self.states.get(places)
+        if state is None:
+            state = self.states[places] = State()
+            state.transducer, state.places, state.last = self, places, places[-1][1]
+            state.length = 0 if state.last is None else len(self.bytes_of[state.last])
+        return state
 
     def _may_follow(self, before: int | None, token: int) -> bool:
-        """Whether merging the joined bytes of the two gives just the two."""
-        known = self.fits.get((before, token))
-        if known is None:
-            if len(self.fits) >= 2 * self.max_states:
-                self.fits.clear()
-            left = b"" if before is None else self.bytes_of[before]
-            known = self.fits[before, token] = self._keeps(left, self.bytes_of[token])
-        return known
-
-    def _keeps(self, left: bytes, right: bytes) -> bool:
-        """Whether merging ``left + right`` by rank ends with ``left`` and ``right`` and never crosses their border."""
-        ranks, whole, border = self.ranks, left + right, len(left)
-        if border and whole in ranks:
+        """Whether merging the joined bytes of the two gives just the two.
+
+        Until something is merged across their border each is merged as if it stood alone, the lower rank of
+        the next merges in both first, the left one of equals; so only the parts at the border are looked at.
+        """
+        right = self.ends[token] if token in self.ends else self._ends(token)
+        if right is None or before is None:
+            return right is not None
+        left = self.ends[before] if before in self.ends else self._ends(before)
+        if left is None:
             return False
+        rank_of, lefts, rights = self.ranks.get, iter(left[1]), iter(right[0])
+        (a, next_left), (b, next_right) = next(lefts), next(rights)
+        while True:
+            across = rank_of(a + b)
+            if across is not None and across < next_left and across <= next_right:
+                return False
+            if next_left <= next_right:
+                if next_left == NEVER:
+                    return True
+                a, next_left = next(lefts)
+            else:
+                b, next_right = next(rights)
+
+    def _ends(self, token: int) -> tuple[list, list] | None:
+        """The first parts, and the last parts, that a token has while its bytes are merged, each with the rank of the merge that ends it.
+
+        None if merging does not give the token.  Where a later merge has a lower rank than an earlier one, every merge is listed.
+        """
+        whole, firsts, lasts, merges = self.bytes_of[token], [], [], []
         cuts = list(range(len(whole) + 1))
         while len(cuts) > 2:
-            best, at = None, 0
-            for i in range(len(cuts) - 2):
-                rank = ranks.get(whole[cuts[i] : cuts[i + 2]])
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i + 1
-            if best is None:
-                break
-            if cuts[at] == border:
-                return False
+            rank, at = min((self.ranks.get(whole[cuts[i] : cuts[i + 2]], NEVER), i + 1) for i in range(len(cuts) - 2))
+            if rank == NEVER:
+                self.ends[token] = None
+                return None
+            firsts.append((whole[: cuts[1]], rank, at == 1))
+            lasts.append((whole[cuts[-2] :], rank, at == len(cuts) - 2))
+            merges.append(rank)
             del cuts[at]
-        return cuts == ([0, border, len(whole)] if border else [0, len(whole)])
+        rising = all(x <= y for x, y in zip(merges, merges[1:]))
+        ends = tuple([(part, rank) for part, rank, changes in side if changes or not rising] + [(whole, NEVER)] for side in (firsts, lasts))
+        self.ends[token] = ends
+        return ends
 
-    def _move(self, state: int, byte: int) -> int:
-        """The next state; made once and kept."""
+    def _move(self, state: State, byte: int) -> State:
         places, fitting = [], None
-        for node, before in self.states[state]:
-            child = self.child.get(node << 8 | byte)
+        for node, before in state.places:
+            child = node.get(byte)
             if child is None:
                 continue
-            if child in self.inner:
+            if child:
                 places.append((child, before))
-            token = self.token_at.get(child)
-            if token is not None and fitting is None and self._may_follow(before, token):
-                fitting = token
+            if fitting is None and child.token is not None and self._may_follow(before, child.token):
+                fitting = child.token
         if fitting is None:
             raise ValueError("the vocabulary lacks a single byte")
-        places.append((ROOT, fitting))
-        number = self.moves[state << 8 | byte] = self._number(tuple(places))
-        return number
+        places.append((self.root, fitting))
+        return self._state(tuple(places))
 
-    def _back(self, path: list[int], place: int, to: int) -> list[tuple[int, int]]:
-        """(start, token) of the tokens between two places, the last first.  ``path``: last token before each place."""
+    @staticmethod
+    def _back(path: list[State], place: int, to: int) -> list[tuple[int, int]]:
+        """(start, token) of the tokens between two places, the last first.  ``path``: the state at each place."""
         out = []
         while place > to:
-            token = path[place]
-            place -= self.length[token]
-            out.append((place, token))
+            state = path[place]
+            place -= state.length
+            out.append((place, state.last))
         return out
 
     def encode(self, match: bytes) -> list[int]:
         if len(self.states) > self.max_states:
             self._start_anew()
-        state, moves, last = 0, self.moves, self.last
-        out, path, done = [], [None], 0  # path[i]: last token before the place i bytes behind the start of what has not gone out
-        for at, byte in enumerate(match, 1):
-            move = moves.get(state << 8 | byte)
-            state = self._move(state, byte) if move is None else move
-            path.append(last[state])
-            if not at % LOOK:
+        if len(match) < LOOK:
+            path, out, place = list(accumulate(match, getitem, initial=self.start)), [], len(match)
+            while place:
+                state = path[place]
+                out.append(state.last)
+                place -= state.length
+            out.reverse()
+            return out
+        out, path = [], [self.start]  # path[i]: state at the place i bytes behind the start of what has not gone out
+        for at in range(0, len(match), LOOK):
+            block = match[at : at + LOOK]
+            path += islice(accumulate(block, getitem, initial=path[-1]), 1, None)
+            if len(block) == LOOK:
                 # what the encodings before all places have in common goes out
                 n = len(path) - 1
-                ways = [self._back(path, n - self.depth[node], 0) for node, _ in self.states[state]]
-                common = set.intersection(*({n - self.depth[node], *(x for x, _ in way)} for way, (node, _) in zip(ways, self.states[state], strict=True)))
+                places = path[-1].places
+                ways = [self._back(path, n - node.depth, 0) for node, _ in places]
+                common = set.intersection(*({n - node.depth, *(x for x, _ in way)} for way, (node, _) in zip(ways, places, strict=True)))
                 if cut := max(common, default=0):
                     out += [token for start, token in reversed(ways[-1]) if start < cut]
                     path = path[cut:]
-                    done += cut
                 if len(self.states) > 2 * self.max_states:  # within one very long match
-                    here = self.states[state]
                     self._start_anew()
-                    moves, last, state = self.moves, self.last, self._number(here)
-        out += [token for _, token in reversed(self._back(path, len(match) - done, 0))]
+                    path[-1] = self._state(places)
+        out += [token for _, token in reversed(self._back(path, len(path) - 1, 0))]
         return out
 
 
@@ -193,7 +233,7 @@ class Encoder(dict):
     round before, is kept (``max_cache`` chunks each).
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_cache: int = 150_000, longest: int = 64):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_cache: int = 300_000, longest: int = 64):
         import regex
 
         self.transducer = Transducer(ranks)
@@ -209,9 +249,10 @@ class Encoder(dict):
             if len(stem) < len(chunk) and stem[-1:].isalpha():
                 ids = self[stem] + self[chunk[len(stem) :]]  # a match ends between a letter and such marks
             elif stem[1:].isalpha() and (stem[0] == 32 or stem[:1].isalpha()):
-                ids = array("I", self.transducer.encode(chunk)).tobytes()  # one match: letters, perhaps behind a space
+                ids = self._transduced(chunk)  # one match: letters, perhaps behind a space
             else:
-                ids = self._matched(chunk.decode("utf-8"))
+                matches = self.matches(chunk.decode("utf-8"))
+                ids = self._transduced(chunk) if len(matches) == 1 else self._joined(matches)
         if len(chunk) <= self.longest:
             if len(self) >= self.max_cache:
                 self.before = dict(self)
@@ -219,14 +260,17 @@ class Encoder(dict):
             self[chunk] = ids
         return ids
 
-    def _matched(self, text: str) -> bytes:
-        encode = self.transducer.encode
-        return array("I", [i for m in self.matches(text) for i in encode(m.encode("utf-8"))]).tobytes()
+    def _transduced(self, match: bytes) -> bytes:
+        return array("I", self.transducer.encode(match)).tobytes()
+
+    def _joined(self, matches: list[str]) -> bytes:
+        """Each match by itself is one match, too, so the cache has its ids."""
+        return b"".join([self[m.encode("utf-8")] for m in matches])
 
     def encode(self, text: str) -> bytes:
         data = text.encode("utf-8", "replace")
         if not text.isascii() and _WIDE_SPACE.search(text):
-            return self._matched(data.decode("utf-8"))
+            return self._joined(self.matches(data.decode("utf-8")))
         return b"".join(map(self.__getitem__, _CHUNK.findall(data)))
 
 

@@ -50,6 +50,70 @@ def test_pairs_are_those_that_merging_keeps():
         assert t._may_follow(a, b) == (LIBRARY._encode_single_piece(joined) == [a, b])
 
 
+def keeps(ranks, left, right):
+    """By merging the joined bytes, the lowest rank first, the leftmost of equals."""
+    parts, border = [bytes([b]) for b in left + right], len(left)
+    while True:
+        joined = [(ranks[parts[i] + parts[i + 1]], i) for i in range(len(parts) - 1) if parts[i] + parts[i + 1] in ranks]
+        if not joined:
+            return parts == [x for x in (left, right) if x]
+        i = min(joined)[1]
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        if border and border not in (sum(map(len, parts[:k])) for k in range(len(parts))):
+            return False
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("abc", min_size=2, max_size=7), unique=True, max_size=25))
+def test_pairs_of_any_vocabulary(words):
+    """Also where a part of a token has a higher rank than the token, or merging does not give it."""
+    ranks = {w.encode(): i for i, w in enumerate(["a", "b", "c", *words])}
+    t = bpe.Transducer(ranks)
+    for left in (b"", *ranks):
+        for right in ranks:
+            assert t._may_follow(ranks.get(left), ranks[right]) == keeps(ranks, left, right)
+
+
+def test_pairs_cut_from_tokens():
+    rng, t = np.random.default_rng(6), ENCODER.transducer
+    for whole in rng.choice([x for x in RANKS if len(x) > 3], 3000, replace=False).tolist():
+        for at in range(1, len(whole)):
+            left, right = whole[:at], whole[at:] + b"s"
+            if left in RANKS and right in RANKS:
+                assert t._may_follow(RANKS[left], RANKS[right]) == keeps(RANKS, left, right)
+
+
+class Counted(dict):
+    asked = 0
+
+    def get(self, key, default=None):
+        self.asked += 1
+        return super().get(key, default)
+
+
+def test_a_pair_takes_a_lookup_for_each_part_at_its_border():
+    """Merging every pair anew took a lookup for each two neighbours after each merge."""
+    t = bpe.Transducer(RANKS)
+    t.ranks = Counted(RANKS)
+    long = [RANKS[x] for x in sorted((x for x in RANKS if x.isalpha()), key=len)[-30:]]
+    pairs = [(a, b) for a in long for b in long]
+    for a, _ in pairs:
+        t._may_follow(a, a)
+    t.ranks.asked = 0
+    for a, b in pairs:
+        t._may_follow(a, b)
+    assert 0 < t.ranks.asked <= sum(len(t.bytes_of[a] + t.bytes_of[b]) for a, b in pairs)
+
+
+@pytest.mark.parametrize("text", ["word\xa0word word\xa0word word", "word! word? word; word&&& word)", "\nwörd? wörd! wörd; wörd&&&"])
+def test_a_match_goes_through_the_transducer_once(text):
+    encoder, asked = bpe.Encoder(RANKS, PATTERN), []
+    encode = encoder.transducer.encode
+    encoder.transducer.encode = lambda match: asked.append(match) or encode(match)
+    assert ids_of(encoder.encode(text)) == LIBRARY.encode_ordinary(text)
+    assert sorted(asked) == sorted(set(asked))
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 300), st.integers(0, len(RANKS) - 1)), max_size=40), st.lists(st.integers(1, 9), min_size=1, max_size=5))
 def test_streaming_decoder_in_any_portions(ids, sizes):
