@@ -72,6 +72,42 @@ def test_compaction_keeps_the_state_and_open_readers(spark, tmp_dir):
     assert t.changes_since(1).count() == 320  # those folders are gone: everything
 
 
+def test_a_delivery_into_a_published_table_is_written_once(spark, tmp_dir, monkeypatch):
+    from stratum.sources import tables
+
+    t = material_table(spark, tmp_dir, share=9)
+    t.upsert(materials(spark, range(20), "a"))
+    monkeypatch.setattr(tables, "delivered", lambda *_: pytest.fail("written to the scratch folder before"))
+    kept = ["record_created_timestamp"]
+    assert t.upsert(materials(spark, range(10, 30), "b", LATER), KEYS, kept) == 1
+    got = {r.material_id: (r.material_name[0], r.record_created_timestamp) for r in t.read().collect()}
+    assert len(got) == 30 and got["M5"] == ("a", T) and got["M15"] == ("b", T) and got["M25"] == ("b", LATER)
+    # what is refused, or empty, leaves nothing to read and no folder
+    twice = materials(spark, [40, 40], "d", LATER)
+    with pytest.raises(ValueError, match="duplicate keys"):
+        t.upsert(twice)
+    assert t.upsert(twice.limit(0)) is None
+    assert t.current_version() == 1 and os.listdir(f"{t.path}/changes") == ["v=00000001"] and t.read().count() == 30
+    monkeypatch.undo()
+    # rows that are written already are not written again, and their share of the folder gives the buckets
+    wide = materials(spark, range(4000), "a")
+    wide.write.parquet(f"{tmp_dir}/rows")
+    monkeypatch.setattr(tables, "delivered", lambda *_: pytest.fail("written again"))
+    some = material_table(spark, f"{tmp_dir}/some", bucket_bytes=20_000)
+    source = spark.read.schema(wide.schema).parquet(f"{tmp_dir}/rows").where("substring(material_id, -1) = '7'")
+    assert some.upsert(source, written=f"{tmp_dir}/rows") == 0 and rows(some.read()) == rows(source)
+    assert some.base_buckets() <= 4 + size(f"{tmp_dir}/rows") // 200_000
+    assert some.upsert(source.limit(0), written=f"{tmp_dir}/rows") is None
+
+
+def test_a_table_without_rows_takes_no_part_in_a_join(spark, tmp_dir):
+    empty = material_table(spark, tmp_dir)
+    for df in (empty.read(), SnapshotTable(spark, f"{tmp_dir}/s", empty.contract).read()):
+        assert [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in empty.contract.schema().fields]
+        joined = materials(spark, range(3), "a").join(df, list(KEYS), "left_anti")
+        assert "Join" not in plan_of(joined) and joined.count() == 3
+
+
 def test_another_session_finds_the_buckets(spark, tmp_dir):
     t = material_table(spark, tmp_dir)
     t.upsert(materials(spark, range(50), "a"))

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from stratum.operators.merge import assert_unique_keys, insert_only, merge_condition, new_rows, upsert
+from stratum.operators.merge import assert_unique_keys, count_unique_keys, insert_only, merge_condition, new_rows, upsert
 
 S = "k string, loc string, v string, created timestamp"
 T1, T2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
@@ -92,3 +92,15 @@ def test_upsert_properties(spark, t_rows, s_rows):
     ins = {(r.k, r.loc): tuple(r) for r in insert_only(t, s, ["k", "loc"], null_safe=True).collect()}
     for row in _unique(t_rows, T1):
         assert ins[(row[0], row[1])] == row
+
+
+def test_unique_keys_are_counted_by_hashes(spark):
+    kind = "k string, loc string"
+    alike = spark.createDataFrame([("A", None), (None, "A"), ("B", "x")], kind)  # the first two have one hash, not one key
+    assert alike.selectExpr("xxhash64(k, loc) AS h").distinct().count() == 2
+    assert count_unique_keys(alike, ["k", "loc"]) == 3 and count_unique_keys(alike.limit(0), ["k", "loc"]) == 0
+    for twice in ([("A", None)] * 2, [("B", "x")] * 2):
+        with pytest.raises(ValueError, match="duplicate keys"):
+            count_unique_keys(alike.unionByName(spark.createDataFrame(twice, kind)), ["k", "loc"])
+    nulls = spark.createDataFrame([("A", None)] * 2, kind)
+    assert count_unique_keys(nulls, ["k", "loc"], null_safe=False) == 2
