@@ -239,3 +239,16 @@ def test_raw_of_another_layout_is_refused(spark, tmp_dir):
     spark.range(1).write.parquet(data)
     with pytest.raises(ValueError, match="ingestion_date"):
         ingest_raw(spark, _cfg(landing), data, ckpt)
+
+
+def test_streams_write_their_folder_without_a_sort(spark, tmp_dir, monkeypatch):
+    """Rows of a micro-batch have one date: sorting them by it moves every row for nothing."""
+    from stratum.streaming import ingest
+
+    before, seen = spark.conf.get(ingest.WRITERS_CONF), []
+    real = ingest.add_ingestion_metadata
+    monkeypatch.setattr(ingest, "add_ingestion_metadata", lambda *a: seen.append(spark.conf.get(ingest.WRITERS_CONF)) or real(*a))
+    _write(f"{tmp_dir}/landing/plant", "a.csv", "plant_id,plant_name\np1,n\n")
+    run_raw_ingestion(spark, default_configs(f"{tmp_dir}/landing"), "plant", tmp_dir)
+    assert seen == ["2"] and spark.conf.get(ingest.WRITERS_CONF) == before == "0"
+    assert read_raw(spark, tmp_dir, "plant").count() == 1
