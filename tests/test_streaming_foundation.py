@@ -132,3 +132,26 @@ def test_the_state_of_the_latest_rows_lies_in_rocksdb(spark, tmp_dir):
     assert "max_by" not in plan  # which would hold the columns of the order twice
     expected = foundation(replace(s, incremental=False), raw, F.lit(dt.datetime(2024, 6, 1)))
     assert table.read().count() == 40 and sorted(table.read().collect()) == sorted(expected.collect())
+
+
+def test_available_now_and_running_queries_go_on_from_each_other(spark, tmp_dir):
+    """Large micro-batches store files of RocksDB alone, small ones what changed; the state is the same."""
+    import glob
+    from dataclasses import replace
+
+    s, c = spec("supplier"), contract("supplier", "raw")
+    table = ChangeTable(spark, tmp_dir, contract("supplier", "foundation"), s.keys, buckets=2)
+    for n, continuous in enumerate((False, True, False), 1):
+        rows = spark.createDataFrame([(f"s{i}", f"name {n}", "sap", f"f{n}", f"2024-01-0{n} 00:00:00") for i in range(n, 3 * n)],
+                                     "supplier_id string, supplier_name string, source_system string, source_file string, ingestion_timestamp string")
+        rows = rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in c.schema().fields])
+        rows.withColumn("ingestion_date", F.to_date("ingestion_timestamp")).write.mode("append").parquet(f"{tmp_dir}/raw")
+        query = latest_stream(spark, s, f"{tmp_dir}/raw", table, f"{tmp_dir}/ckpt", TS_(), continuous=continuous)
+        if continuous:
+            try:
+                query.processAllAvailable()
+            finally:
+                query.stop()
+        changelogs = glob.glob(f"{tmp_dir}/ckpt/state/0/*/*.changelog")
+        assert bool(changelogs) == (n > 1) and glob.glob(f"{tmp_dir}/ckpt/state/0/*/*.zip")
+    assert _same(table.read(), foundation(replace(s, incremental=False), spark.read.parquet(f"{tmp_dir}/raw"), TS_()))
